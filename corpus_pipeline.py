@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, quality
+from weftgraph.llm import bpe, minhash, mixing, quality, secrets
 from weftgraph.session import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -18,6 +18,23 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(quality.score(ranking, F.col("text")) >= 0.3).select(COLUMNS)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that of the smallest id."""
+    found = minhash.near_duplicates(docs, percent=80)
+    return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(COLUMNS)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its secrets masked."""
+    text = secrets.masked(F.col("text"), F.col("secret_spans"))
+    return secrets.scan(docs).withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+
+
+def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled towards the target mixture of sources, languages and topics."""
+    return mixing.documents_mix(docs).select(COLUMNS)
+
+
 def encode_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and the text that they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +43,9 @@ def encode_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 STAGES = [
     ("quality", keep_good),
+    ("near duplicates", one_of_each),
+    ("secrets", mask_secrets),
+    ("mixture", to_target_weights),
     ("bpe", encode_round_trip),
 ]
 
@@ -38,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = materialise(docs, name)
+            docs = materialise(docs, name.replace(" ", "-"))
     return docs

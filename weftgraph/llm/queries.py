@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, quality, token_counts
+from weftgraph.llm import bpe, minhash, mixing, quality, secrets, sketch, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,20 +21,46 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sketch.with_next(table(spark, sf_dir, "documents"), "doc_id", "text", sketched=True)
+    rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), sketch.half_edited(F.col("text"), F.col("next_text")).alias("edited"), "own", "next_own")
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "next_own", sketch.sketch(F.col("edited")).alias("edited_own"))
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", sketch.fingerprint(F.col("own")).alias("fingerprint"), sketch.fingerprint(F.col("edited_own")).alias("edited_fingerprint"),
+        sketch.containment(F.col("own"), F.col("edited_own")).alias("near_edited"), sketch.containment(F.col("own"), F.col("next_own")).alias("near_next"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"), secrets.listed(F.col("secret_spans")).alias("spans"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.documents_mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", *(F.col(f"mix_cell.{d}").alias(f"mix_{d}") for d in ("source", "lang", "topic")), F.col("mix_tokens").alias("n_tokens"), F.round("mix_probability", 6).alias("probability"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
 
 
 def queries() -> dict:
-    return {"op1_quality": op1_quality, "op7_token_counts": op7_token_counts, "op9_bpe": op9_bpe}
+    ops = (op1_quality, op3_minhash, op5_fingerprints, op7_token_counts, op8_secrets, op9_bpe, op10_mixing)
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_fingerprints": sketch.ORACLE_SQL, "op8_secrets": secrets.ORACLE_SQL, "op10_mixing": mixing.oracle_sql()}
