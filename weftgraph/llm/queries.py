@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, minhash, mixing, quality, secrets, sketch, token_counts
+from weftgraph.llm import bpe, lattice, minhash, mixing, quality, revisit, secrets, sketch, token_counts, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +21,20 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = revisit.resolve(revisit.captures(table(spark, sf_dir, "pages")))
+    merged = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ";")
+    return rows.select("record_id", "url_key", "ts", "response_id", "status", merged.alias("merged_headers"), F.floor(F.col("body_id") / 2).alias("body_page_id"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sketch.with_next(table(spark, sf_dir, "documents"), "doc_id", "text", sketched=True)
     rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), sketch.half_edited(F.col("text"), F.col("next_text")).alias("edited"), "own", "next_own")
@@ -35,6 +45,12 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.held_out(F.col("doc_id"), 10)
+    rows = lattice.likelihood(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ~out)
+    return rows.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -58,9 +74,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    ops = (op1_quality, op3_minhash, op5_fingerprints, op7_token_counts, op8_secrets, op9_bpe, op10_mixing)
+    ops = (op1_quality, op2_vectors, op3_minhash, op4_revisits, op5_fingerprints, op6_lattice, op7_token_counts, op8_secrets, op9_bpe, op10_mixing)
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_fingerprints": sketch.ORACLE_SQL, "op8_secrets": secrets.ORACLE_SQL, "op10_mixing": mixing.oracle_sql()}
+    return {"op4_revisits": revisit.ORACLE_SQL, "op5_fingerprints": sketch.ORACLE_SQL, "op8_secrets": secrets.ORACLE_SQL, "op10_mixing": mixing.oracle_sql()}
