@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +62,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, unless their Python finds it on its path anyway."""
+    root = Path(__file__).resolve().parent.parent
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if Path.cwd() == root or any(Path(p).resolve() == root for p in paths) or getattr(spark.sparkContext, "_weftgraph_sent", False):
+        return
+    to = Path(tempfile.mkdtemp(prefix="weftgraph-")) / "weftgraph.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted((root / "weftgraph").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    spark.sparkContext.addPyFile(str(to))
+    spark.sparkContext._weftgraph_sent = True
