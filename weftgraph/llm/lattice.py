@@ -6,7 +6,8 @@ word if the training texts hold it. A forward recursion in log space sums over a
 
     P(word) = (count - d) / N + d * V / N * P_pieces(word),
 
-with d from the numbers of words seen once and twice, and P_pieces the marginal over piece sequences: a first piece, then
+for each group of documents (a language), and the text's probability is the marginal over the groups, which never enter
+the score of a text otherwise. d comes from the numbers of words seen once and twice, and P_pieces is the marginal over piece sequences: a first piece, then
 pieces with the chance of going on, then the word's end. Piece weights are trained on every distinct training word by
 expectation-maximisation: each chunk of words runs a few rounds from the prior, and the expected counts of all chunks
 are added. The end of a text is a token of its own, so the probabilities of all texts sum to one at most.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from weftgraph.session import materialise
 
 SPACE = "▁"
 END = b""
-BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE = 0x9E3779B97F4A7C15
 #: Weight of one character by its bytes, as a share of all pieces.
 BYTES_SHARE = 1e-3
 NEVER = -1e30
@@ -58,7 +60,7 @@ class Vocabulary:
         self.bare = first.pop("", 1e-3)  # the mark alone: a word begins with a piece from within words
         self.keys, self.prior = [], []
         for pieces in (first, later):
-            order = sorted((int(hash_of(p)), w) for p, w in pieces.items())
+            order = sorted((hash_of(p), w) for p, w in pieces.items())
             self.keys.append(np.asarray([h for h, _ in order], dtype=np.uint64))
             self.prior.append(np.asarray([w for _, w in order]))
 
@@ -69,13 +71,9 @@ class Vocabulary:
         return np.where(keys[at] == h, at, -1)
 
 
-def hash_of(piece: str) -> np.uint64:
-    h, power = np.uint64(0), np.uint64(1)
-    with np.errstate(over="ignore"):
-        for c in piece:
-            h += (np.uint64(ord(c)) + np.uint64(1)) * power
-            power *= BASE
-    return h ^ np.uint64(len(piece))
+def hash_of(piece: str) -> int:
+    h = sum((ord(c) + 1) * pow(BASE, k, 1 << 64) for k, c in enumerate(piece)) % (1 << 64)
+    return h ^ len(piece)
 
 
 @lru_cache(maxsize=2)
@@ -107,10 +105,10 @@ class Lattice:
         size = (codes > 0x7F).astype(np.int8) + (codes > 0x7FF) + (codes > 0xFFFF) + 1
         self.by_bytes = np.log(BYTES_SHARE / 4) - size * np.log(256.0)
         self.first, self.later = [], []
-        h, power = np.zeros_like(c), np.uint64(1)
+        h, power = np.zeros_like(c), 1
         for k in range(1, min(v.longest, self.length) + 1):
-            h = h[:, : self.length - k + 1] + c[:, k - 1 :] * power
-            power *= BASE
+            h = h[:, : self.length - k + 1] + c[:, k - 1 :] * np.uint64(power)
+            power = power * BASE % (1 << 64)
             own = h ^ np.uint64(k)
             self.first.append(v.find(0, own[:, 0]))
             self.later.append(v.find(1, own))
@@ -191,132 +189,165 @@ def text_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def word_table(docs: DataFrame, text: str, train: Column, flush: int = 400_000) -> DataFrame:
-    """(word, c): every distinct word of all documents and its number in training texts; the empty word is the end."""
+def word_table(docs: DataFrame, text: str, own: Column, groups: int, flush: int = 400_000) -> DataFrame:
+    """(word, c0, c1, ...): every distinct word of all documents and its number in each group's training texts.
+
+    ``own`` is a document's group, or -1 for one that does not train; the empty word is the end of a text.
+    """
 
     def tally(batches):
-        seen, other = Counter(), set()
+        seen, other = [Counter() for _ in range(groups)], set()
 
         def rows():
-            words = [*seen, *(w for w in other if w not in seen)]
-            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([seen.get(w, 0) for w in words], pa.int64())], ["word", "c"])
-            seen.clear(), other.clear()
+            g = np.repeat(np.arange(groups + 1), [*map(len, seen), len(other)]) % groups
+            words = [w for x in (*seen, other) for w in x]
+            n = [c for x in seen for c in x.values()] + [0] * len(other)
+            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(g, pa.int32()), pa.array(n, pa.int64())], ["word", "g", "c"])
+            for x in (*seen, other):
+                x.clear()
             return out
 
         for b in batches:
-            for t, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words = text_words(t)
-                if own:
-                    seen.update(words)
-                    seen[END] += 1
-                else:
-                    other.update(words)
-                if len(seen) + len(other) > flush:
+            for k in range(0, b.num_rows, 512):
+                part = b.slice(k, 512)
+                for t, g in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if g >= 0:
+                        seen[g].update(text_words(t))
+                        seen[g][END] += 1
+                    else:
+                        other.update(text_words(t))
+                if sum(map(len, seen)) + len(other) > flush:
                     yield rows()
         yield rows()
 
-    rows = docs.select(F.col(f"`{text}`").alias("t"), train.alias("own")).mapInArrow(tally, "word binary, c long")
-    return rows.groupBy("word").agg(F.sum("c").alias("c"))
+    rows = docs.select(F.col(f"`{text}`").alias("t"), own.cast("int").alias("own")).mapInArrow(tally, "word binary, g int, c long")
+    return rows.groupBy("word").agg(*(F.sum(F.when(F.col("g") == k, F.col("c")).otherwise(0)).alias(f"c{k}") for k in range(groups)))
 
 
-def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", hot_words: int = 300_000, rounds: int = 4, chunk: int = 20_000) -> DataFrame:
-    """(key, h, n_tokens, n_known, train_tokens, base_score, score), a row for each row of ``docs``; scores in log10."""
-    spark = docs.sparkSession
-    counts = materialise(word_table(docs, text, train), "words")
-    n, distinct, once, twice = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if("c > 0"), F.count_if("c = 1"), F.count_if("c = 2")).first()
-    discount = once / (once + 2 * twice) if once else 0.5
-    spare = discount * distinct / n if n else 1.0
+PARTS = ("first", "later", "bare", "pieces", "words")
+
+
+def learn_weights(counts: DataFrame, model_path: str, groups: int, rounds: int, chunk: int) -> list[Weights]:
+    """Weights of pieces for each group, from every distinct word that it trained on."""
+    fields = "g int, " + ", ".join(f"{c} binary" for c in PARTS)
+
+    def row(g, total):
+        return pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), *(pa.array([np.asarray(x, np.float64).tobytes()]) for x in total)], ["g", *PARTS])
 
     def learn(batches):
         v = vocabulary(model_path)
-        total = [np.zeros(len(v.keys[0])), np.zeros(len(v.keys[1])), 0.0, 0.0]
-        words: list[str] = []
-        got = 0
+        totals: list = [None] * groups
+        words: list[list[str]] = [[] for _ in range(groups)]
 
-        def add():
-            nonlocal got
-            for k, x in enumerate(train_chunk(words, v, rounds)):
-                total[k] = total[k] + x
-            got += len(words)
-            words.clear()
+        def add(g):
+            got = (*train_chunk(words[g], v, rounds), float(len(words[g])))
+            totals[g] = got if totals[g] is None else tuple(x + y for x, y in zip(totals[g], got))
+            words[g].clear()
 
         for b in batches:
-            words += [w.decode("utf-8", "replace") for w in b.column(0).to_pylist() if w]
-            if len(words) >= chunk:
-                add()
-        if words:
-            add()
-        if got:
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() if k < 2 else np.float64(x).tobytes()]) for k, x in enumerate([*total, got])], ["first", "later", "bare", "pieces", "words"])
-
-    v = vocabulary(model_path)
-    # one row for each task, of the vocabulary's size, added up in a tree of a fixed width
-    parts = counts.where("c > 0").select("word").mapInArrow(learn, "first binary, later binary, bare binary, pieces binary, words binary")
+            for w, *c in zip(*(x.to_pylist() for x in b.columns)):
+                if w:
+                    for g in range(groups):
+                        if c[g]:
+                            words[g].append(w.decode("utf-8", "replace"))
+                            if len(words[g]) >= chunk:
+                                add(g)
+        for g in range(groups):
+            if words[g]:
+                add(g)
+            if totals[g] is not None:
+                yield row(g, totals[g])
 
     def add_up(batches):
-        total = None
+        totals: dict = {}
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                row = [np.frombuffer(x, np.float64) for x in row]
-                total = row if total is None else [x + y for x, y in zip(total, row)]
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in total], ["first", "later", "bare", "pieces", "words"])
-
-    added = parts.repartition(8).mapInArrow(add_up, parts.schema).collect()
-    if added:
-        first, later, bare, pieces, words = (sum(np.frombuffer(r[k], np.float64) for r in added) for k in range(5))
-        weights = weights_from(first, later, float(bare[0]), float(pieces[0]), float(words[0]), v)
-    else:
-        weights = Weights.of_prior(v)
-    sent = spark.sparkContext.broadcast(weights)
-    base_of = lambda c: np.log10((c + 0.1) / (n + 0.1 * (distinct + 1)))
+            for g, *parts in zip(*(c.to_pylist() for c in b.columns)):
+                parts = [np.frombuffer(x, np.float64) for x in parts]
+                totals[g] = parts if g not in totals else [x + y for x, y in zip(totals[g], parts)]
+        for g, total in totals.items():
+            yield row(g, total)
+
+    # a row of the vocabulary's size for each task and group, added up in eight tasks and then here
+    v = vocabulary(model_path)
+    added: dict = {}
+    for g, *parts in counts.mapInArrow(learn, fields).repartition(8).mapInArrow(add_up, fields).collect():
+        parts = [np.frombuffer(x, np.float64) for x in parts]
+        added[g] = parts if g not in added else [x + y for x, y in zip(added[g], parts)]
+    return [weights_from(x[0], x[1], *(float(y[0]) for y in x[2:]), v) if (x := added.get(g)) else Weights.of_prior(v) for g in range(groups)]
+
+
+def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", group: str | None = "lang", values: tuple[str, ...] = ("en", "de", "fr", "es"), hot_words: int = 300_000, rounds: int = 4, chunk: int = 20_000) -> DataFrame:
+    """(key, h, n_tokens, n_known, train_tokens, base_score, score), a row for each row of ``docs``; scores in log10.
+
+    Training texts are grouped by the ``values`` of column ``group``, all others in one more group; without one, all
+    are one group.
+    """
+    spark = docs.sparkSession
+    groups = len(values) + 1 if group else 1
+    which = F.lit(groups - 1)
+    for k, x in enumerate(values if group else ()):
+        which = F.when(F.col(f"`{group}`") == x, k).otherwise(which)
+    counts = materialise(word_table(docs, text, F.when(train, which).otherwise(-1), groups), "words")
+    cs = [f"c{k}" for k in range(groups)]
+    every = sum((F.col(c) for c in cs[1:]), F.col(cs[0]))
+    tell = lambda c: [F.coalesce(F.sum(c), F.lit(0)), F.count_if(c > 0), F.count_if(c == 1), F.count_if(c == 2), F.max(F.when(F.col("word") == F.lit(END), c))]
+    facts = counts.agg(*(x for c in (every, *map(F.col, cs)) for x in tell(c))).first()
+    facts = [tuple(facts[k : k + 5]) for k in range(0, len(facts), 5)]
+    n, distinct, _, _, texts = facts[0]
+    n_g = np.asarray([f[0] for f in facts[1:]], dtype=np.float64)
+    discount = np.asarray([f[2] / (f[2] + 2 * f[3]) if f[2] else 0.5 for f in facts[1:]])
+    spare = np.asarray([d * f[1] / f[0] if f[0] else 1.0 for d, f in zip(discount, facts[1:])])
+    share = np.asarray([(f[4] or 0) / texts for f in facts[1:]]) if texts else np.full(groups, 1 / groups)
+    sent = spark.sparkContext.broadcast(learn_weights(counts, model_path, groups, rounds, chunk))
 
     def weigh(batches):
-        v, w = vocabulary(model_path), sent.value
+        v, ws = vocabulary(model_path), sent.value
         for b in batches:
-            words, c = b.column(0).to_pylist(), np.asarray(b.column(1).to_pylist(), dtype=np.float64)
-            lp = np.full(len(words), NEVER)
+            words, c = b.column(0).to_pylist(), np.stack([x.to_numpy(zero_copy_only=False) for x in b.columns[1:]], 1).astype(np.float64)
+            lp = np.full(c.shape, NEVER)
             real = [k for k, x in enumerate(words) if x]
             for at, x in lattices([words[k].decode("utf-8", "replace") for k in real], v):
-                lp[[real[j] for j in at]] = x.log_probability(w)
-            p = np.maximum(c - discount, 0) / n if n else np.where(lp > NEVER, 0.0, 0.5)
+                lp[[real[j] for j in at]] = np.stack([x.log_probability(w) for w in ws], 1)
+            lp[[k for k, x in enumerate(words) if not x]] = np.where(n_g > 0, NEVER, np.log(0.5))  # a group without texts
+            p = np.maximum(c - discount, 0) / np.maximum(n_g, 1)
             with np.errstate(divide="ignore"):
-                score = np.logaddexp(np.log(p), np.log(spare if n else 0.5) + lp) / np.log(10)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score, pa.float64())], ["word", "c", "lp"])
+                score = np.logaddexp(np.maximum(np.log(p), NEVER), np.log(spare) + lp) / np.log(10)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c.sum(1).astype(np.int64)), *(pa.array(score[:, k]) for k in range(groups))], ["word", "c", *lps])
 
-    scored = materialise(counts.mapInArrow(weigh, "word binary, c long, lp double"), "word-scores")
-    # at most hot_words rows
-    top = scored.orderBy(F.desc("c"), "word").limit(hot_words).toPandas()
-    hot = spark.sparkContext.broadcast({w: (c, lp) for w, c, lp in zip(top["word"].map(bytes), top["c"], top["lp"])})
+    lps = [f"lp{k}" for k in range(groups)]
+    columns = ", ".join(f"{x} double" for x in lps)
+    scored = materialise(counts.mapInArrow(weigh, f"word binary, c long, {columns}"), "word-scores")
+    top = scored.orderBy(F.desc("c"), "word").limit(hot_words).toPandas()  # at most hot_words rows
+    base_of = lambda c: np.log10((c + 0.1) / (n + 0.1 * (distinct + 1)))
+    table = np.column_stack([base_of(top["c"].to_numpy(np.float64)), (top["c"].to_numpy() > 0).astype(np.float64), top[lps].to_numpy(np.float64)])
+    hot = spark.sparkContext.broadcast(([bytes(w) for w in top["word"]], table))
     del top
-    p_end = float(np.log10(0.5)) if not n else None
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"))
-    base_hot = lambda table: {w: float(base_of(c)) for w, (c, _) in table.items()}
+    sums = ["base_score", "n_known", *lps]
+    end = np.concatenate([[float(base_of(0.0)), 0.0], np.full(groups, np.log10(0.5))])  # where no text trains
 
     def known(batches):
-        table = hot.value
-        base, lp, seen = base_hot(table), {w: x for w, (_, x) in table.items()}, {w for w, (c, _) in table.items() if c > 0}
-        end = (base.get(END, float(base_of(0))), lp.get(END, p_end if p_end is not None else NEVER))
+        index, table = hot_index(hot)
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
-                out = []
-                for t in part.column(2).to_pylist():
+                n_t, out = [], np.zeros((part.num_rows, table.shape[1]))
+                for j, t in enumerate(part.column(2).to_pylist()):
                     words = text_words(t)
-                    found = [w for w in words if w in lp]
-                    out.append((len(words) + 1, sum(map(seen.__contains__, found)) + (END in seen), sum(map(base.__getitem__, found)) + end[0], sum(map(lp.__getitem__, found)) + end[1]))
-                n_t, n_k, x, y = zip(*out)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([1] * len(out), pa.int32()), pa.array(n_t, pa.int64()), pa.array(n_k, pa.int64()), pa.array(x, pa.float64()), pa.array(y, pa.float64())], ["k", "h", "m", "n_tokens", "n_known", "base_score", "score"])
+                    n_t.append(len(words) + 1)
+                    at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+                    out[j] = table[at[at >= 0]].sum(0) + (table[index[END]] if END in index else end)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([1] * len(n_t), pa.int32()), pa.array(n_t, pa.int64()), *(pa.array(x) for x in out.T.copy())], ["k", "h", "m", "n_tokens", *sums])
 
     def others(batches):
-        table = hot.value
+        index, _ = hot_index(hot)
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
                 at, words, tf = [], [], []
                 for j, t in enumerate(part.column(2).to_pylist()):
-                    for w, c in Counter(w for w in text_words(t) if w not in table).items():
+                    for w, c in Counter(w for w in text_words(t) if w not in index).items():
                         at.append(j), words.append(w), tf.append(c)
                 if at:
                     at = pa.array(at, pa.int32())
@@ -324,11 +355,23 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
 
     rare = rows.mapInArrow(others, f"k {kind}, h long, word binary, tf int").join(scored, "word")
     base = F.log10((F.col("c") + F.lit(0.1)) / (F.lit(float(n)) + F.lit(0.1) * F.lit(distinct + 1)))
-    rare = rare.select("k", "h", F.lit(0).alias("m"), F.lit(0).cast("long").alias("n_tokens"), F.when(F.col("c") > 0, F.col("tf")).otherwise(0).cast("long").alias("n_known"), (base * F.col("tf")).alias("base_score"), (F.col("lp") * F.col("tf")).alias("score"))
-    whole = rows.mapInArrow(known, f"k {kind}, h long, m int, n_tokens long, n_known long, base_score double, score double")
-    out = whole.unionByName(rare).groupBy("k", "h").agg(*(F.sum(c).alias(c) for c in ("m", "n_tokens", "n_known", "base_score", "score")))
+    rare = rare.select("k", "h", F.lit(0).alias("m"), F.lit(0).cast("long").alias("n_tokens"), (base * F.col("tf")).alias("base_score"), F.when(F.col("c") > 0, F.col("tf")).otherwise(0).cast("double").alias("n_known"), *((F.col(x) * F.col("tf")).alias(x) for x in lps))
+    whole = rows.mapInArrow(known, f"k {kind}, h long, m int, n_tokens long, base_score double, n_known double, {columns}")
+    out = whole.unionByName(rare).groupBy("k", "h").agg(*(F.sum(c).alias(c) for c in ("m", "n_tokens", *sums)))
     out = out.withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), "m")))  # rows that are repeated were added up
-    return out.select(
-        F.col("k").alias(key), "h", *((F.col(c) / F.col("m")).cast("long").alias(c) for c in ("n_tokens", "n_known")), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base_score") / F.col("m")).alias("base_score"), (F.col("score") / F.col("m")).alias("score"),
-    )
+    # the marginal over the groups, in log space
+    terms = [F.col(x) / F.col("m") + F.lit(float(np.log10(s))) for x, s in zip(lps, share) if s > 0]
+    top_term = F.greatest(*terms) if len(terms) > 1 else terms[0]
+    score = top_term + F.log10(sum((F.pow(F.lit(10.0), t - top_term) for t in terms[1:]), F.pow(F.lit(10.0), terms[0] - top_term)))
+    return out.select(F.col("k").alias(key), "h", *(F.round(F.col(c) / F.col("m")).cast("long").alias(c) for c in ("n_tokens", "n_known")), F.lit(n).cast("long").alias("train_tokens"), (F.col("base_score") / F.col("m")).alias("base_score"), score.alias("score"))
+
+
+_HOT: dict = {}
+
+
+def hot_index(sent) -> tuple[dict[bytes, int], np.ndarray]:
+    """The table of frequent words, indexed once for each worker."""
+    words, table = sent.value
+    if _HOT.get("of") is not table:
+        _HOT.update(of=table, index={w: k for k, w in enumerate(words)})
+    return _HOT["index"], table
