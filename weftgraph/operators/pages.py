@@ -11,6 +11,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from weftgraph.functions import vocab
 
@@ -122,7 +123,7 @@ def parse_blocks(html: str | None) -> list[tuple[str, str]]:
     return [(s, t) for t, s in seen.items()]
 
 
-@F.pandas_udf("array<struct<source:string,text:string>>")
+@F.pandas_udf(ArrayType(StructType([StructField("source", StringType()), StructField("text", StringType())])))
 def blocks_udf(html: pd.Series) -> pd.Series:
     return pd.Series([[{"source": s, "text": t} for s, t in parse_blocks(h)] for h in html])
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from weftgraph.plans import graph_queries, page_queries  # noqa: F401
+from weftgraph.plans.base import QUERIES, SQL
+
 FLAGSHIP = "graph_stats"
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
