@@ -29,9 +29,9 @@ def grams(name: Column) -> Column:
 def candidates(nodes: DataFrame) -> DataFrame:
     """Pairs a < b of one type that can reach the threshold: prefix filtering over numbered characters.
 
-    With J >= 5/6 a pair has m common characters, m >= 2/3 of each name's length at least (m/n1 + m/n2 >= 3/2 and
-    m <= the shorter). In an order of characters from rare to frequent, two such names share one of the first
-    n - ceil(2n/3) + 1 characters, hence the pairs within blocks of those find every match.
+    With J >= 5/6 a pair has m/n1 + m/n2 >= 3/2 for m common characters, so m is half of each name's length at least. In
+    an order of characters from rare to frequent, two such names share one of the first n - ceil(n/2) + 1 of each, hence
+    the pairs within blocks of those find every match.
     """
     n = nodes.select("type", "name").distinct().withColumn("gram", F.explode(grams(F.col("name"))))
     often = n.groupBy("type", "gram").agg(F.count("*").alias("often"))
@@ -99,18 +99,39 @@ def vetoes(a: Column, b: Column) -> dict[str, Column]:
 
 
 def vetoed(components: DataFrame) -> DataFrame:
-    """(component, reasons): components of which some pair, or all names being numbers, forbids the merge.
+    """(component, reasons): components of which some two names, or all being numbers, forbid the merge.
 
-    All pairs of a component count, also those that are not linked; a component of more than ``CAP`` names is compared
-    by blocks of its distinct rule features instead of pairs, see ``feature_vetoes``.
+    The rules hold for any two names of a component, linked or not. None needs all pairs: words, suffixes, levels and
+    lengths are aggregated, sets of types are compared once for each distinct set, and a shorter name within a longer
+    one is found by the up to nine substrings that are one to three characters shorter.
     """
-    numbers = components.groupBy("component").agg(F.bool_and(F.col("name").rlike(vocab.NUMBER)).alias("all"), F.count("*").alias("c")).where("`all` and c > 1").select("component", F.lit("numbers").alias("reason"))
-    a = components.select("component", F.col("name").alias("a"))
-    b = components.select("component", F.col("name").alias("b"))
-    pairs = a.join(b, "component").where("a < b")
-    rules = vetoes(F.col("a"), F.col("b"))
-    found = pairs.select("component", F.explode(F.filter(F.array(*(F.when(c, k) for k, c in rules.items())), lambda x: x.isNotNull())).alias("reason"))
-    return found.unionByName(numbers).groupBy("component").agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
+    c = components.select("component", "name").distinct()
+    n = F.char_length("name")
+    has = lambda w: F.contains("name", F.lit(w))
+    ends = lambda words: F.bool_or(F.col("name").rlike("(" + "|".join(words) + ")$"))
+    facts = {
+        "numbers": F.bool_and(F.col("name").rlike(vocab.NUMBER)) & (F.count("*") > 1),
+        "person_organization": ends(vocab.PERSON_ENDS) & ends(vocab.ORGANIZATION_ENDS),
+        "date_precision": F.min(F.when(levels(F.col("name")) > 0, levels(F.col("name")))) < F.max(levels(F.col("name"))),
+        "length": F.min(n) / F.max(n) < 0.5,
+    }
+    for kind, pairs in (("keywords", vocab.KEYWORD_CONFLICTS), ("semantics", vocab.SEMANTIC_CONFLICTS)):
+        facts[kind] = reduce(lambda x, y: x | y, (F.bool_or(has(p)) & F.bool_or(has(q)) & (F.count_if(has(p) | has(q)) > 1) for p, q in pairs))
+    wide = c.groupBy("component").agg(*(v.alias(k) for k, v in facts.items()))
+    found = wide.select("component", F.explode(F.filter(F.array(*(F.when(F.col(k), k) for k in facts)), lambda x: x.isNotNull())).alias("reason"))
+
+    kinds = c.select("component", types_of(F.col("name")).alias("t")).where(F.size("t") > 0).distinct()  # at most as many as subsets of the kinds
+    clash = kinds.alias("x").join(kinds.alias("y"), "component").where(~F.arrays_overlap("x.t", "y.t")).select("component", F.lit("types").alias("reason"))
+    cut = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.transform(F.sequence(F.lit(0), 3 - i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    parts = c.withColumn("cut", F.explode(F.filter(cut, lambda x: (x["i"] + x["j"] > 0) & (x["i"] + x["j"] < n))))
+    i, j = F.col("cut.i"), F.col("cut.j")
+    short = F.substr("name", i + 1, n - i - j)
+    # what the longer name adds, its first occurrence of the shorter one taken away
+    at = F.instr("name", F.col("short"))
+    parts = parts.withColumn("short", short).withColumn("extra", F.concat(F.substr("name", F.lit(1), at - 1), F.substr("name", at + F.char_length("short"))))
+    parts = parts.where(F.col("extra").rlike(f"[{vocab.DISTINCT_PARTS}]")).select("component", "short")
+    held = c.join(parts.withColumnRenamed("short", "name"), ["component", "name"], "left_semi").select("component", F.lit("containment").alias("reason"))
+    return found.unionByName(clash).unionByName(held).groupBy("component").agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
 
 
 def alias_map(components: DataFrame, forbidden: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from weftgraph.functions import vocab
 from weftgraph.functions.text import draw, order_of
 from weftgraph.operators import graph
+from weftgraph.session import materialise
 
 RELATED = "相关"
 
@@ -137,13 +138,14 @@ def anchor_class(name: Column) -> Column:
 
 def pivots(edges: DataFrame, longest: int = 4, num: int = 10, seed: str = "anchor", chance: float = 0.6) -> DataFrame:
     """(anchor_node, pivot_type, path): a source, the anchor, a target that differ, each end extended by chance."""
-    few = top(anchors(graph.degrees(edges)), num * 10, seed, "name").select(F.col("name").alias("anchor"))
-    one = edges.select("src", "dst").distinct()
+    edges = materialise(edges.select("src", "dst"), "edges")  # read many times below
+    few = materialise(top(anchors(graph.degrees(edges)), num * 10, seed, "name").select(F.col("name").alias("anchor")), "anchors")
+    one = edges.distinct()
     pick = lambda rows, key, other, s: rows.groupBy(key).agg(F.min_by(other, order_of(s, key, other)).alias(other))
     into = pick(one.join(few, F.col("dst") == F.col("anchor"), "left_semi").where("src != dst"), "dst", "src", seed + ".in").select(F.col("dst").alias("anchor"), F.col("src").alias("source"))
     out = one.join(few, F.col("src") == F.col("anchor"), "left_semi").join(into, F.col("src") == F.col("anchor")).where("dst != source and dst != src")
     out = pick(out.select("src", "dst"), "src", "dst", seed + ".out").select(F.col("src").alias("anchor"), F.col("dst").alias("target"))
-    base = into.join(out, "anchor")
+    base = materialise(into.join(out, "anchor"), "pivots")
     before = pick(one.join(base.select(F.col("source").alias("dst")).distinct(), "dst"), "dst", "src", seed + ".before").select(F.col("dst").alias("source"), F.col("src").alias("b"))
     after = pick(one.join(base.select(F.col("target").alias("src")).distinct(), "src"), "src", "dst", seed + ".after").select(F.col("src").alias("target"), F.col("dst").alias("a"))
     rows = base.join(before, "source", "left").join(after, "target", "left")
