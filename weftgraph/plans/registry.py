@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftgraph.plans import graph_queries, page_queries, resolve_queries, sample_queries, text_queries  # noqa: F401
+from weftgraph.plans import graph_queries, page_queries, resolve_queries, run_queries, sample_queries, text_queries  # noqa: F401
 from weftgraph.plans.base import QUERIES, SQL
 
 FLAGSHIP = "graph_stats"
