@@ -17,7 +17,9 @@ def connect(sf_dir):
 def value(v):
     if v is None or isinstance(v, float) and math.isnan(v):
         return "~"
-    return f"{float(v):.6g}" if isinstance(v, float) else str(v)
+    if isinstance(v, float):  # whole numbers beside nulls arrive as floats
+        return str(int(v)) if v == int(v) else f"{v:.6g}"
+    return str(v)
 
 
 def same(spark_frame, sql, sf_dir):
