@@ -4,6 +4,7 @@ import math
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 
 
 def connect(sf_dir):
@@ -15,7 +16,7 @@ def connect(sf_dir):
 
 
 def value(v):
-    if v is None or isinstance(v, float) and math.isnan(v):
+    if v is None or v is pd.NA or isinstance(v, float) and math.isnan(v):
         return "~"
     if isinstance(v, float):  # whole numbers beside nulls arrive as floats
         return str(int(v)) if v == int(v) else f"{v:.6g}"
