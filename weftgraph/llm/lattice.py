@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.llm.words import frequent, tidy
 from weftgraph.session import materialise
 
 SPACE = "▁"
@@ -189,7 +190,7 @@ def text_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def word_table(docs: DataFrame, text: str, own: Column, groups: int, flush: int = 400_000) -> DataFrame:
+def word_table(docs: DataFrame, text: str, own: Column, groups: int, flush: int = 250_000) -> DataFrame:
     """(word, c0, c1, ...): every distinct word of all documents and its number in each group's training texts.
 
     ``own`` is a document's group, or -1 for one that does not train; the empty word is the end of a text.
@@ -220,7 +221,7 @@ def word_table(docs: DataFrame, text: str, own: Column, groups: int, flush: int
                     yield rows()
         yield rows()
 
-    rows = docs.select(F.col(f"`{text}`").alias("t"), own.cast("int").alias("own")).mapInArrow(tally, "word binary, g int, c long")
+    rows = docs.select(F.col(f"`{text}`").alias("t"), own.cast("int").alias("own")).mapInArrow(tidy(tally), "word binary, g int, c long")
     return rows.groupBy("word").agg(*(F.sum(F.when(F.col("g") == k, F.col("c")).otherwise(0)).alias(f"c{k}") for k in range(groups)))
 
 
@@ -270,13 +271,13 @@ def learn_weights(counts: DataFrame, model_path: str, groups: int, rounds: int,
     # a row of the vocabulary's size for each task and group, added up in eight tasks and then here
     v = vocabulary(model_path)
     added: dict = {}
-    for g, *parts in counts.mapInArrow(learn, fields).repartition(8).mapInArrow(add_up, fields).collect():
+    for g, *parts in counts.mapInArrow(tidy(learn), fields).repartition(8).mapInArrow(tidy(add_up), fields).collect():
         parts = [np.frombuffer(x, np.float64) for x in parts]
         added[g] = parts if g not in added else [x + y for x, y in zip(added[g], parts)]
     return [weights_from(x[0], x[1], *(float(y[0]) for y in x[2:]), v) if (x := added.get(g)) else Weights.of_prior(v) for g in range(groups)]
 
 
-def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", group: str | None = "lang", values: tuple[str, ...] = ("en", "de", "fr", "es"), hot_words: int = 300_000, rounds: int = 4, chunk: int = 20_000) -> DataFrame:
+def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", group: str | None = "lang", values: tuple[str, ...] = ("en", "de", "fr", "es"), hot_words: int = 300_000, rounds: int = 3, chunk: int = 20_000) -> DataFrame:
     """(key, h, n_tokens, n_known, train_tokens, base_score, score), a row for each row of ``docs``; scores in log10.
 
     Training texts are grouped by the ``values`` of column ``group``, all others in one more group; without one, all
@@ -305,9 +306,11 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
         for b in batches:
             words, c = b.column(0).to_pylist(), np.stack([x.to_numpy(zero_copy_only=False) for x in b.columns[1:]], 1).astype(np.float64)
             lp = np.full(c.shape, NEVER)
+            used = [k for k in range(groups) if share[k] > 0]
             real = [k for k, x in enumerate(words) if x]
             for at, x in lattices([words[k].decode("utf-8", "replace") for k in real], v):
-                lp[[real[j] for j in at]] = np.stack([x.log_probability(w) for w in ws], 1)
+                for k in used:
+                    lp[[real[j] for j in at], k] = x.log_probability(ws[k])
             lp[[k for k, x in enumerate(words) if not x]] = np.where(n_g > 0, NEVER, np.log(0.5))  # a group without texts
             p = np.maximum(c - discount, 0) / np.maximum(n_g, 1)
             with np.errstate(divide="ignore"):
@@ -316,8 +319,8 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
 
     lps = [f"lp{k}" for k in range(groups)]
     columns = ", ".join(f"{x} double" for x in lps)
-    scored = materialise(counts.mapInArrow(weigh, f"word binary, c long, {columns}"), "word-scores")
-    top = scored.orderBy(F.desc("c"), "word").limit(hot_words).toPandas()  # at most hot_words rows
+    scored = materialise(counts.mapInArrow(tidy(weigh), f"word binary, c long, {columns}"), "word-scores")
+    top = frequent(scored, "word", "c", hot_words).toPandas()  # about hot_words rows
     base_of = lambda c: np.log10((c + 0.1) / (n + 0.1 * (distinct + 1)))
     table = np.column_stack([base_of(top["c"].to_numpy(np.float64)), (top["c"].to_numpy() > 0).astype(np.float64), top[lps].to_numpy(np.float64)])
     hot = spark.sparkContext.broadcast(([bytes(w) for w in top["word"]], table))
@@ -353,10 +356,10 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
                     at = pa.array(at, pa.int32())
                     yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(words, pa.binary()), pa.array(tf, pa.int32())], ["k", "h", "word", "tf"])
 
-    rare = rows.mapInArrow(others, f"k {kind}, h long, word binary, tf int").join(scored, "word")
+    rare = rows.mapInArrow(tidy(others), f"k {kind}, h long, word binary, tf int").join(scored, "word")
     base = F.log10((F.col("c") + F.lit(0.1)) / (F.lit(float(n)) + F.lit(0.1) * F.lit(distinct + 1)))
     rare = rare.select("k", "h", F.lit(0).alias("m"), F.lit(0).cast("long").alias("n_tokens"), (base * F.col("tf")).alias("base_score"), F.when(F.col("c") > 0, F.col("tf")).otherwise(0).cast("double").alias("n_known"), *((F.col(x) * F.col("tf")).alias(x) for x in lps))
-    whole = rows.mapInArrow(known, f"k {kind}, h long, m int, n_tokens long, base_score double, n_known double, {columns}")
+    whole = rows.mapInArrow(tidy(known), f"k {kind}, h long, m int, n_tokens long, base_score double, n_known double, {columns}")
     out = whole.unionByName(rare).groupBy("k", "h").agg(*(F.sum(c).alias(c) for c in ("m", "n_tokens", *sums)))
     out = out.withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), "m")))  # rows that are repeated were added up
     # the marginal over the groups, in log space
@@ -366,12 +369,7 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
     return out.select(F.col("k").alias(key), "h", *(F.round(F.col(c) / F.col("m")).cast("long").alias(c) for c in ("n_tokens", "n_known")), F.lit(n).cast("long").alias("train_tokens"), (F.col("base_score") / F.col("m")).alias("base_score"), score.alias("score"))
 
 
-_HOT: dict = {}
-
-
 def hot_index(sent) -> tuple[dict[bytes, int], np.ndarray]:
-    """The table of frequent words, indexed once for each worker."""
+    """The table of frequent words and their places in it."""
     words, table = sent.value
-    if _HOT.get("of") is not table:
-        _HOT.update(of=table, index={w: k for k, w in enumerate(words)})
-    return _HOT["index"], table
+    return {w: k for k, w in enumerate(words)}, table
