@@ -5,8 +5,9 @@ words). Two permutations of a ring of 2^32 places make all coordinates of the si
 shingles, the second is applied after a circular shift by k to give coordinate k. Coordinates are banded.
 
 1. Documents of equal sets form one class; its smallest id represents it.
-2. In each band bucket every representative is paired with the bucket's smallest one, and such pairs are verified on
-   full sets: as many pairs as members, however large a bucket is.
+2. A band bucket is headed by its smallest member. In each of a few rounds every representative is paired with the
+   smallest head that it shares a bucket with and that is of another component, and the pairs are verified on full sets:
+   one pair each, however large a bucket is.
 3. Buckets that still hold several components are compared in blocks, by set size and by one byte of every coordinate;
    the pairs that remain are verified on full sets. Pairs within one component need no check. No bucket is capped.
 Components come from the verified links; component ids are the smallest reachable ids.
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.llm.components import connected
+from weftgraph.llm.words import tidy
 from weftgraph.session import materialise
 
 #: Multipliers of 32- and 64-bit bijective mixers.
@@ -37,7 +39,7 @@ MIX64 = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 class Shingler:
     """Sets of 64-bit shingle hashes; the hashes of words stay in a bounded memo."""
 
-    def __init__(self, width: int = 5, memo_size: int = 500_000):
+    def __init__(self, width: int = 5, memo_size: int = 200_000):
         self.width, self.memo_size = width, memo_size
         self.memo: dict[bytes, int] = {}
 
@@ -128,7 +130,7 @@ def describe(docs: DataFrame, key: str, text: str, width: int, bands: int, rows:
                     sketch.append((sig & np.uint32(255)).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(band, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], ["id", "n", "digest", "bands", "sketch"])
 
-    return docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "id long, n long, digest binary, bands array<long>, sketch binary")
+    return docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(tidy(run), "id long, n long, digest binary, bands array<long>, sketch binary")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, block: int = 512) -> DataFrame:
@@ -139,18 +141,21 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, block:
     rows = texts.join(member.unionByName(head), "id").select("a", "blk", "role", "id", "text")
 
     def run(batches):
-        s, now, own = Shingler(width), None, None
+        s, now, own = Shingler(width), None, []
         for b in batches:
             a, got = [], []
             for head, blk, role, i, t in zip(*(c.to_pylist() for c in b.columns)):
                 if role == 0:
-                    now, own = (head, blk), s.set_of(t)
-                elif (head, blk) == now and similar(own, s.set_of(t), percent):
-                    a.append(head), got.append(i)
+                    own = [*own, s.set_of(t)] if (head, blk) == now else [s.set_of(t)]
+                    now = (head, blk)
+                elif (head, blk) == now:
+                    mine = s.set_of(t)
+                    if any(similar(x, mine, percent) for x in own):
+                        a.append(head), got.append(i)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(got, pa.int64())], ["a", "b"])
 
-    return rows.repartition("a", "blk").sortWithinPartitions("a", "blk", "role", "id").mapInArrow(run, "a long, b long")
+    return rows.repartition("a", "blk").sortWithinPartitions("a", "blk", "role", "id").mapInArrow(tidy(run), "a long, b long")
 
 
 def rest_pairs(members: DataFrame, percent: int, least: float, block: int = 4096) -> DataFrame:
@@ -202,37 +207,70 @@ def rest_pairs(members: DataFrame, percent: int, least: float, block: int = 4096
         if len(group) > 1 and (found := list(pairs_of(group))):
             yield out(found)
 
-    return rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "id").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "id").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5, bands: int = 24, rows: int = 5) -> DataFrame:
+def picked(rows: DataFrame, key: str, ids: DataFrame, keep: bool = True, most: int = 4_000_000) -> DataFrame:
+    """The rows whose key is among ``ids`` (written before), or is not. Up to ``most`` ids, counted first, are broadcast
+    (8 bytes each); more are joined through a shuffle."""
+    side = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
+    if ids.count() <= most:
+        side = F.broadcast(side)
+    return rows.join(side, key, "left_semi" if keep else "left_anti")
+
+
+def contracted(links: DataFrame, comp_of: DataFrame) -> DataFrame:
+    """Links between components."""
+    a, b = (comp_of.select(F.col("rep").alias(x), F.col("comp").alias(f"c{x}")) for x in "ab")
+    return links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5, bands: int = 24, rows: int = 5, star_rounds: int = 2) -> DataFrame:
     """(key, n_shingles, component_id, kept), a row for each row of ``docs``."""
     known = materialise(describe(docs, key, text, width, bands, rows), "minhash")
     some = known.where("id is not null and digest is not null")
-    classes = materialise(some.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("n", "id").alias("n"), F.min_by("bands", "id").alias("bands"), F.min_by("sketch", "id").alias("sketch")), "classes")
+    classes = some.groupBy("digest").agg(F.min(F.struct("id", "n", "bands", "sketch")).alias("m"))
+    classes = materialise(classes.select("digest", F.col("m.id").alias("rep"), "m.n", "m.bands", "m.sketch"), "classes")
     several = some.groupBy("id").agg(F.min("digest").alias("p"), F.max("digest").alias("q")).where("p != q").select("id")
     same_id = some.join(several, "id").join(classes.select("digest", "rep"), "digest").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    # an id may represent several classes: their rows are told apart by nothing, so its texts are verified together
+
     buckets = classes.select(F.explode("bands").alias("bucket"), "rep")
-    heads = buckets.groupBy("bucket").agg(F.min("rep").alias("a"), F.count("*").alias("c")).where("c > 1")
+    heads = buckets.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("c")).where("c > 1")
+    shared = materialise(buckets.join(heads, "bucket"), "buckets")  # only what has company
+    names = materialise(shared.select("rep").distinct(), "candidates")
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    star = materialise(buckets.join(heads, "bucket").where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "star")
-    links = verify(star, texts, width, percent).unionByName(same_id)
-    comp = materialise(connected(links), "components")
-
-    comp_of = classes.join(comp, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("component", "rep").alias("comp"), "n", "bands", "sketch")
-    bucketed = comp_of.select(F.explode("bands").alias("bucket"), "comp")
-    mixed = bucketed.groupBy("bucket").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("c")).where("p != q").select("bucket", "c")
-    members = comp_of.select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"), "comp", "n", "sketch").join(mixed, "bucket")
-    size = bands * rows
-    least = percent / 100 - 4.6 * (percent / 100 * (1 - percent / 100) / size) ** 0.5
-    rest = materialise(rest_pairs(members, percent, least).join(star, ["a", "b"], "left_anti"), "rest")
-    more = verify(rest, texts, width, percent)
-    narrow = comp_of.select("rep", "comp")
-    more = more.join(narrow.select(F.col("rep").alias("a"), F.col("comp").alias("ca")), "a").join(narrow.select(F.col("rep").alias("b"), F.col("comp").alias("cb")), "b")
-    last = connected(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    final = narrow.join(last, F.col("comp") == F.col("node"), "left").select("rep", F.coalesce("component", "comp").alias("component_id"))
-    by_digest = classes.select("digest", "rep").join(final, "rep").select("digest", "component_id").groupBy("digest").agg(F.min("component_id").alias("component_id"))
+    texts = materialise(picked(texts, "id", names), "candidate-texts")
+
+    # each representative meets the smallest head of another component that it shares a bucket with
+    comp_of = classes.select("rep", F.col("rep").alias("comp"))
+    tested = None
+    for k in range(star_rounds):
+        both = shared.select("rep", "head").where("rep != head")
+        if k:
+            mine, theirs = comp_of.select("rep", F.col("comp").alias("ca")), comp_of.select(F.col("rep").alias("head"), F.col("comp").alias("cb"))
+            both = both.join(mine, "rep").join(theirs, "head").where("ca != cb").join(tested, ["rep", "head"], "left_anti")
+        pairs = materialise(both.groupBy("rep").agg(F.min("head").alias("head")), "star")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = verify(pairs.select(F.col("head").alias("a"), F.col("rep").alias("b")), texts, width, percent)
+        links = contracted(links, comp_of) if k else links.unionByName(same_id)
+        comp_of = joined_up(comp_of, connected(links))
+
+    labelled = shared.select("bucket", "rep").join(comp_of, "rep")
+    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("c")).where("p != q").select("bucket", "c")
+    members = labelled.join(mixed, "bucket").join(classes.groupBy("rep").agg(F.min("n").alias("n"), F.min_by("sketch", "n").alias("sketch")), "rep")
+    members = members.select("bucket", F.col("rep").alias("id"), "comp", "n", "sketch", "c")
+    share = percent / 100
+    least = share - 4.6 * (share * (1 - share) / (bands * rows)) ** 0.5
+    rest = rest_pairs(members, percent, least).join(tested.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")), ["a", "b"], "left_anti")
+    more = contracted(verify(materialise(rest, "rest"), texts, width, percent), comp_of)
+    comp_of = joined_up(comp_of, connected(more))
+    by_digest = classes.select("digest", "rep").join(comp_of.distinct(), "rep").select("digest", F.col("comp").alias("component_id"))
     out = known.select("id", F.col("n").alias("n_shingles"), "digest").join(by_digest, "digest", "left")
     found = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(key), "n_shingles", found.alias("component_id"), F.coalesce(found == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def joined_up(comp_of: DataFrame, found: DataFrame) -> DataFrame:
+    """(rep, comp) after components have been joined to the smallest of them."""
+    out = comp_of.join(found, F.col("comp") == F.col("node"), "left").select("rep", F.coalesce("component", "comp").alias("comp"))
+    return materialise(out.distinct(), "components")

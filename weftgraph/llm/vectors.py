@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm.components import connected
+from weftgraph.llm.words import tidy
 from weftgraph.session import materialise
 
 
@@ -120,7 +121,7 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
                 order = ix.cell_order(unit, ix.visits).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ix.cells(unit), pa.int32()), pa.array(list(order), pa.list_(pa.int32()))], [*part.schema.names, "cell", "visits"])
 
-    placed = classes.mapInArrow(place, T.StructType([*classes.schema, T.StructField("cell", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))]))
+    placed = classes.mapInArrow(tidy(place), T.StructType([*classes.schema, T.StructField("cell", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))]))
     placed = materialise(placed.select(F.struct("label", "dim").alias("group"), "rep", "mult", "v", "cell", "visits"), "vector-cells")
     sizes = placed.groupBy("group", "cell").agg(F.count("*").alias("members"))
     probes = placed.select("group", "rep", "mult", "v", F.col("cell").alias("own"), F.explode("visits").alias("cell"))
@@ -192,7 +193,7 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
         if found := list(close()):
             yield batch(found)
 
-    met = rows_.repartition("g", "cell", "x", "y").sortWithinPartitions("g", "cell", "x", "y", "role", "rep").mapInArrow(compare, "kind int, a long, b long, n long")
+    met = rows_.repartition("g", "cell", "x", "y").sortWithinPartitions("g", "cell", "x", "y", "role", "rep").mapInArrow(tidy(compare), "kind int, a long, b long, n long")
     met = materialise(met, "vector-links")
     numbers = met.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     same_id = good.join(classes.select("label", "v", "rep"), ["label", "v"]).where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
