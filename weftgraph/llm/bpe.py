@@ -20,24 +20,30 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftgraph.llm.words import frequent, tidy
+from weftgraph.session import materialise
+
 #: White space as the tokenizers library's patterns take it (Unicode White_Space).
 WS = r"\t-\r\x20\x85\xa0  -     　"
 #: The published pattern of the byte-level vocabulary.
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WS}\p{{L}}\p{{N}}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
 #: A run of white space with what follows it: no word crosses such a border.
 CHUNK = regex.compile(rf"[{WS}]*[^{WS}]+|[{WS}]+")
-ODD = regex.compile(rf"[{WS}] |^ | $")
+#: White space before a space: only there can a cut before a space part what belongs together.
+ODD = tuple(chr(c) + " " for c in (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+ODD_ASCII = ODD[:6]
 GAP = 0xFFFF
 
 
 class Codec:
     """One vocabulary file: words, ids of a word, pieces of ids."""
 
-    def __init__(self, path: str, memo_size: int = 300_000, memo_chars: int = 64):
+    def __init__(self, path: str, memo_size: int = 120_000, memo_chars: int = 64):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -54,17 +60,19 @@ class Codec:
         if self.size > GAP:
             raise ValueError("vocabularies of up to 65,535 ids are packed in two bytes")
         self.memo_size, self.memo_chars = memo_size, memo_chars
-        self.spec = spec
 
     def encode_word(self, word: str) -> bytes:
         return np.asarray(self.tok.encode(word, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     @staticmethod
-    def chunks(text: str) -> list[str]:
-        if ODD.search(text):
+    def odd(text: str) -> bool:
+        return any(x in text for x in (ODD_ASCII if text.isascii() else ODD))
+
+    def chunks(self, text: str) -> list[str]:
+        if self.odd(text):
             return CHUNK.findall(text)
         first, *rest = text.split(" ")
-        return [first, *(" " + x for x in rest)] if first or rest else []
+        return [x for x in (first, *(" " + x for x in rest)) if x]
 
     def parts(self, text: str) -> list[tuple[str, int]]:
         """(text, -1) or ("", id of an added token), as the library cuts a text before anything else."""
@@ -81,21 +89,9 @@ class Codec:
     def words(self, text: str | None) -> list[str]:
         return [w for t, i in self.parts(text or "") if i < 0 for c in self.chunks(t) for w in self.cut(c)]
 
-    def pieces(self) -> list[bytes]:
-        """The bytes of each id."""
-        ranges = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        of = {chr(b): b for b in ranges}
-        of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(ranges))}
-        out = [b""] * self.size
-        for piece, i in self.spec["model"]["vocab"].items():
-            out[i] = bytes(of[ch] for ch in piece) if all(ch in of for ch in piece) else piece.encode()
-        for content, i in self.added.items():
-            out[i] = content.encode()
-        return out
-
 
 class Splitter:
-    """Packs a text's known ids and lists the words left open."""
+    """Packs a text's known ids and lists the words left open. Chunks that follow a space stay in a bounded memo."""
 
     def __init__(self, codec: Codec, hot: dict[str, bytes]):
         self.codec, self.hot = codec, hot
@@ -103,33 +99,46 @@ class Splitter:
         self.open: dict[str, list[str]] = {}
         self.gap = np.asarray([GAP], dtype="<u2").tobytes()
 
-    def chunk(self, c: str) -> bytes:
-        words = self.codec.cut(c)
+    def raw(self, chunk: str) -> tuple[bytes, list[str]]:
+        words = self.codec.cut(chunk)
         packed = [self.hot.get(w, self.gap) for w in words]
-        left = [w for w, p in zip(words, packed) if p is self.gap]
-        out = b"".join(packed)
-        if len(self.memo) >= self.codec.memo_size:
-            self.memo.clear()
-            self.open.clear()
-        self.memo[c] = out
+        return b"".join(packed), [w for w, p in zip(words, packed) if p is self.gap]
+
+    def learn(self, chunk: str) -> bytes:
+        """The chunk with a space before it."""
+        self.memo[chunk], left = self.raw(" " + chunk)
         if left:
-            self.open[c] = left
-        return out
+            self.open[chunk] = left
+        return self.memo[chunk]
 
     def pack(self, text: str | None) -> tuple[bytes, list[str]]:
+        if len(self.memo) > self.codec.memo_size:
+            self.memo.clear()
+            self.open.clear()
         out, left = [], []
         for t, i in self.codec.parts(text or ""):
             if i >= 0:
                 out.append(np.asarray([i], dtype="<u2").tobytes())
-                continue
-            for c in self.codec.chunks(t):
-                p = self.memo.get(c)
-                if p is None:
-                    p = self.chunk(c)
-                out.append(p)
-                if c in self.open:
-                    left += self.open[c]
-                if len(c) > self.codec.memo_chars:
+            elif self.codec.odd(t):
+                for c in CHUNK.findall(t):
+                    p, w = self.raw(c)
+                    out.append(p)
+                    left += w
+            else:
+                first, *rest = t.split(" ")
+                p, w = self.raw(first)
+                left += w
+                got = list(map(self.memo.get, rest))
+                long = []
+                if None in got:
+                    for k, x in enumerate(got):
+                        if x is None:
+                            got[k] = self.learn(rest[k])
+                            if len(rest[k]) > self.codec.memo_chars:
+                                long.append(rest[k])
+                out += [p, *got]
+                left += [w for c in rest if c in self.open for w in self.open[c]]
+                for c in long:
                     self.memo.pop(c, None)
                     self.open.pop(c, None)
         return b"".join(out), left
@@ -141,10 +150,10 @@ def codec(path: str) -> Codec:
 
 
 def hot_table(docs: DataFrame, path: str, text: str, hot_words: int, sample_rows: int) -> dict[str, bytes]:
-    """Ids of at most ``hot_words`` words that are frequent in at most ``sample_rows`` texts."""
+    """Ids of at most ``hot_words`` words that are frequent in about ``sample_rows`` texts."""
     n = docs.count()
     share = min(1.0, sample_rows / max(n, 1))
-    few = docs.select(F.col(f"`{text}`").alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(sample_rows)
+    few = docs.select(F.col(f"`{text}`").alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)  # sample_rows, give or take the chance of a hash
 
     def tally(batches):
         from collections import Counter as Tally
@@ -171,8 +180,8 @@ def hot_table(docs: DataFrame, path: str, text: str, hot_words: int, sample_rows
                 yield rows()
         yield rows()
 
-    top = few.mapInArrow(tally, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(hot_words)
-    words = [r[0] for r in top.select("word").collect()]
+    seen = materialise(few.mapInArrow(tidy(tally), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "sample-words")
+    words = frequent(seen, "word", "n", hot_words).select("word").toPandas()["word"].tolist()
     c = codec(path)
     out = {}
     for k in range(0, len(words), 20_000):
@@ -182,12 +191,13 @@ def hot_table(docs: DataFrame, path: str, text: str, hot_words: int, sample_rows
     return out
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot_words: int = 400_000, sample_rows: int = 20_000) -> DataFrame:
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot_words: int = 300_000, sample_rows: int = 30_000) -> DataFrame:
     """A row for each row of ``docs``: ``key`` and ``ids`` (binary, two bytes an id, little end first)."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType
     known = spark.sparkContext.broadcast(hot_table(docs, path, text, hot_words, sample_rows))
-    base = docs.select(F.col(f"`{key}`").alias("k"), F.hash(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"))
+    # of rows with one id, fifteen bits of a hash tell the texts apart
+    base = docs.select(F.col(f"`{key}`").alias("k"), F.pmod(F.hash(F.col(f"`{text}`")), F.lit(1 << 15)).cast("long").alias("h"), F.col(f"`{text}`").alias("t"))
     arrow = pa.int64() if isinstance(kind, T.LongType) else pa.int32() if isinstance(kind, T.IntegerType) else pa.string()
     if arrow == pa.string():
         base = base.withColumn("k", F.col("k").cast("string"))
@@ -197,9 +207,9 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         s = Splitter(codec(path), known.value)
         for b in batches:
             for k in range(0, b.num_rows, 256):
-                rows = [(w, i, h, at) for i, h, t in zip(*(col.to_pylist() for col in b.slice(k, 256).columns)) for at, w in enumerate(s.pack(t)[1])]
+                rows = [(w, i, h << 48 | at + 1) for i, h, t in zip(*(col.to_pylist() for col in b.slice(k, 256).columns)) for at, w in enumerate(s.pack(t)[1])]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), (pa.string(), arrow, pa.int32(), pa.int32()))], ["w", "k", "h", "at"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), (pa.string(), arrow, pa.int64()))], ["w", "k", "at"])
 
     def merged(batches):
         c, last, ids = codec(path), None, b""
@@ -209,17 +219,18 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                 if w != last:
                     last, ids = w, c.encode_word(w)
                 got.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array(got, pa.binary())], ["k", "h", "at", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(got, pa.binary())], ["k", "at", "ids"])
 
     def packed(batches):
-        s = Splitter(codec(path), known.value)
+        s, z = Splitter(codec(path), known.value), zstandard.ZstdCompressor(level=1)
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([-1] * part.num_rows, pa.int32()), pa.array([s.pack(t)[0] for t in part.column(2).to_pylist()], pa.binary())], ["k", "h", "at", "ids"])
+                ids = [z.compress(s.pack(t)[0]) for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([h << 48 for h in part.column(1).to_pylist()], pa.int64()), pa.array(ids, pa.binary())], ["k", "at", "ids"])
 
     def filled(batches):
-        now, texts, fill, seen = None, [], [], -1
+        now, texts, fill, seen = None, [], [], 0
 
         def flush():
             for p in texts:
@@ -237,16 +248,17 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         def batch(rows):
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], arrow), pa.array([r[1] for r in rows], pa.binary())], [key, "ids"])
 
-        out, size = [], 0
+        out, size, z = [], 0, zstandard.ZstdDecompressor()
         for b in batches:
-            for i, h, at, ids in zip(*(col.to_pylist() for col in b.columns)):
+            for i, at, ids in zip(*(col.to_pylist() for col in b.columns)):
+                h, at = at >> 48, at & (1 << 48) - 1
                 if (i, h) != now:
                     done = list(flush()) if now else []
                     out += done
                     size += sum(len(x[1]) for x in done)
-                    now, texts, fill, seen = (i, h), [], [], -1
-                if at < 0:
-                    texts.append(ids)
+                    now, texts, fill, seen = (i, h), [], [], 0
+                if not at:
+                    texts.append(z.decompress(ids))
                 elif at > seen:  # rows that are repeated bring each place again
                     fill.append(ids)
                     seen = at
@@ -258,10 +270,10 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         if out:
             yield batch(out)
 
-    rows = f"k {ktype}, h int, at int, ids binary"
-    rare = base.mapInArrow(gaps, f"w string, k {ktype}, h int, at int").repartition(F.col("w")).sortWithinPartitions("w").mapInArrow(merged, rows)
-    whole = base.mapInArrow(packed, rows)
-    out = whole.union(rare).repartition(F.col("k"), F.col("h")).sortWithinPartitions("k", "h", "at").mapInArrow(filled, f"`{key}` {ktype}, ids binary")
+    rows = f"k {ktype}, at long, ids binary"
+    rare = base.mapInArrow(tidy(gaps), f"w string, k {ktype}, at long").repartition(F.col("w")).sortWithinPartitions("w").mapInArrow(tidy(merged), rows)
+    whole = base.mapInArrow(tidy(packed), rows)
+    out = whole.union(rare).repartition(F.col("k")).sortWithinPartitions("k", "at").mapInArrow(tidy(filled), f"`{key}` {ktype}, ids binary")
     return out if out.schema[key].dataType == kind else out.withColumn(key, F.col(f"`{key}`").cast(kind))
 
 
@@ -278,7 +290,19 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> list[bytes]:
-    return codec(path).pieces()
+    """The bytes of each id: the id-to-piece table."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    ranges = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    of = {chr(b): b for b in ranges}
+    of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(ranges))}
+    vocab, added = spec["model"]["vocab"], {a["content"]: a["id"] for a in spec["added_tokens"]}
+    out = [b""] * (max([*vocab.values(), *added.values()]) + 1)
+    for piece, i in vocab.items():
+        out[i] = bytes(of[ch] for ch in piece) if all(ch in of for ch in piece) else piece.encode()
+    for content, i in added.items():
+        out[i] = content.encode()
+    return out
 
 
 def joined(packed: bytes, table: list[bytes]) -> bytes:
@@ -289,7 +313,8 @@ def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """Number of ids, and digests of the ids and of the text that they decode to."""
 
     def rows(batches):
-        table, names = pieces(path), [str(i) for i in range(codec(path).size)]
+        table = pieces(path)
+        names = [str(i) for i in range(len(table))]
         for b in batches:
             n, a, d = [], [], []
             for p in b.column(1).to_pylist():
@@ -300,4 +325,4 @@ def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(d)], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = encoded.schema[key].dataType.simpleString()
-    return encoded.select(f"`{key}`", "ids").mapInArrow(rows, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encoded.select(f"`{key}`", "ids").mapInArrow(tidy(rows), f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
