@@ -107,7 +107,7 @@ def test_minhash(spark, percent):
 def test_minhash_rest_pairs(spark):
     """Without rounds of best partners every link is found by the blocks."""
     rows = near_group(30)
-    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), percent=85, star_rounds=1).collect()}
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), percent=85, best_rounds=0).collect()}
     assert got == classes({i: shingles(t) for i, t in rows}, 85)
 
 

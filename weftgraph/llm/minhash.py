@@ -5,11 +5,12 @@ words). Two permutations of a ring of 2^32 places make all coordinates of the si
 shingles, the second is applied after a circular shift by k to give coordinate k. Coordinates are banded.
 
 1. Documents of equal sets form one class; its smallest id represents it.
-2. A band bucket is headed by its smallest member. In each of a few rounds every representative is paired with the
-   smallest head that it shares a bucket with and that is of another component, and the pairs are verified on full sets:
-   one pair each, however large a bucket is.
-3. Buckets that still hold several components are compared in blocks, by set size and by one byte of every coordinate;
-   the pairs that remain are verified on full sets. Pairs within one component need no check. No bucket is capped.
+2. A band bucket is headed by its smallest member. Every representative is paired with the smallest head that it shares
+   a bucket with, and the pairs are verified on full sets: one pair each, however large a bucket is.
+3. Buckets that still hold several components are compared in blocks, by set size and by one byte of every coordinate.
+   In two rounds every member is verified against its most similar partner of another component, which joins nearly all
+   that belongs together; then every pair that is left is verified. Pairs within one component need no check. No bucket
+   is capped.
 Components come from the verified links; component ids are the smallest reachable ids.
 
 Defined results: null text and text without words have the empty set and link with nothing; rows without an id get no
@@ -158,10 +159,12 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, block:
     return rows.repartition("a", "blk").sortWithinPartitions("a", "blk", "role", "id").mapInArrow(tidy(run), "a long, b long")
 
 
-def rest_pairs(members: DataFrame, percent: int, least: float, block: int = 4096) -> DataFrame:
-    """Pairs of different components within a bucket whose sizes and sketches do not rule them out, block against block.
+def rest_pairs(members: DataFrame, percent: int, least: float, best: int = 0, block: int = 4096) -> DataFrame:
+    """(a, b, score): pairs of different components within a bucket that sizes and sketches do not rule out.
 
-    ``members``: (bucket, id, comp, n, sketch, c), c being the bucket's size.
+    ``members``: (bucket, id, comp, n, sketch, c), c being the bucket's size. Blocks meet blocks, so a task holds two.
+    With ``best``, only so many partners of each member ``a`` in a bucket, those of the most equal sketches; else all
+    pairs, a < b. The score is the share of equal bytes.
     """
     blocks = F.ceil(F.col("c") / block).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
@@ -169,31 +172,31 @@ def rest_pairs(members: DataFrame, percent: int, least: float, block: int = 4096
     rows = rows.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "comp", "n", "sketch")
 
     def pairs_of(group):
-        own = np.asarray([r[0] for r in group])
-        ids = np.asarray([r[1] for r in group])
-        comp = np.asarray([r[2] for r in group])
-        n = np.asarray([r[3] for r in group])
+        own, ids, comp, n = (np.asarray([r[k] for r in group]) for k in range(4))
         sk = np.frombuffer(b"".join(r[4] for r in group), np.uint8).reshape(len(group), -1)
         order = np.argsort(n, kind="stable")
         own, ids, comp, n, sk = own[order], ids[order], comp[order], n[order], sk[order]
         two = len(set(own.tolist())) > 1
         ends = np.searchsorted(n, n * 100 // percent, side="right")
-        for i in range(len(ids) - 1):
-            j = slice(i + 1, ends[i])
-            ok = comp[j] != comp[i]
-            if two:
-                ok &= own[j] != own[i]
-            at = np.flatnonzero(ok)
-            if len(at):
-                at = at[(sk[j][at] == sk[i]).mean(1) >= least]
-                for q in (at + i + 1).tolist():
-                    yield min(ids[i], ids[q]), max(ids[i], ids[q])
+        starts = np.searchsorted(n, -(-n * percent // 100)) if best else np.arange(1, len(n) + 1)
+        for i in range(len(ids)):
+            at = np.arange(starts[i], ends[i])
+            at = at[(comp[at] != comp[i]) & (own[at] != own[i])] if two else at[comp[at] != comp[i]]
+            if not len(at):
+                continue
+            score = (sk[at] == sk[i]).mean(1)
+            keep = np.flatnonzero(score >= least)
+            if best and len(keep) > best:
+                keep = keep[np.argpartition(-score[keep], best - 1)[:best]]
+            for q, x in zip(at[keep].tolist(), score[keep].tolist()):
+                a, b = int(ids[i]), int(ids[q])
+                yield (a, b, x) if best else (min(a, b), max(a, b), x)
 
     def run(batches):
         now, group = None, []
 
         def out(found):
-            return pa.RecordBatch.from_arrays([pa.array([int(p[0]) for p in found], pa.int64()), pa.array([int(p[1]) for p in found], pa.int64())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "score"])
 
         for b in batches:
             found = []
@@ -207,7 +210,7 @@ def rest_pairs(members: DataFrame, percent: int, least: float, block: int = 4096
         if len(group) > 1 and (found := list(pairs_of(group))):
             yield out(found)
 
-    return rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "id").mapInArrow(tidy(run), "a long, b long").distinct()
+    return rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "id").mapInArrow(tidy(run), "a long, b long, score double")
 
 
 def picked(rows: DataFrame, key: str, ids: DataFrame, keep: bool = True, most: int = 4_000_000) -> DataFrame:
@@ -225,7 +228,7 @@ def contracted(links: DataFrame, comp_of: DataFrame) -> DataFrame:
     return links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5, bands: int = 24, rows: int = 5, star_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5, bands: int = 24, rows: int = 5, best_rounds: int = 2) -> DataFrame:
     """(key, n_shingles, component_id, kept), a row for each row of ``docs``."""
     known = materialise(describe(docs, key, text, width, bands, rows), "minhash")
     some = known.where("id is not null and digest is not null")
@@ -241,29 +244,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     texts = materialise(picked(texts, "id", names), "candidate-texts")
 
-    # each representative meets the smallest head of another component that it shares a bucket with
+    # each representative meets the smallest head that it shares a bucket with
+    tested = materialise(shared.where("rep != head").groupBy("rep").agg(F.min("head").alias("head")).select(F.col("head").alias("a"), F.col("rep").alias("b")), "star")
     comp_of = classes.select("rep", F.col("rep").alias("comp"))
-    tested = None
-    for k in range(star_rounds):
-        both = shared.select("rep", "head").where("rep != head")
-        if k:
-            mine, theirs = comp_of.select("rep", F.col("comp").alias("ca")), comp_of.select(F.col("rep").alias("head"), F.col("comp").alias("cb"))
-            both = both.join(mine, "rep").join(theirs, "head").where("ca != cb").join(tested, ["rep", "head"], "left_anti")
-        pairs = materialise(both.groupBy("rep").agg(F.min("head").alias("head")), "star")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = verify(pairs.select(F.col("head").alias("a"), F.col("rep").alias("b")), texts, width, percent)
-        links = contracted(links, comp_of) if k else links.unionByName(same_id)
-        comp_of = joined_up(comp_of, connected(links))
-
-    labelled = shared.select("bucket", "rep").join(comp_of, "rep")
-    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("c")).where("p != q").select("bucket", "c")
-    members = labelled.join(mixed, "bucket").join(classes.groupBy("rep").agg(F.min("n").alias("n"), F.min_by("sketch", "n").alias("sketch")), "rep")
-    members = members.select("bucket", F.col("rep").alias("id"), "comp", "n", "sketch", "c")
+    comp_of = joined_up(comp_of, connected(verify(tested, texts, width, percent).unionByName(same_id)))
+
+    # then those of buckets with several components meet the partners of the most equal sketches, one each in a round
     share = percent / 100
     least = share - 4.6 * (share * (1 - share) / (bands * rows)) ** 0.5
-    rest = rest_pairs(members, percent, least).join(tested.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")), ["a", "b"], "left_anti")
-    more = contracted(verify(materialise(rest, "rest"), texts, width, percent), comp_of)
-    comp_of = joined_up(comp_of, connected(more))
+    facts = classes.groupBy("rep").agg(F.min("n").alias("n"), F.min_by("sketch", "n").alias("sketch"))
+    for k in range(best_rounds + 1):
+        labelled = shared.select("bucket", "rep").join(comp_of, "rep")
+        mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("c")).where("p != q").select("bucket", "c")
+        members = labelled.join(mixed, "bucket").join(facts, "rep").select("bucket", F.col("rep").alias("id"), "comp", "n", "sketch", "c")
+        met = rest_pairs(members, percent, least, best=3 if k < best_rounds else 0)
+        if k < best_rounds:
+            met = met.withColumn("me", F.col("a")).select("me", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score").join(tested, ["a", "b"], "left_anti")
+            met = met.groupBy("me").agg(F.max(F.struct("score", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
+        else:  # whatever is left, all of it
+            met = met.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = materialise(met, "pairs")
+        if k < best_rounds:
+            tested = tested.unionByName(pairs)
+        comp_of = joined_up(comp_of, connected(contracted(verify(pairs, texts, width, percent), comp_of)))
     by_digest = classes.select("digest", "rep").join(comp_of.distinct(), "rep").select("digest", F.col("comp").alias("component_id"))
     out = known.select("id", F.col("n").alias("n_shingles"), "digest").join(by_digest, "digest", "left")
     found = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
