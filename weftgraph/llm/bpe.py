@@ -43,7 +43,7 @@ GAP = 0xFFFF
 class Codec:
     """One vocabulary file: words, ids of a word, pieces of ids."""
 
-    def __init__(self, path: str, memo_size: int = 120_000, memo_chars: int = 64):
+    def __init__(self, path: str, memo_size: int = 500_000, memo_chars: int = 64):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -191,7 +191,7 @@ def hot_table(docs: DataFrame, path: str, text: str, hot_words: int, sample_rows
     return out
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot_words: int = 300_000, sample_rows: int = 30_000) -> DataFrame:
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot_words: int = 400_000, sample_rows: int = 40_000) -> DataFrame:
     """A row for each row of ``docs``: ``key`` and ``ids`` (binary, two bytes an id, little end first)."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType
