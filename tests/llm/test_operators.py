@@ -57,6 +57,14 @@ def test_bpe_round_trip(spark):
         assert Counter((r.doc_id, bytes(r.ids), r.decoded) for r in rows) == want
 
 
+def test_bpe_many_texts_of_one_id(spark):
+    """Rows without an id, and rows of one id, that differ in text and in their number of rare words."""
+    texts = [" ".join(f"qz{i}x{j}" for j in range(i % 4 + 1)) for i in range(800)]
+    d = spark.createDataFrame([(k, t) for t in texts for k in (None, 7)], "doc_id bigint, text string")
+    got = Counter((r.doc_id, r.decoded) for r in bpe.decode(bpe.encode(d, BPE, hot_words=5), BPE).collect())
+    assert got == Counter((k, t) for t in texts for k in (None, 7))
+
+
 def test_bpe_words_are_the_library_s():
     c = bpe.codec(BPE)
     for _, t in ODD:

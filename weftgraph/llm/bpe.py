@@ -196,8 +196,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     kind = docs.schema[key].dataType
     known = spark.sparkContext.broadcast(hot_table(docs, path, text, hot_words, sample_rows))
-    # of rows with one id, fifteen bits of a hash tell the texts apart
-    base = docs.select(F.col(f"`{key}`").alias("k"), F.pmod(F.hash(F.col(f"`{text}`")), F.lit(1 << 15)).cast("long").alias("h"), F.col(f"`{text}`").alias("t"))
+    # of rows with one id, a hash of 64 bits tells the texts apart
+    base = docs.select(F.col(f"`{key}`").alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"))
     arrow = pa.int64() if isinstance(kind, T.LongType) else pa.int32() if isinstance(kind, T.IntegerType) else pa.string()
     if arrow == pa.string():
         base = base.withColumn("k", F.col("k").cast("string"))
@@ -207,9 +207,9 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         s = Splitter(codec(path), known.value)
         for b in batches:
             for k in range(0, b.num_rows, 256):
-                rows = [(w, i, h << 48 | at + 1) for i, h, t in zip(*(col.to_pylist() for col in b.slice(k, 256).columns)) for at, w in enumerate(s.pack(t)[1])]
+                rows = [(w, i, h, at + 1) for i, h, t in zip(*(col.to_pylist() for col in b.slice(k, 256).columns)) for at, w in enumerate(s.pack(t)[1])]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), (pa.string(), arrow, pa.int64()))], ["w", "k", "at"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), (pa.string(), arrow, pa.int64(), pa.int32()))], ["w", "k", "h", "at"])
 
     def merged(batches):
         c, last, ids = codec(path), None, b""
@@ -219,7 +219,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                 if w != last:
                     last, ids = w, c.encode_word(w)
                 got.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(got, pa.binary())], ["k", "at", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array(got, pa.binary())], ["k", "h", "at", "ids"])
 
     def packed(batches):
         s, z = Splitter(codec(path), known.value), zstandard.ZstdCompressor(level=1)
@@ -227,7 +227,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
                 ids = [z.compress(s.pack(t)[0]) for t in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([h << 48 for h in part.column(1).to_pylist()], pa.int64()), pa.array(ids, pa.binary())], ["k", "at", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([0] * len(ids), pa.int32()), pa.array(ids, pa.binary())], ["k", "h", "at", "ids"])
 
     def filled(batches):
         now, texts, fill, seen = None, [], [], 0
@@ -250,8 +250,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
         out, size, z = [], 0, zstandard.ZstdDecompressor()
         for b in batches:
-            for i, at, ids in zip(*(col.to_pylist() for col in b.columns)):
-                h, at = at >> 48, at & (1 << 48) - 1
+            for i, h, at, ids in zip(*(col.to_pylist() for col in b.columns)):
                 if (i, h) != now:
                     done = list(flush()) if now else []
                     out += done
@@ -270,10 +269,10 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         if out:
             yield batch(out)
 
-    rows = f"k {ktype}, at long, ids binary"
-    rare = base.mapInArrow(tidy(gaps), f"w string, k {ktype}, at long").repartition(F.col("w")).sortWithinPartitions("w").mapInArrow(tidy(merged), rows)
+    rows = f"k {ktype}, h long, at int, ids binary"
+    rare = base.mapInArrow(tidy(gaps), f"w string, k {ktype}, h long, at int").repartition(F.col("w")).sortWithinPartitions("w").mapInArrow(tidy(merged), rows)
     whole = base.mapInArrow(tidy(packed), rows)
-    out = whole.union(rare).repartition(F.col("k")).sortWithinPartitions("k", "at").mapInArrow(tidy(filled), f"`{key}` {ktype}, ids binary")
+    out = whole.union(rare).repartition(F.col("k"), F.col("h")).sortWithinPartitions("k", "h", "at").mapInArrow(tidy(filled), f"`{key}` {ktype}, ids binary")
     return out if out.schema[key].dataType == kind else out.withColumn(key, F.col(f"`{key}`").cast(kind))
 
 
