@@ -26,8 +26,8 @@ def grams(name: Column) -> Column:
     return F.array_distinct(numbered)
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs a < b of one type that can reach the threshold: prefix filtering over numbered characters.
+def blocks(nodes: DataFrame) -> DataFrame:
+    """(type, gram, name): the blocks of a name, such that any two names that can match share one.
 
     With J >= 5/6 a pair has m/n1 + m/n2 >= 3/2 for m common characters, so m is half of each name's length at least. In
     an order of characters from rare to frequent, two such names share one of the first n - ceil(n/2) + 1 of each, hence
@@ -37,7 +37,12 @@ def candidates(nodes: DataFrame) -> DataFrame:
     often = n.groupBy("type", "gram").agg(F.count("*").alias("often"))
     length = F.char_length("name")
     w = Window.partitionBy("type", "name").orderBy("often", "gram")
-    first = n.join(often, ["type", "gram"]).withColumn("k", F.row_number().over(w)).where(F.col("k") <= length - F.ceil(length / 2).cast("int") + 1)
+    return n.join(often, ["type", "gram"]).withColumn("k", F.row_number().over(w)).where(F.col("k") <= length - F.ceil(length / 2).cast("int") + 1).select("type", "gram", "name")
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Pairs a < b of one type that can reach the threshold: prefix filtering over numbered characters."""
+    first = blocks(nodes)
     a = first.select("type", "gram", F.col("name").alias("a"))
     b = first.select("type", "gram", F.col("name").alias("b"))
     la, lb = F.char_length("a"), F.char_length("b")
@@ -63,6 +68,30 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return label
 
 
+def resolved_components(nodes: DataFrame, threshold: float = vocab.SIMILARITY) -> DataFrame:
+    """``components`` of all matches of ``nodes``, without making the pairs within what is joined already.
+
+    The names of a type form a tree of prefixes. Each prefix has at most as many longer ones as there are characters, so
+    the pairs of the least names of a prefix and of its next longer ones are few, however alike the names. Those that
+    match join most of a large group. Of the pairs in blocks, only those across the components so found are left.
+    """
+    names = checkpointed(nodes.select("type", "name").where(F.char_length("name") > 0).distinct())
+    size = F.explode(F.sequence(F.lit(1), F.char_length("name"))).alias("size")
+    heads = names.select("type", "name", size).groupBy("type", F.substr("name", F.lit(1), F.col("size")).alias("head")).agg(F.min("name").alias("least"))
+    above = heads.select("type", F.col("head").alias("up"), F.col("least").alias("a"))
+    below = heads.select("type", F.substr("head", F.lit(1), F.char_length("head") - 1).alias("up"), F.col("least").alias("b"))
+    near = above.join(below, ["type", "up"]).where("a != b").select("a", "b").distinct()
+    near = checkpointed(near.where(jaro_winkler_udf("a", "b") >= threshold))
+    found = components(near).withColumnRenamed("component", "part")
+    first = blocks(names).join(found, "name", "left").withColumn("part", F.coalesce("part", "name"))
+    mixed = first.groupBy("type", "gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high").select("type", "gram")
+    first = first.join(mixed, ["type", "gram"], "left_semi")
+    a, b = (first.select("type", "gram", F.col("name").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
+    la, lb = F.char_length("a"), F.char_length("b")
+    rest = a.join(b, ["type", "gram"]).where((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & (2 * F.least(la, lb) >= F.greatest(la, lb))).select("a", "b").distinct()
+    return components(near.unionByName(rest.where(jaro_winkler_udf("a", "b") >= threshold)))
+
+
 def either_way(a: Column, b: Column, pairs) -> Column:
     """One name holds the one word of a pair and the other name the other."""
     c = lambda n, w: F.contains(n, F.lit(w))
@@ -146,7 +175,7 @@ def resolve(nodes: DataFrame, edges: DataFrame, threshold: float = vocab.SIMILAR
     """Nodes and edges after resolution, and the alias map."""
     from weftgraph.operators import graph
 
-    comp = components(matches(nodes, threshold))
+    comp = resolved_components(nodes, threshold)
     alias = checkpointed(alias_map(comp, vetoed(comp)))
     n, e = graph.merged(nodes, edges, alias)
     return n, e, alias
