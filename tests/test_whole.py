@@ -52,6 +52,12 @@ def test_components_without_the_pairs_within(spark):
     assert {r.name: r.component for r in resolve.resolved_components(n).collect()} == reached(names, links)
 
 
-@pytest.mark.parametrize("name", ["er_jaro_winkler_all"])
+@pytest.mark.parametrize("name", ["er_jaro_winkler_all", "extraction_prompts_all"])
 def test_with_sql(spark, name):
     same(registry.queries()[name](spark, SF), registry.oracle_sql()[name], SF)
+
+
+def test_every_turn_reaches_a_prompt(spark):
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").groupBy("conv_id").count().collect()
+    got = {(r.conv_id, r.chunk) for r in registry.queries()["extraction_prompts_all"](spark, SF).collect()}
+    assert got == {(r.conv_id, k) for r in turns for k in range(-(-r["count"] // 3))}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weftgraph.functions import text, vocab
@@ -81,6 +82,14 @@ def extraction_prompts(spark, sf):
     return first.select(F.col("url").cast("bigint").alias("conv_id"), F.md5(extraction.prompt(F.col("blocks"))).alias("prompt_md5"))
 
 
+@query(f"SELECT conv_id, ((r - 1) // 3)::INT AS chunk, md5('{_HEAD}' || string_agg(((r - 1) % 3 + 1) || '. ' || to_json(text)::VARCHAR, chr(10) ORDER BY r)) AS prompt_md5 FROM (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS r FROM conversations) GROUP BY conv_id, chunk")
+def extraction_prompts_all(spark, sf):
+    """A prompt for every chunk of a conversation."""
+    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("url"), "turn", "text")
+    b = c.withColumn("block_id", F.row_number().over(Window.partitionBy("url").orderBy("turn", "text")))
+    return pages.batches(b).select(F.col("url").cast("bigint").alias("conv_id"), "chunk", F.md5(extraction.prompt(F.col("blocks"))).alias("prompt_md5"))
+
+
 @query()
 def model_call(spark, sf):
     """The offline model over every conversation's prompt: no triples, no errors."""
