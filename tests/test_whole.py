@@ -52,7 +52,7 @@ def test_components_without_the_pairs_within(spark):
     assert {r.name: r.component for r in resolve.resolved_components(n).collect()} == reached(names, links)
 
 
-@pytest.mark.parametrize("name", ["er_jaro_winkler_all", "extraction_prompts_all"])
+@pytest.mark.parametrize("name", ["er_jaro_winkler_all", "extraction_prompts_all", "session_triples_all", "stage_snapshots_all"])
 def test_with_sql(spark, name):
     same(registry.queries()[name](spark, SF), registry.oracle_sql()[name], SF)
 

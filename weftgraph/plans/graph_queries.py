@@ -166,6 +166,18 @@ def session_triples(spark, sf):
     return tables.load_session(spark, path, "one").drop("session")
 
 
+@query(with_graph("SELECT ['one', 'two', 'three'][seq % 3 + 1] AS session, subject, relation, object, source_url, seq FROM triples"))
+def session_triples_all(spark, sf):
+    """All triples, dealt among three sessions and read back session by session."""
+    path = folder(spark, "session")
+    t = triples(spark, sf).select("subject", "relation", "object", "source_url", "seq")
+    names = ("one", "two", "three")
+    for k, name in enumerate(names):
+        tables.save_session(t.where(F.col("seq") % 3 == k), path, name)
+    one, two, three = (tables.load_session(spark, path, name) for name in names)
+    return one.unionByName(two).unionByName(three)
+
+
 _PRE = "('located_in', 'part_of', 'made_by')"
 _COUNTS = f"counts AS (SELECT relation, count(*) AS n, CASE WHEN relation IN {_PRE} THEN 'predefined' ELSE 'custom' END AS kind FROM triples GROUP BY relation)"
 _NAMES = ("located_in", "part_of", "made_by")

@@ -434,6 +434,19 @@ def stage_snapshots(spark, sf):
     return spark.read.parquet(path).where("stage = 'stage2'").select("conv_id", "turn", "stage")
 
 
+@query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'stage1' ELSE 'stage2' END AS stage FROM conversations")
+def stage_snapshots_all(spark, sf):
+    """All turns, dealt between two stages and read back stage by stage."""
+    from weftgraph.plans.graph_queries import folder
+
+    path = folder(spark, "stages")
+    c = table(spark, sf, "conversations").select("conv_id", "turn", (F.col("conv_id") % 4).cast("string").alias("batch_id"))
+    tables.save_stage(c.where("turn % 2 = 0"), path, "stage1")
+    tables.save_stage(c.where("turn % 2 = 1 OR turn IS NULL"), path, "stage2")
+    one, two = (spark.read.parquet(path).where(F.col("stage") == s).select("conv_id", "turn", "stage") for s in ("stage1", "stage2"))
+    return one.unionByName(two)
+
+
 SSE = 'data: {"choices":[{"delta":{"content":"ab"}}]}\n\ndata: broken\ndata: {"choices":[{"message":{"content":"cd"}}]}\ndata: [DONE]\ndata: {"choices":[{"delta":{"content":"zz"}}]}'
 
 
