@@ -65,6 +65,18 @@ def test_bpe_many_texts_of_one_id(spark):
     assert got == Counter((k, t) for t in texts for k in (None, 7))
 
 
+@pytest.mark.parametrize("hot_words", [0, 3, 1000])
+def test_bpe_hot_rows_words_and_clashes(spark, hot_words):
+    """Thousands of rows without an id or of one, long common words, words repeated in a text, clashing columns."""
+    long = "-" * 100 + "ab" * 2000
+    texts = [f"{long} qz{i % 7} qz{i} qz{i} <|endoftext|> qz{i % 7}\n" for i in range(1000)]
+    rows = [(k, t, "x", b"y") for t in texts for k in (None, 7)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, ids string, k binary")
+    got = Counter((r.doc_id, r.decoded) for r in bpe.decode(bpe.encode(d, BPE, hot_words=hot_words, sample_rows=100), BPE).collect())
+    assert got == Counter((k, t) for k, t, _, _ in rows)
+    assert bpe.digests(bpe.encode(d.limit(0), BPE), BPE).count() == 0
+
+
 def test_bpe_words_are_the_library_s():
     c = bpe.codec(BPE)
     for _, t in ODD:

@@ -1,26 +1,36 @@
 """Byte-level BPE over a table of distinct words.
 
-1. A bounded sample of texts gives the most frequent words; the table of these (``hot_words`` rows at most, a parameter)
-   is encoded once and broadcast. It only chooses the route of a word, never the result.
-2. Texts are split into words in Spark. Frequent words get their ids at once; every other word leaves a gap at its place.
-3. The other words go, with row key and place, through a shuffle on the word: each distinct word is encoded once.
-4. Their ids return by row key and place and fill the gaps, in a stream over sorted rows.
-Decoding maps ids through the id-to-piece table, whose size is the vocabulary's.
-
-Defined results: null text is the empty text (no ids); repeated rows and repeated ids each keep their row; an empty
-table gives an empty table; of the columns, the key and those made here are returned, whatever else the table holds.
+Executors split texts into words with the library's own pattern; each distinct word is encoded once, in executors, and
+its ids are joined back by position. As in any join with hot keys, the table of distinct words has two parts:
+
+1. Words that are frequent in a bounded sample of rows (the sample only chooses a word's route, never its ids). They are
+   encoded, sorted by number and broadcast as Arrow, at most ``hot_words`` of them.
+2. Every other word, which goes with the place of its row through a shuffle on the word: there it is encoded, and its
+   ids return by place. A row sends a word once, with all its positions; words of more than 64 characters are salted, so
+   one that many rows hold is spread over 64 tasks (and encoded there).
+
+A text travels as one code for each word, a number that the broadcast part resolves or a mark that the returned ids
+fill. Rows are told apart by file and row number, never by id or text. Decoding joins ids by position to the id-to-piece
+table, whose size is the vocabulary's.
+
+Defined results: null text is the empty text (no ids); repeated rows, repeated ids and null ids each keep their row; an
+empty table gives an empty table; of the columns, the key and those made here are returned, whatever else the table
+holds.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +39,7 @@ from weftgraph.llm.words import frequent, tidy
 from weftgraph.session import materialise
 
 #: White space as the tokenizers library's patterns take it (Unicode White_Space).
-WS = r"\t-\r\x20\x85\xa0  -     　"
+WS = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The published pattern of the byte-level vocabulary.
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WS}\p{{L}}\p{{N}}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
 #: A run of white space with what follows it: no word crosses such a border.
@@ -37,7 +47,10 @@ CHUNK = regex.compile(rf"[{WS}]*[^{WS}]+|[{WS}]+")
 #: White space before a space: only there can a cut before a space part what belongs together.
 ODD = tuple(chr(c) + " " for c in (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 ODD_ASCII = ODD[:6]
-GAP = 0xFFFF
+#: Codes of words in a packed text: places in the broadcast table, then added tokens, then the mark of an open word.
+ADDED, GAP = 0xFE0000, 0xFFFFFF
+#: Characters of words that go among the many frequent ones, and among the few.
+SHORT, LONGEST = 64, 1024
 
 
 class Codec:
@@ -57,7 +70,7 @@ class Codec:
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.added_at = regex.compile("(" + "|".join(regex.escape(a) for a in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.size = max([*spec["model"]["vocab"].values(), *self.added.values()]) + 1
-        if self.size > GAP:
+        if self.size > 0xFFFF:
             raise ValueError("vocabularies of up to 65,535 ids are packed in two bytes")
         self.memo_size, self.memo_chars = memo_size, memo_chars
 
@@ -91,18 +104,17 @@ class Codec:
 
 
 class Splitter:
-    """Packs a text's known ids and lists the words left open. Chunks that follow a space stay in a bounded memo."""
+    """Packs a text's words as codes and lists the words left open. Chunks that follow a space stay in a bounded memo."""
 
-    def __init__(self, codec: Codec, hot: dict[str, bytes]):
-        self.codec, self.hot = codec, hot
+    def __init__(self, codec: Codec, index: dict[str, bytes]):
+        self.codec, self.index = codec, index
         self.memo: dict[str, bytes] = {}
         self.open: dict[str, list[str]] = {}
-        self.gap = np.asarray([GAP], dtype="<u2").tobytes()
 
     def raw(self, chunk: str) -> tuple[bytes, list[str]]:
         words = self.codec.cut(chunk)
-        packed = [self.hot.get(w, self.gap) for w in words]
-        return b"".join(packed), [w for w, p in zip(words, packed) if p is self.gap]
+        packed = [self.index.get(w, OPEN) for w in words]
+        return b"".join(packed), [w for w, p in zip(words, packed) if p is OPEN]
 
     def learn(self, chunk: str) -> bytes:
         """The chunk with a space before it."""
@@ -112,13 +124,14 @@ class Splitter:
         return self.memo[chunk]
 
     def pack(self, text: str | None) -> tuple[bytes, list[str]]:
+        """Codes of the words, four bytes each, and the open words in their order."""
         if len(self.memo) > self.codec.memo_size:
             self.memo.clear()
             self.open.clear()
         out, left = [], []
         for t, i in self.codec.parts(text or ""):
             if i >= 0:
-                out.append(np.asarray([i], dtype="<u2").tobytes())
+                out.append(code(ADDED + i))
             elif self.codec.odd(t):
                 for c in CHUNK.findall(t):
                     p, w = self.raw(c)
@@ -144,72 +157,140 @@ class Splitter:
         return b"".join(out), left
 
 
+def code(n: int) -> bytes:
+    return n.to_bytes(4, "little")
+
+
+OPEN = code(GAP)
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def hot_table(docs: DataFrame, path: str, text: str, hot_words: int, sample_rows: int) -> dict[str, bytes]:
-    """Ids of at most ``hot_words`` words that are frequent in about ``sample_rows`` texts."""
-    n = docs.count()
-    share = min(1.0, sample_rows / max(n, 1))
-    few = docs.select(F.col(f"`{text}`").alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)  # sample_rows, give or take the chance of a hash
+class Hot:
+    """The broadcast part of the table of distinct words: a word's code, and the ids of a code, laid out flat."""
 
-    def tally(batches):
-        from collections import Counter as Tally
+    def __init__(self, blob: bytes):
+        table = pa.ipc.open_stream(pa.py_buffer(blob)).read_all().combine_chunks()
+        ids = table["ids"].chunk(0) if len(table) else pa.array([], pa.binary())
+        self.words = table["word"]
+        size = np.asarray(pc.binary_length(ids).cast(pa.int64())) // 2
+        self.start = np.concatenate([[0], np.cumsum(size)])
+        self.ids = np.frombuffer(b"".join(ids.to_pylist()), dtype="<u2")
+
+    def index(self) -> dict[str, bytes]:
+        return {w: code(k) for k, w in enumerate(self.words.to_pylist())}
+
+
+@lru_cache(maxsize=1)
+def hot_ids(blob: bytes) -> Hot:
+    return Hot(blob)
+
+
+@lru_cache(maxsize=1)
+def hot_index(blob: bytes) -> dict[str, bytes]:
+    return Hot(blob).index()
+
+
+def placed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, t, f, r): key, text and a place that no other row has, the same however often the rows are read.
+
+    The place is the file and the row within it, so ``docs`` must be files; whatever else it is, is written first.
+    """
+    columns = lambda d: d.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.xxhash64(d.metadataColumn("_metadata")["file_path"]).alias("f"), d.metadataColumn("_metadata")["row_index"].alias("r"))
+    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
+        try:
+            return columns(docs)
+        except AnalysisException:  # files without row numbers
+            pass
+    return columns(materialise(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), "texts"))
 
-        c, seen = codec(path), Tally()
+
+def encoded_words(words: DataFrame, path: str) -> DataFrame:
+    """``words`` (word, ...) with ``ids``: each row's word is encoded once."""
+
+    def run(batches):
+        c = codec(path)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c.encode_word(w) for w in b.column("word").to_pylist()], pa.binary())], [*b.schema.names, "ids"])
+
+    return words.mapInArrow(tidy(run), T.StructType([*words.schema, T.StructField("ids", T.BinaryType())]))
+
+
+def hot_table(base: DataFrame, path: str, hot_words: int, sample_rows: int) -> bytes:
+    """The frequent part of the table of distinct words, as Arrow: the words that are frequent in about ``sample_rows`` rows.
+
+    At most ``hot_words`` words of up to 64 characters and a hundredth as many of up to 1,024: at 100 bytes a word and
+    its ids, 40 MB at the default, and some 10 MB for words as they are.
+    """
+    n = base.count()
+    share = int(min(1.0, sample_rows / max(n, 1)) * (1 << 20)) + 1
+    few = base.where(F.pmod(F.xxhash64("f", "r"), F.lit(1 << 20)) < share).select("t")
+
+    def tally(batches):
+        c, seen, chunks, size = codec(path), Counter(), Counter(), 0
 
         def rows():
-            top = seen.most_common(2 * hot_words)
+            out = pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
             seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([k for _, k in top], pa.int64())], ["word", "n"])
+            return out
 
-        chunks = Tally()
         for b in batches:
             for t in b.column(0).to_pylist():
                 for x, i in c.parts(t or ""):
                     if i < 0:
                         chunks.update(c.chunks(x))
-            for ch, k in chunks.items():
-                for w in c.cut(ch):
-                    if len(w) <= c.memo_chars:
-                        seen[w] += k
-            chunks.clear()
-            if len(seen) > 4 * hot_words:
-                yield rows()
+                        size += len(x)
+                if size > 8_000_000:
+                    size = 0
+                    for ch, k in chunks.items():
+                        for w in c.cut(ch):
+                            if len(w) <= LONGEST:
+                                seen[w] += k
+                    chunks.clear()
+                    if len(seen) > 500_000:
+                        yield rows()
+        for ch, k in chunks.items():
+            for w in c.cut(ch):
+                if len(w) <= LONGEST:
+                    seen[w] += k
         yield rows()
 
     seen = materialise(few.mapInArrow(tidy(tally), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "sample-words")
-    words = frequent(seen, "word", "n", hot_words).select("word").toPandas()["word"].tolist()
-    c = codec(path)
-    out = {}
-    for k in range(0, len(words), 20_000):
-        some = words[k : k + 20_000]
-        for w, e in zip(some, c.tok.encode_batch(some, add_special_tokens=False)):
-            out[w] = np.asarray(e.ids, dtype="<u2").tobytes()
-    return out
+    length = F.char_length("word")
+    short, long = (frequent(seen.where(x), "word", "n", most) for x, most in ((length <= SHORT, hot_words), (length > SHORT, hot_words // 100)))
+    table = encoded_words(short.unionByName(long), path).toArrow().sort_by([("n", "descending"), ("word", "ascending")]).select(["word", "ids"])
+    if len(table) >= ADDED:
+        raise ValueError("codes are made for fewer frequent words")
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot_words: int = 400_000, sample_rows: int = 40_000) -> DataFrame:
     """A row for each row of ``docs``: ``key`` and ``ids`` (binary, two bytes an id, little end first)."""
-    spark = docs.sparkSession
+    base = placed(docs, key, text)
     kind = docs.schema[key].dataType
-    known = spark.sparkContext.broadcast(hot_table(docs, path, text, hot_words, sample_rows))
-    # of rows with one id, a hash of 64 bits tells the texts apart
-    base = docs.select(F.col(f"`{key}`").alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"))
-    arrow = pa.int64() if isinstance(kind, T.LongType) else pa.int32() if isinstance(kind, T.IntegerType) else pa.string()
-    if arrow == pa.string():
-        base = base.withColumn("k", F.col("k").cast("string"))
-    ktype = {pa.int64(): "long", pa.int32(): "int"}.get(arrow, "string")
-
-    def gaps(batches):
-        s = Splitter(codec(path), known.value)
+    sent = docs.sparkSession.sparkContext.broadcast(hot_table(base, path, hot_words, sample_rows))
+    row = T.StructType([T.StructField(n, t) for n, t in (("f", T.LongType()), ("r", T.LongType()), ("at", T.IntegerType()), ("more", T.BinaryType()), ("ids", T.BinaryType()), ("k", kind))])
+
+    def opened(batches):
+        """(w, f, r, at, more): the open words of each row once, with the places where they stand among the open ones."""
+        s = Splitter(codec(path), hot_index(sent.value))
         for b in batches:
             for k in range(0, b.num_rows, 256):
-                rows = [(w, i, h, at + 1) for i, h, t in zip(*(col.to_pylist() for col in b.slice(k, 256).columns)) for at, w in enumerate(s.pack(t)[1])]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), (pa.string(), arrow, pa.int64(), pa.int32()))], ["w", "k", "h", "at"])
+                w, f, r, at, more = [], [], [], [], []
+                for x, y, t in zip(*(c.to_pylist() for c in b.slice(k, 256).columns)):
+                    places: dict[str, list[int]] = {}
+                    for i, word in enumerate(s.pack(t)[1]):
+                        places.setdefault(word, []).append(i)
+                    for word, (first, *rest) in places.items():
+                        w.append(word), f.append(x), r.append(y), at.append(first), more.append(np.asarray(rest, "<i4").tobytes() if rest else None)
+                if w:
+                    yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(f, pa.int64()), pa.array(r, pa.int64()), pa.array(at, pa.int32()), pa.array(more, pa.binary())], ["w", "f", "r", "at", "more"])
 
     def merged(batches):
         c, last, ids = codec(path), None, b""
@@ -219,65 +300,105 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                 if w != last:
                     last, ids = w, c.encode_word(w)
                 got.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array(got, pa.binary())], ["k", "h", "at", "ids"])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(got, pa.binary())], ["f", "r", "at", "more", "ids"])
 
     def packed(batches):
-        s, z = Splitter(codec(path), known.value), zstandard.ZstdCompressor(level=1)
+        s, z = Splitter(codec(path), hot_index(sent.value)), zstandard.ZstdCompressor(level=1)
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                ids = [z.compress(s.pack(t)[0]) for t in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([0] * len(ids), pa.int32()), pa.array(ids, pa.binary())], ["k", "h", "at", "ids"])
+                n = part.num_rows
+                got = [z.compress(planes(s.pack(t)[0])) for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([-1] * n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(got, pa.binary()), part.column(3)], row.names)
 
     def filled(batches):
-        now, texts, fill, seen = None, [], [], 0
-
-        def flush():
-            for p in texts:
-                if not fill:
-                    yield now[0], p
-                    continue
-                a = np.frombuffer(p, dtype="<u2")
-                cut = np.flatnonzero(a == GAP)
-                out, at = [], 0
-                for c, ids in zip(cut.tolist(), fill, strict=True):
-                    out += [p[at : 2 * c], ids]
-                    at = 2 * c + 2
-                yield now[0], b"".join([*out, p[at:]])
-
-        def batch(rows):
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], arrow), pa.array([r[1] for r in rows], pa.binary())], [key, "ids"])
-
-        out, size, z = [], 0, zstandard.ZstdDecompressor()
+        hot, z = hot_ids(sent.value), zstandard.ZstdDecompressor()
+        now, head, fills, done, size = None, None, [], [], 0
+
+        def close():
+            codes = np.frombuffer(unplaned(z.decompress(head[0])), dtype="<u4")
+            gaps = [b""] * int((codes == GAP).sum())
+            for at, more, ids in fills:
+                gaps[at] = ids
+                for i in np.frombuffer(more, "<i4").tolist() if more else ():
+                    gaps[i] = ids
+            if b"" in gaps:
+                raise RuntimeError("a word of a text got no ids")
+            return head[1], codes, gaps
+
+        def batch():
+            ids = [looked_up(codes, gaps, hot) for _, codes, gaps in done]
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in done], key_type), pa.array(ids, pa.binary())], [key, "ids"])
+
+        key_type = None
         for b in batches:
-            for i, h, at, ids in zip(*(col.to_pylist() for col in b.columns)):
-                if (i, h) != now:
-                    done = list(flush()) if now else []
-                    out += done
-                    size += sum(len(x[1]) for x in done)
-                    now, texts, fill, seen = (i, h), [], [], 0
-                if not at:
-                    texts.append(z.decompress(ids))
-                elif at > seen:  # rows that are repeated bring each place again
-                    fill.append(ids)
-                    seen = at
-                if size > 8_000_000:
-                    yield batch(out)
-                    out, size = [], 0
-        if now:
-            out += flush()
-        if out:
-            yield batch(out)
-
-    rows = f"k {ktype}, h long, at int, ids binary"
-    rare = base.mapInArrow(tidy(gaps), f"w string, k {ktype}, h long, at int").repartition(F.col("w")).sortWithinPartitions("w").mapInArrow(tidy(merged), rows)
-    whole = base.mapInArrow(tidy(packed), rows)
-    out = whole.union(rare).repartition(F.col("k"), F.col("h")).sortWithinPartitions("k", "h", "at").mapInArrow(tidy(filled), f"`{key}` {ktype}, ids binary")
-    return out if out.schema[key].dataType == kind else out.withColumn(key, F.col(f"`{key}`").cast(kind))
+            key_type = b.schema.field("k").type
+            for f, r, at, more, ids, k in zip(*(c.to_pylist() for c in b.columns)):
+                if (f, r) != now:
+                    if now is not None:
+                        done.append(close())
+                        size += len(done[-1][1])
+                        if size > 2_000_000 or len(done) >= 5_000:
+                            yield batch()
+                            done, size = [], 0
+                    now, fills = (f, r), []
+                if at < 0:
+                    head = (ids, k)
+                else:
+                    fills.append((at, more, ids))
+        if now is not None:
+            done.append(close())
+            yield batch()
+
+    salt = F.when(F.length("w") > SHORT, F.pmod("r", F.lit(64))).otherwise(0)  # long words that many rows hold
+    open_words = base.select("f", "r", "t").mapInArrow(tidy(opened), "w string, f long, r long, at int, more binary")
+    rare = open_words.repartition(F.col("w"), salt).sortWithinPartitions("w").mapInArrow(tidy(merged), "f long, r long, at int, more binary, ids binary")
+    whole = base.select("f", "r", "t", "k").mapInArrow(tidy(packed), row)
+    both = whole.unionByName(rare.withColumn("k", F.lit(None).cast(kind)))
+    out = T.StructType([T.StructField(key, kind), T.StructField("ids", T.BinaryType())])
+    return both.repartition("f", "r").sortWithinPartitions("f", "r", "at").mapInArrow(tidy(filled), out)
+
+
+def planes(codes: bytes) -> bytes:
+    """All lowest bytes of the codes, then all next ones, ...: alike bytes side by side."""
+    return np.ascontiguousarray(np.frombuffer(codes, np.uint8).reshape(-1, 4)[:, :3].T).tobytes()
+
+
+def unplaned(data: bytes) -> bytes:
+    out = np.zeros((len(data) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(data, np.uint8).reshape(3, -1).T
+    return out.tobytes()
+
+
+def looked_up(codes: np.ndarray, gaps: list[bytes], hot: Hot, step: int = 500_000) -> bytes:
+    """The ids of a text's codes: joined to the broadcast words by code, to added tokens, and to the words that came back."""
+    out, used = [], 0
+    for k in range(0, len(codes), step):
+        c = codes[k : k + step].astype(np.int64)
+        is_open, is_added = c == GAP, (c >= ADDED) & (c != GAP)
+        known = np.where(is_open | is_added, 0, c)
+        start = hot.start[known] if len(hot.start) > 1 else np.zeros(len(c), np.int64)
+        size = hot.start[known + 1] - start if len(hot.start) > 1 else np.zeros(len(c), np.int64)
+        mine = gaps[used : used + int(is_open.sum())]
+        used += len(mine)
+        extra = [hot.ids]
+        if mine:
+            own = np.asarray([len(g) // 2 for g in mine])
+            size[is_open] = own
+            start[is_open] = len(hot.ids) + np.cumsum(own) - own
+            extra.append(np.frombuffer(b"".join(mine), "<u2"))
+        if is_added.any():
+            size[is_added] = 1
+            start[is_added] = sum(map(len, extra)) + np.arange(int(is_added.sum()))
+            extra.append((c[is_added] - ADDED).astype("<u2"))
+        flat = np.concatenate(extra) if len(extra) > 1 else extra[0]
+        end = np.cumsum(size)
+        out.append(flat[np.repeat(start - (end - size), size) + np.arange(int(size.sum()))].tobytes())
+    return b"".join(out)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its ids, through the id-to-piece table."""
+    """``encoded`` with the text of its ids, joined by position to the id-to-piece table."""
 
     @F.pandas_udf("string")
     def text(packed):
@@ -288,8 +409,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
 
 
 @lru_cache(maxsize=2)
-def pieces(path: str) -> list[bytes]:
-    """The bytes of each id: the id-to-piece table."""
+def pieces(path: str) -> pa.Array:
+    """The id-to-piece table: the bytes of each id, at the row of its number."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     ranges = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -301,11 +422,15 @@ def pieces(path: str) -> list[bytes]:
         out[i] = bytes(of[ch] for ch in piece) if all(ch in of for ch in piece) else piece.encode()
     for content, i in added.items():
         out[i] = content.encode()
-    return out
+    return pa.array(out, pa.large_binary())
 
 
-def joined(packed: bytes, table: list[bytes]) -> bytes:
-    return b"".join(map(table.__getitem__, np.frombuffer(packed, dtype="<u2").tolist()))
+def joined(packed: bytes, table: pa.Array) -> bytes:
+    """The pieces of the ids, in their order: ids joined to the table by its row numbers."""
+    got = table.take(pa.array(np.frombuffer(packed, dtype="<u2")))
+    _, offsets, data = got.buffers()
+    ends = np.frombuffer(offsets, np.int64)[got.offset : got.offset + len(got) + 1]
+    return data.to_pybytes()[ends[0] : ends[-1]] if len(got) and data is not None else b""
 
 
 def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -313,7 +438,7 @@ def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
 
     def rows(batches):
         table = pieces(path)
-        names = [str(i) for i in range(len(table))]
+        names = list(map(str, range(len(table))))
         for b in batches:
             n, a, d = [], [], []
             for p in b.column(1).to_pylist():
