@@ -124,11 +124,43 @@ def test_minhash(spark, percent):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), want[i], want[i] == i) for i in sets}
 
 
-def test_minhash_rest_pairs(spark):
-    """Without rounds of best partners every link is found by the blocks."""
-    rows = near_group(30)
-    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), percent=85, best_rounds=0).collect()}
-    assert got == classes({i: shingles(t) for i, t in rows}, 85)
+@pytest.mark.parametrize("block", [4096, 50])
+def test_minhash_large_group_of_unlinked_members(spark, block):
+    """2,000 near copies of which many pairs lie between 0.70 and 0.85; several texts of one id; rows that are repeated."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(2000 if block > 50 else 300):
+        w = [f"w{k}" for k in range(60)]
+        for at in rng.choice(12, rng.integers(0, 3), replace=False):
+            w[5 * at] = f"z{rng.integers(0, 40)}"
+        rows.append((i, " ".join(w)))
+    extra = [(5, "one other text of the fifth id stands here"), (9000, "one other text of the fifth id stands here"), rows[7], rows[7]]
+    sets = {i: shingles(t) for i, t in rows + extra[1:2]}
+    want = quick_classes(sets, 85)
+    a, b = want[5], want[9000]
+    want = {i: min(a, b) if c in (a, b) else c for i, c in want.items()}
+    got = minhash.near_duplicates(spark.createDataFrame(rows + extra, "doc_id bigint, text string"), percent=85, block=block).collect()
+    assert len(got) == len(rows) + len(extra)
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def quick_classes(sets, percent):
+    """``classes`` by a product of membership matrices."""
+    ids, words = sorted(sets), {x: k for k, x in enumerate(set().union(*sets.values()))}
+    m = np.zeros((len(ids), len(words)), np.float32)
+    for i, d in enumerate(ids):
+        m[i, [words[x] for x in sets[d]]] = 1
+    both, n = m @ m.T, m.sum(1)
+    link = 100 * both >= percent * (n[:, None] + n - both) - 1e-3
+    comp, left = {}, set(range(len(ids)))
+    while left:
+        now = todo = {min(left)}
+        while todo:
+            todo = {int(j) for i in todo for j in np.flatnonzero(link[i])} - now
+            now = now | todo
+        comp |= {ids[i]: ids[min(now)] for i in now}
+        left -= now
+    return comp
 
 
 def test_minhash_odd_rows(spark):

@@ -30,12 +30,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import zstandard
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.llm.words import frequent, tidy
+from weftgraph.llm.words import frequent, placed, tidy
 from weftgraph.session import materialise
 
 #: White space as the tokenizers library's patterns take it (Unicode White_Space).
@@ -194,20 +193,6 @@ def hot_index(blob: bytes) -> dict[str, bytes]:
     return Hot(blob).index()
 
 
-def placed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, t, f, r): key, text and a place that no other row has, the same however often the rows are read.
-
-    The place is the file and the row within it, so ``docs`` must be files; whatever else it is, is written first.
-    """
-    columns = lambda d: d.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.xxhash64(d.metadataColumn("_metadata")["file_path"]).alias("f"), d.metadataColumn("_metadata")["row_index"].alias("r"))
-    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
-        try:
-            return columns(docs)
-        except AnalysisException:  # files without row numbers
-            pass
-    return columns(materialise(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), "texts"))
-
-
 def encoded_words(words: DataFrame, path: str) -> DataFrame:
     """``words`` (word, ...) with ``ids``: each row's word is encoded once."""
 

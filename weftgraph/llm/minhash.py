@@ -7,12 +7,17 @@ shingles, the second is applied after a circular shift by k to give coordinate k
 1. Documents of equal sets form one class; its smallest id represents it.
 2. A band bucket is headed by its smallest member. Every representative is paired with the smallest head that it shares
    a bucket with, and the pairs are verified on full sets: one pair each, however large a bucket is.
-3. Buckets that still hold several components are compared in blocks, by set size and by one byte of every coordinate.
-   In two rounds every member is verified against its most similar partner of another component, which joins nearly all
-   that belongs together; then every pair that is left is verified. Pairs within one component need no check. No bucket
-   is capped.
+3. Buckets that still hold several components are compared in blocks: each member lies in one block, and the members
+   outside the bucket's largest component meet every block. A block first tells by sizes and by one byte of every
+   coordinate which members it needs, then gets their texts, and verifies on full sets, most similar pairs first, passing
+   over whatever its own union-find has joined by then. Only links that join two components leave it, never pairs. A
+   pair belongs to the first bucket that it shares. No bucket is capped.
 Components come from the verified links; component ids are the smallest reachable ids.
 
+The byte sketch rules a pair out if it is 5.5 standard deviations below the bound (chance below 1e-6 for a pair at the
+bound); a missed band has a chance below 1e-6 at 0.85 and 1e-4 at 0.80. Verification compares sets of 64-bit hashes of
+shingles: two different shingles of one pair of documents are taken for equal with a chance below 1e-12.
+
 Defined results: null text and text without words have the empty set and link with nothing; rows without an id get no
 component and are kept; repeated rows keep their rows; rows of one id with several texts count as one node; an empty
 table gives an empty table; extra columns are ignored.
@@ -21,6 +26,7 @@ table gives an empty table; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.llm.components import connected
-from weftgraph.llm.words import tidy
+from weftgraph.llm.words import placed, tidy
 from weftgraph.session import materialise
 
 #: Multipliers of 32- and 64-bit bijective mixers.
@@ -110,8 +116,8 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def describe(docs: DataFrame, key: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
-    """(id, n, digest of the set, band hashes, one byte of each coordinate), a row for each row of ``docs``."""
+def describe(base: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
+    """(id, f, r, n, digest of the set, band hashes, one byte of each coordinate), a row for each row of ``base``."""
 
     def run(batches):
         s = Shingler(width)
@@ -119,7 +125,7 @@ def describe(docs: DataFrame, key: str, text: str, width: int, bands: int, rows:
             for k in range(0, b.num_rows, 128):
                 part = b.slice(k, 128)
                 n, digest, band, sketch = [], [], [], []
-                for t in part.column(1).to_pylist():
+                for t in part.column(3).to_pylist():
                     x = s.set_of(t)
                     n.append(len(x))
                     if not len(x):
@@ -129,9 +135,10 @@ def describe(docs: DataFrame, key: str, text: str, width: int, bands: int, rows:
                     digest.append(hashlib.md5(x.tobytes()).digest())
                     band.append(bands_of(sig, bands).view(np.int64))
                     sketch.append((sig & np.uint32(255)).astype(np.uint8).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(band, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], ["id", "n", "digest", "bands", "sketch"])
+                made = [pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(band, pa.list_(pa.int64())), pa.array(sketch, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *made], ["id", "f", "r", "n", "digest", "bands", "sketch"])
 
-    return docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(tidy(run), "id long, n long, digest binary, bands array<long>, sketch binary")
+    return base.select("id", "f", "r", "t").mapInArrow(tidy(run), "id long, f long, r long, n long, digest binary, bands array<long>, sketch binary")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, block: int = 512) -> DataFrame:
@@ -159,67 +166,131 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, block:
     return rows.repartition("a", "blk").sortWithinPartitions("a", "blk", "role", "id").mapInArrow(tidy(run), "a long, b long")
 
 
-def rest_pairs(members: DataFrame, percent: int, least: float, best: int = 0, block: int = 4096) -> DataFrame:
-    """(a, b, score): pairs of different components within a bucket that sizes and sketches do not rule out.
-
-    ``members``: (bucket, id, comp, n, sketch, c), c being the bucket's size. Blocks meet blocks, so a task holds two.
-    With ``best``, only so many partners of each member ``a`` in a bucket, those of the most equal sketches; else all
-    pairs, a < b. The score is the share of equal bytes.
-    """
+def met_blocks(members: DataFrame, block: int) -> DataFrame:
+    """(bucket, x, role, id, ...): every member in one block of its bucket (role 0), and every member that is not of the
+    bucket's largest component once in each block (role 1)."""
     blocks = F.ceil(F.col("c") / block).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    rows = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "comp", "n", "sketch")
-
-    def pairs_of(group):
-        own, ids, comp, n = (np.asarray([r[k] for r in group]) for k in range(4))
-        sk = np.frombuffer(b"".join(r[4] for r in group), np.uint8).reshape(len(group), -1)
-        order = np.argsort(n, kind="stable")
-        own, ids, comp, n, sk = own[order], ids[order], comp[order], n[order], sk[order]
-        two = len(set(own.tolist())) > 1
-        ends = np.searchsorted(n, n * 100 // percent, side="right")
-        starts = np.searchsorted(n, -(-n * percent // 100)) if best else np.arange(1, len(n) + 1)
-        for i in range(len(ids)):
-            at = np.arange(starts[i], ends[i])
-            at = at[(comp[at] != comp[i]) & (own[at] != own[i])] if two else at[comp[at] != comp[i]]
-            if not len(at):
-                continue
-            score = (sk[at] == sk[i]).mean(1)
-            keep = np.flatnonzero(score >= least)
-            if best and len(keep) > best:
-                keep = keep[np.argpartition(-score[keep], best - 1)[:best]]
-            for q, x in zip(at[keep].tolist(), score[keep].tolist()):
-                a, b = int(ids[i]), int(ids[q])
-                yield (a, b, x) if best else (min(a, b), max(a, b), x)
+    own = members.withColumn("x", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("role", F.lit(0))
+    ask = members.where("comp != main").withColumn("x", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("role", F.lit(1))
+    return own.unionByName(ask)
+
+
+class Block:
+    """The members of one block of a bucket, and which of them a member that asks may link with."""
+
+    def __init__(self, rows: list[tuple], percent: int, least: float):
+        self.percent, self.least = percent, least
+        self.ids, self.comp, self.n = (np.asarray([r[k] for r in rows]) for k in range(3))
+        self.sketch = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
+        self.bands = np.asarray([r[4] for r in rows], dtype=np.int64)
+        self.main = np.asarray([r[5] for r in rows])
+        self.parent = {int(c): int(c) for c in self.comp}
+
+    def root(self, c: int) -> int:
+        while (up := self.parent.setdefault(c, c)) != c:
+            self.parent[c] = c = self.parent.setdefault(up, up)
+        return c
+
+    def candidates(self, bucket: int, row: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """Places of members of other components that sizes and sketches do not rule out, and their likeness.
+
+        Of two members that both ask, the one of the smaller id does; a pair is taken in the first band that it shares.
+        """
+        i, comp, n, sketch, bands, main = row[:6]
+        ok = (self.comp != comp) & (100 * np.minimum(self.n, n) >= self.percent * np.maximum(self.n, n)) & ((self.comp == main) | (self.ids > i))
+        at = np.flatnonzero(ok)
+        if len(at):
+            like = (self.sketch[at] == np.frombuffer(sketch, np.uint8)).mean(1)
+            at, like = at[like >= self.least], like[like >= self.least]
+        if not len(at):
+            return at, np.zeros(0)
+        mine = np.asarray(bands, dtype=np.int64)
+        first = (self.bands[at] == mine).argmax(1)
+        here = mine[first] == bucket
+        return at[here], like[here]
+
+
+def by_block(batches):
+    """((bucket, x), rows of role 0, iterator of rows of role 1) of sorted batches; the rows of role 1 are read as they come."""
+    stream = ((row[:2], row[2], row[3:]) for b in batches for k in range(0, b.num_rows, 1024) for row in zip(*(c.to_pylist() for c in b.slice(k, 1024).columns)))
+    for key, rows in groupby(stream, key=lambda r: r[0]):
+        own, ask = [], None
+        for _, role, row in rows:
+            if role:
+                ask = row
+                break
+            own.append(row)
+        yield key, own, (() if ask is None else chain([ask], (r for _, _, r in rows)))
+
+
+FACTS = ("id", "comp", "n", "sketch", "bands", "main", "f", "r")
+
+
+def needed(rows: DataFrame, percent: int, least: float) -> DataFrame:
+    """Those of the rows of ``met_blocks`` whose texts a block has to compare: at most one row for each of them."""
+
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64())
 
     def run(batches):
-        now, group = None, []
+        for (bucket, x), own, ask in by_block(batches):
+            if not own:
+                continue
+            block, used, got = Block(own, percent, least), np.zeros(len(own), bool), []
+            for row in ask:
+                at, _ = block.candidates(bucket, row)
+                if len(at):
+                    used[at] = True
+                    got.append((1, *row))
+                if len(got) >= 4096:
+                    yield batch(bucket, x, got)
+                    got = []
+            got += [(0, *own[k]) for k in np.flatnonzero(used)]
+            if got:
+                yield batch(bucket, x, got)
 
-        def out(found):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "score"])
+    def batch(bucket, x, got):
+        return pa.RecordBatch.from_arrays([pa.array([bucket] * len(got), pa.int64()), pa.array([x] * len(got), pa.int32()), *(pa.array(c, t) for c, t in zip(zip(*got), kinds))], ["bucket", "x", "role", *FACTS])
 
-        for b in batches:
-            found = []
-            for bucket, x, y, *rest in zip(*(c.to_pylist() for c in b.columns)):
-                if (bucket, x, y) != now:
-                    found += pairs_of(group) if len(group) > 1 else ()
-                    now, group = (bucket, x, y), []
-                group.append(rest)
+    rows = rows.select("bucket", "x", "role", *FACTS)
+    return rows.repartition("bucket", "x").sortWithinPartitions("bucket", "x", "role", "id").mapInArrow(tidy(run), rows.schema)
+
+
+def linked(rows: DataFrame, texts: DataFrame, width: int, percent: int, least: float) -> DataFrame:
+    """(a, b): links between members, a spanning forest of the components that each block joins."""
+
+    def run(batches):
+        s = Shingler(width)
+        for (bucket, _), own, ask in by_block(batches):
+            if not own:
+                continue
+            block, sets = Block(own, percent, least), [s.set_of(r[8]) for r in own]
+            found: list[tuple[int, int]] = []
+            for row in ask:
+                at, like = block.candidates(bucket, row)
+                if not len(at):
+                    continue
+                mine, at = None, at[np.argsort(-like, kind="stable")]
+                for j in at.tolist():
+                    there = int(block.comp[j])
+                    if block.root(row[1]) == block.root(there):
+                        continue
+                    mine = s.set_of(row[8]) if mine is None else mine
+                    if similar(mine, sets[j], percent):
+                        found.append((row[0], int(block.ids[j])))
+                        block.parent[block.root(row[1])] = block.root(there)
             if found:
-                yield out(found)
-        if len(group) > 1 and (found := list(pairs_of(group))):
-            yield out(found)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
-    return rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "id").mapInArrow(tidy(run), "a long, b long, score double")
+    rows = rows.join(texts.drop("id"), ["f", "r"]).select("bucket", "x", "role", *FACTS, "text")
+    return rows.repartition("bucket", "x").sortWithinPartitions("bucket", "x", "role", "id").mapInArrow(tidy(run), "a long, b long")
 
 
-def picked(rows: DataFrame, key: str, ids: DataFrame, keep: bool = True, most: int = 4_000_000) -> DataFrame:
-    """The rows whose key is among ``ids`` (written before), or is not. Up to ``most`` ids, counted first, are broadcast
-    (8 bytes each); more are joined through a shuffle."""
-    side = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
-    if ids.count() <= most:
-        side = F.broadcast(side)
-    return rows.join(side, key, "left_semi" if keep else "left_anti")
+def picked(rows: DataFrame, keys: DataFrame, keep: bool = True, most: int = 1_000_000) -> DataFrame:
+    """The rows whose keys are among the distinct rows of ``keys``, or are not. Up to ``most`` keys, counted first, are
+    broadcast (some 50 bytes each); more are joined through a shuffle."""
+    few = materialise(keys, "keys")
+    few = F.broadcast(few) if few.count() <= most else few
+    return rows.join(few, few.columns, "left_semi" if keep else "left_anti")
 
 
 def contracted(links: DataFrame, comp_of: DataFrame) -> DataFrame:
@@ -228,45 +299,36 @@ def contracted(links: DataFrame, comp_of: DataFrame) -> DataFrame:
     return links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5, bands: int = 24, rows: int = 5, best_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5, bands: int = 24, rows: int = 5, block: int = 4096) -> DataFrame:
     """(key, n_shingles, component_id, kept), a row for each row of ``docs``."""
-    known = materialise(describe(docs, key, text, width, bands, rows), "minhash")
+    base = placed(docs, key, text).select(F.col("k").cast("long").alias("id"), "t", "f", "r")
+    known = materialise(describe(base, width, bands, rows), "minhash")
     some = known.where("id is not null and digest is not null")
-    classes = some.groupBy("digest").agg(F.min(F.struct("id", "n", "bands", "sketch")).alias("m"))
-    classes = materialise(classes.select("digest", F.col("m.id").alias("rep"), "m.n", "m.bands", "m.sketch"), "classes")
+    classes = some.groupBy("digest").agg(F.min(F.struct("id", "f", "r", "n", "bands", "sketch")).alias("m"))
+    classes = materialise(classes.select("digest", F.col("m.id").alias("rep"), "m.f", "m.r", "m.n", "m.bands", "m.sketch"), "classes")
     several = some.groupBy("id").agg(F.min("digest").alias("p"), F.max("digest").alias("q")).where("p != q").select("id")
     same_id = some.join(several, "id").join(classes.select("digest", "rep"), "digest").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
-    buckets = classes.select(F.explode("bands").alias("bucket"), "rep")
-    heads = buckets.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("c")).where("c > 1")
+    buckets = classes.select(F.explode("bands").alias("bucket"), "rep", "f", "r")
+    heads = buckets.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("c")).where("c > 1").select("bucket", "head")
     shared = materialise(buckets.join(heads, "bucket"), "buckets")  # only what has company
-    names = materialise(shared.select("rep").distinct(), "candidates")
-    texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    texts = materialise(picked(texts, "id", names), "candidate-texts")
+    texts = materialise(picked(base.select("id", F.col("t").alias("text"), "f", "r"), shared.select("f", "r").distinct()), "candidate-texts")  # one of a class
 
     # each representative meets the smallest head that it shares a bucket with
-    tested = materialise(shared.where("rep != head").groupBy("rep").agg(F.min("head").alias("head")).select(F.col("head").alias("a"), F.col("rep").alias("b")), "star")
+    tested = shared.where("rep != head").groupBy("rep").agg(F.min("head").alias("head")).select(F.col("head").alias("a"), F.col("rep").alias("b"))
     comp_of = classes.select("rep", F.col("rep").alias("comp"))
-    comp_of = joined_up(comp_of, connected(verify(tested, texts, width, percent).unionByName(same_id)))
+    comp_of = joined_up(comp_of, connected(verify(materialise(tested, "star"), texts, width, percent).unionByName(same_id)))
 
-    # then those of buckets with several components meet the partners of the most equal sketches, one each in a round
+    # then the members of buckets with several components meet in blocks
     share = percent / 100
-    least = share - 4.6 * (share * (1 - share) / (bands * rows)) ** 0.5
-    facts = classes.groupBy("rep").agg(F.min("n").alias("n"), F.min_by("sketch", "n").alias("sketch"))
-    for k in range(best_rounds + 1):
-        labelled = shared.select("bucket", "rep").join(comp_of, "rep")
-        mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("c")).where("p != q").select("bucket", "c")
-        members = labelled.join(mixed, "bucket").join(facts, "rep").select("bucket", F.col("rep").alias("id"), "comp", "n", "sketch", "c")
-        met = rest_pairs(members, percent, least, best=3 if k < best_rounds else 0)
-        if k < best_rounds:
-            met = met.withColumn("me", F.col("a")).select("me", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score").join(tested, ["a", "b"], "left_anti")
-            met = met.groupBy("me").agg(F.max(F.struct("score", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-        else:  # whatever is left, all of it
-            met = met.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(met, "pairs")
-        if k < best_rounds:
-            tested = tested.unionByName(pairs)
-        comp_of = joined_up(comp_of, connected(contracted(verify(pairs, texts, width, percent), comp_of)))
+    least = share - 5.5 * (share * (1 - share) / (bands * rows)) ** 0.5
+    labelled = shared.select("bucket", "rep", "f", "r").join(comp_of, "rep")
+    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket")
+    mixed = parts.agg(F.sum("c").alias("c"), F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("bucket", "c", F.col("m.comp").alias("main"))
+    members = labelled.join(mixed, "bucket").join(classes.select("f", "r", "n", "sketch", "bands"), ["f", "r"]).withColumnRenamed("rep", "id")
+    asked = materialise(needed(met_blocks(members, block), percent, least), "needed")
+    links = connected(contracted(linked(asked, texts, width, percent, least), comp_of))
+    comp_of = joined_up(comp_of, links)
     by_digest = classes.select("digest", "rep").join(comp_of.distinct(), "rep").select("digest", F.col("comp").alias("component_id"))
     out = known.select("id", F.col("n").alias("n_shingles"), "digest").join(by_digest, "digest", "left")
     found = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))

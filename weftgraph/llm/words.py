@@ -1,4 +1,4 @@
-"""Choice of the words that are worth broadcasting; what workers give back when a task is done."""
+"""Choice of the words that are worth broadcasting, places of rows, and what workers give back when a task is done."""
 
 from __future__ import annotations
 
@@ -7,9 +7,12 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.session import materialise
+
 EXACT = 64
 
 
@@ -47,3 +50,17 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
             pass
 
     return tidied
+
+
+def placed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, t, f, r): key, text and a place that no other row has, the same however often the rows are read.
+
+    The place is the file and the row within it, so ``docs`` must be files; whatever else it is, is written first.
+    """
+    columns = lambda d: d.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.xxhash64(d.metadataColumn("_metadata")["file_path"]).alias("f"), d.metadataColumn("_metadata")["row_index"].alias("r"))
+    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
+        try:
+            return columns(docs)
+        except AnalysisException:  # files without row numbers
+            pass
+    return columns(materialise(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), "texts"))
