@@ -22,7 +22,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest id."""
     found = minhash.near_duplicates(docs, percent=80)
     gone = materialise(found.where("not kept").select("doc_id"), "near-duplicates")
-    return minhash.picked(docs, "doc_id", gone, keep=False).select(COLUMNS)
+    return minhash.picked(docs, gone, keep=False).select(COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
