@@ -300,13 +300,47 @@ def test_raking_meets_targets():
     w = mixing.rake(tokens, members, targets, 60)
     for at, t in zip(members, targets):
         assert np.allclose(np.bincount(at, w) / w.sum(), t, atol=1e-6)
-    p = mixing.calibrate(w, tokens, 0.5)
-    assert p.max() <= 1 and np.isclose((p * tokens).sum(), 0.5 * tokens.sum())
+    assert mixing.residual(w, members, targets) < 1e-6
+    for share in (0.01, 0.5, 1.0):
+        p = mixing.calibrate(w, tokens, share)
+        assert p.max() <= 1 + 1e-12 and (np.isclose((p * tokens).sum(), share * tokens.sum()) or np.isclose(p.max(), 1))
+        assert np.isclose(mixing.residual(p * tokens, members, targets), 0, atol=1e-6)
+
+
+def test_sampled_tokens_meet_the_targets(spark):
+    """Shares of expected tokens at their targets, of sampled ones near them, on the larger table."""
+    rows = mixing.measured(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    got = mixing.measured_mix(rows).select("mix_cell.*", "mix_tokens", "mix_probability", "mix_residual").toPandas()
+    assert got["mix_residual"].max() < 1e-6 and len(got) > 1000
+    for name, targets in (("source", mixing.SOURCES), ("lang", mixing.LANGS), ("topic", mixing.TOPICS)):
+        have = got.groupby(name)["mix_tokens"].sum() / got["mix_tokens"].sum()
+        there = sum(targets[x] for x in have.index)
+        assert all(abs(have[x] - targets[x] / there) < 0.015 for x in have.index), name
 
 
 def test_mixing_odd_rows(spark):
     d = spark.createDataFrame([(1, "a b", None, "src0"), (2, None, "en", None), (None, "c", "xx", "new")], "doc_id bigint, text string, lang string, source string")
     assert {r.doc_id for r in mixing.documents_mix(d).collect()} <= {1, 2, None}
+    clash = d.withColumn("mix_probability", F.lit("mine")).withColumn("mix_cell", F.lit(1)).withColumn("mix_cell_", F.lit(2))
+    got = mixing.documents_mix(clash)
+    assert set(got.columns) == {*d.columns, "mix_probability_", "mix_cell__", "mix_cell_", *mixing.MADE}
+    assert all(r.mix_probability_ == "mine" and r["mix_cell__"] == 1 for r in got.collect())
+    twice = mixing.documents_mix(d.unionByName(d)).groupBy("doc_id").count().collect()
+    assert all(r["count"] == 2 for r in twice)
+    no_tokens = d.withColumn("text", F.lit(None).cast("string"))
+    assert mixing.documents_mix(no_tokens).count() == 3
+
+
+def test_mixing_sql_on_odd_rows(spark, tmp_path):
+    """Null ids, null columns, cells without tokens and repeated rows."""
+    texts = ["a b c", None, "", "x @ y", "all rights reserved z", "word " * 50]
+    rows = [(None if i % 7 == 0 else i, texts[i % 6], [None, "en", "xx"][i % 3], ["src0", None, "src5", "q"][i % 4]) for i in range(60)] * 2 + [(1000, "", "es", "src9")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    same(queries.op10_mixing(spark, str(tmp_path)), queries.oracle_sql()["op10_mixing"], tmp_path)
+
+
+def test_mixing_empty(spark):
+    d = spark.createDataFrame([(1, "a b", None, "src0")], "doc_id bigint, text string, lang string, source string")
     assert mixing.documents_mix(d.limit(0)).count() == 0
 
 

@@ -2,15 +2,18 @@
 
 Token weights of the cells (source x language x topic) are raked: each step scales the cells so that the totals of one
 dimension meet its target shares, in turn, for a fixed number of rounds. A document of a cell is then sampled with
-probability min(1, kappa * raked weight / tokens of the cell), kappa such that the expected tokens are the given share
-of all tokens (or all that the cells can give). Sampling is by a hash of the id, so it is repeatable.
+probability kappa * raked weight / tokens of the cell, kappa such that the expected tokens are ``share`` of all, or the
+largest smaller share at which no probability exceeds one: so the expected tokens meet the targets, up to the residual
+of the raking, which is returned. Sampling is by a hash of the id, so it is repeatable.
 
 Targets list the values of each dimension; every other value, and null, falls under "*". The cells are therefore at
-most the product of the targets' sizes plus one, whatever the data hold: only they reach the driver.
+most the product of the targets' sizes plus one, whatever the data hold: only they reach the driver. Targets of values
+that do not occur are shared out among those that do, in proportion.
 
-Defined results: documents without tokens weigh nothing and take their cell's probability; a null id is sampled as the
-empty text; ties and repeated rows are sampled alike; shares are scaled to the values that occur; an empty table gives
-an empty table; extra columns stay.
+Defined results: documents without tokens weigh nothing and take their cell's probability, which is one for a cell
+without any tokens; a null id is sampled as the empty text; ties and repeated rows are sampled alike; an empty table
+gives an empty table; extra columns stay, and those that are named as one of the columns made here get "_" behind
+their name.
 """
 
 from __future__ import annotations
@@ -19,12 +22,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.session import materialise
+
 REST = "*"
 #: The mixture that the registered query and the pipeline aim at.
-SOURCES = {"src0": 0.20} | {f"src{k}": 0.04 for k in range(1, 20)} | {REST: 0.04}
-LANGS = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.12, REST: 0.03}
-TOPICS = {"legal": 0.10, "contact": 0.15, "prose": 0.75}
-SHARE, ROUNDS, SEED = 0.85, 40, "mix-1"
+SOURCES = {f"src{k}": 0.049 for k in range(20)} | {REST: 0.02}
+LANGS = {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.11, REST: 0.02}
+TOPICS = {"legal": 0.03, "contact": 0.02, "prose": 0.95}
+SHARE, ROUNDS, SEED = 0.85, 40, "mix-2"
+MADE = ("mix_cell", "mix_tokens", "mix_probability", "mix_residual")
 
 
 def topic(text: Column) -> Column:
@@ -50,19 +56,26 @@ def rake(tokens: np.ndarray, members: list[np.ndarray], targets: list[np.ndarray
     return w
 
 
+def goals(members: list[np.ndarray], targets: list[np.ndarray]) -> list[np.ndarray]:
+    """The target shares, scaled to the values that occur."""
+    there = [np.where(np.bincount(at, minlength=len(shares)) > 0, shares, 0.0) for at, shares in zip(members, targets)]
+    return [x / x.sum() for x in there]
+
+
+def residual(w: np.ndarray, members: list[np.ndarray], targets: list[np.ndarray]) -> float:
+    """The largest distance of a dimension's shares from their targets."""
+    return max(float(np.abs(np.bincount(at, weights=w, minlength=len(g)) / w.sum() - g).max()) for at, g in zip(members, goals(members, targets)))
+
+
 def calibrate(w: np.ndarray, tokens: np.ndarray, share: float) -> np.ndarray:
-    """min(1, kappa * w / tokens) with expected tokens of ``share`` of all: the cells of the highest ratio fill up first."""
+    """kappa * w / tokens: expected tokens of ``share`` of all, or of less, so that the highest is one at most."""
     ratio = w / tokens
-    order = np.argsort(-ratio, kind="stable")
-    full, rest = np.cumsum(tokens[order]) - tokens[order], w[order][::-1].cumsum()[::-1]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        kappa = np.where(rest > 0, (share * tokens.sum() - full) / rest, 0.0)
-    fits = np.flatnonzero(kappa * ratio[order] <= 1)
-    return np.minimum(1.0, (kappa[fits[0]] if len(fits) else np.inf) * ratio) if share < 1 else np.ones(len(w))
+    return ratio * min(share * tokens.sum() / w.sum(), 1 / ratio.max())
 
 
 def mix(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, float]], tokens: Column, key: str = "doc_id", share: float = SHARE, rounds: int = ROUNDS, seed: str = SEED) -> DataFrame:
-    """The sampled rows of ``docs`` with ``mix_cell`` (a struct of the dimensions), ``mix_tokens`` and ``mix_probability``."""
+    """The sampled rows of ``docs`` with ``mix_cell`` (a struct of the dimensions), ``mix_tokens``, ``mix_probability``
+    and ``mix_residual``, the largest distance of an expected share from its target."""
     spark = docs.sparkSession
     names = sorted(dims)
 
@@ -70,23 +83,41 @@ def mix(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, f
         listed = [v for v in targets[name] if v != REST]
         return F.when(dims[name].isin(listed), dims[name]).otherwise(F.lit(REST))
 
-    rows = docs.withColumn("mix_cell", F.struct(*(group(n).alias(n) for n in names))).withColumn("mix_tokens", tokens.cast("long"))
+    def free(name: str) -> str:
+        while name in MADE or name in docs.columns:
+            name += "_"
+        return name
+
+    u = F.conv(F.substr(F.md5(F.concat(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.lit(seed)).cast("binary")), F.lit(1), F.lit(13)), 16, 10).cast("double") / float(1 << 52)
+    cell = F.struct(*(group(n).alias(n) for n in names))
+    rows = docs.select(*(F.col(f"`{c}`").alias(free(c) if c in MADE else c) for c in docs.columns), cell.alias("mix_cell"), tokens.cast("long").alias("mix_tokens"), u.alias("_mix_u"))
     # bounded by the targets: a row for each cell
     cells = rows.groupBy(*(F.col(f"mix_cell.{n}").alias(n) for n in names)).agg(F.sum("mix_tokens").alias("tokens")).collect()
     cells = sorted(cells, key=lambda r: tuple(r[n] for n in names))
     have = [r for r in cells if r["tokens"]]
-    p = {tuple(r[n] for n in names): 1.0 for r in cells}
+    p, off = {tuple(r[n] for n in names): 1.0 for r in cells}, 0.0
     if have:
         t = np.asarray([r["tokens"] for r in have], dtype=np.float64)
         values = [sorted({*targets[n], REST}) for n in names]
         members = [np.asarray([v.index(r[n]) for r in have]) for n, v in zip(names, values)]
         shares = [np.asarray([targets[n].get(x, 1e-6) for x in v]) for n, v in zip(names, values)]
-        got = calibrate(rake(t, members, shares, rounds), t, share)
-        p |= {tuple(r[n] for n in names): float(x) for r, x in zip(have, got)}
+        w = rake(t, members, shares, rounds)
+        off = residual(w, members, shares)
+        p |= {tuple(r[n] for n in names): float(x) for r, x in zip(have, calibrate(w, t, share))}
     table = spark.createDataFrame([(*k, v) for k, v in p.items()], ", ".join(f"`{n}` string" for n in names) + ", mix_probability double")
     table = F.broadcast(table.select(F.struct(*names).alias("mix_cell"), "mix_probability"))
-    u = F.conv(F.substr(F.md5(F.concat(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.lit(seed)).cast("binary")), F.lit(1), F.lit(13)), 16, 10).cast("double") / float(1 << 52)
-    return rows.join(table, "mix_cell").where(u < F.col("mix_probability"))
+    return rows.join(table, "mix_cell").where(F.col("_mix_u") < F.col("mix_probability")).withColumn("mix_residual", F.lit(off)).drop("_mix_u")
+
+
+def measured(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, source, lang, topic, n_tokens), written: texts are read once, whatever is done with these."""
+    return materialise(docs.select(F.col(f"`{key}`"), "source", "lang", topic(F.col("text")).alias("topic"), n_words(F.col("text")).cast("long").alias("n_tokens")), "mix-rows")
+
+
+def measured_mix(rows: DataFrame) -> DataFrame:
+    """``mix`` with the mixture above, over the rows of ``measured``."""
+    dims = {n: F.col(n) for n in ("source", "lang", "topic")}
+    return mix(rows, dims, {"source": SOURCES, "lang": LANGS, "topic": TOPICS}, F.col("n_tokens"))
 
 
 def documents_mix(docs: DataFrame) -> DataFrame:
@@ -109,6 +140,7 @@ def oracle_sql() -> str:
     step = "raked"
     for d, t in (("lang", "lt"), ("source", "st"), ("topic", "tt")):
         step = _STEP.format(d=d, t=t, q=step)
+    offs = " UNION ALL ".join(f"SELECT h / sum(h) OVER () AS have, share / sum(share) OVER () AS goal FROM (SELECT {d} AS v, sum(w) AS h FROM raked WHERE k = {ROUNDS} GROUP BY {d}) JOIN {t} USING (v)" for d, t in (("lang", "lt"), ("source", "st"), ("topic", "tt")))
     listed = lambda shares: ", ".join(f"'{k}'" for k in shares if k != REST)
     return f"""
 WITH RECURSIVE st(v, share) AS (VALUES {_values(SOURCES)}), lt(v, share) AS (VALUES {_values(LANGS)}), tt(v, share) AS (VALUES {_values(TOPICS)}),
@@ -119,12 +151,11 @@ d AS (SELECT doc_id, CASE WHEN source IN ({listed(SOURCES)}) THEN source ELSE '*
 cells AS (SELECT source, lang, topic, sum(n)::DOUBLE AS tokens FROM d GROUP BY ALL HAVING sum(n) > 0),
 raked AS (SELECT 0 AS k, source, lang, topic, tokens, tokens AS w FROM cells
   UNION ALL SELECT k + 1, source, lang, topic, tokens, w FROM {step} WHERE k < {ROUNDS}),
-r AS (SELECT *, w / tokens AS ratio FROM raked WHERE k = {ROUNDS}),
-c AS (SELECT *, ({SHARE} * sum(tokens) OVER () - (sum(tokens) OVER o - tokens)) / (sum(w) OVER () - (sum(w) OVER o - w)) AS kappa FROM r
-  WINDOW o AS (ORDER BY ratio DESC, lang, source, topic ROWS UNBOUNDED PRECEDING)),
-kp AS (SELECT arg_max(kappa, ratio) AS kappa FROM (SELECT * FROM c WHERE kappa * ratio <= 1)),
-p AS (SELECT source, lang, topic, least(1.0, kp.kappa * ratio) AS p FROM r, kp)
-SELECT d.doc_id, d.source AS mix_source, d.lang AS mix_lang, d.topic AS mix_topic, d.n::BIGINT AS n_tokens, round(p.p, 6) AS probability
-FROM d JOIN p USING (source, lang, topic)
-WHERE ('0x' || md5(d.doc_id || '{SEED}')[1:13])::BIGINT::DOUBLE / 4503599627370496.0 < p.p
+r AS (SELECT *, w / tokens AS ratio, sum(tokens) OVER () AS total FROM raked WHERE k = {ROUNDS}),
+kp AS (SELECT least({SHARE} * any_value(total) / sum(w), 1 / max(ratio)) AS kappa FROM r),
+off AS (SELECT max(abs(have - goal)) AS residual FROM ({offs})),
+p AS (SELECT source, lang, topic, kp.kappa * ratio AS p FROM r, kp)
+SELECT d.doc_id, d.source AS mix_source, d.lang AS mix_lang, d.topic AS mix_topic, d.n::BIGINT AS n_tokens, round(coalesce(p.p, 1.0), 6) AS probability, round(coalesce(residual, 0.0), 6) AS residual
+FROM d LEFT JOIN p USING (source, lang, topic) CROSS JOIN off
+WHERE ('0x' || md5(coalesce(d.doc_id::VARCHAR, '') || '{SEED}')[1:13])::BIGINT::DOUBLE / 4503599627370496.0 < coalesce(p.p, 1.0)
 """

@@ -64,8 +64,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.documents_mix(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", *(F.col(f"mix_cell.{d}").alias(f"mix_{d}") for d in ("source", "lang", "topic")), F.col("mix_tokens").alias("n_tokens"), F.round("mix_probability", 6).alias("probability"))
+    rows = mixing.measured_mix(mixing.measured(table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", *(F.col(f"mix_cell.{d}").alias(f"mix_{d}") for d in ("source", "lang", "topic")), F.col("mix_tokens").alias("n_tokens"), F.round("mix_probability", 6).alias("probability"), F.round("mix_residual", 6).alias("residual"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
