@@ -4,6 +4,7 @@ import hashlib
 import math
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -344,27 +345,104 @@ def test_mixing_empty(spark):
     assert mixing.documents_mix(d.limit(0)).count() == 0
 
 
+def slow_word(word, v, w):
+    """Probability of a word, summed over its segmentations one by one."""
+    weight = weights_of(w)
+
+    @lru_cache(maxsize=None)
+    def rest(at):
+        """Of the pieces from a place on, each after the chance of going on."""
+        if at == len(word):
+            return math.exp(w.stop)
+        total = 0.0
+        for end in range(at + 1, len(word) + 1):
+            p = weight.get((1, word[at:end]), 0.0)
+            if end == at + 1 and not p:
+                p = math.exp(w.by_bytes) / 4 / 256.0 ** len(word[at].encode())
+            total += p * tail(end)
+        return total
+
+    @lru_cache(maxsize=None)
+    def tail(at):
+        return math.exp(w.stop) if at == len(word) else math.exp(w.go) * rest(at)
+
+    return math.exp(w.bare) * rest(0) + sum(weight.get((0, word[:k]), 0.0) * tail(k) for k in range(1, len(word) + 1))
+
+
+@lru_cache(maxsize=4)
+def weights_of(w):
+    return {(which, p): math.exp(x) for which, log_w in ((0, w.first), (1, w.later)) for p, x in zip(PIECE_TEXT[which], log_w)}
+
+
+def piece_texts():
+    """The usable pieces in the order of their weights: read anew from the file, of any length."""
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    all_of = [m.id_to_piece(i) for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))]
+    fits = lambda b: b and "\u2581" not in b and not any("A" <= c <= "Z" for c in b)
+    return [sorted((b for b in bodies if fits(b)), key=lattice.hash_of) for bodies in ([p[1:] for p in all_of if p[0] == "\u2581"], [p for p in all_of if p[0] != "\u2581"])]
+
+
+PIECE_TEXT = piece_texts()
+
+
 def test_lattice_sums_all_segmentations():
     v = lattice.vocabulary(PIECES)
-    w = lattice.Weights.of_prior(v)
-
-    def slow(word):
-        n = len(word)
-        a = [math.exp(w.bare) / math.exp(w.go)] + [0.0] * n
-        for end in range(1, n + 1):
-            if end <= v.longest and (i := v.find(0, np.asarray([lattice.hash_of(word[:end])], np.uint64))[0]) >= 0:
-                a[end] += math.exp(w.first[i])
-            for k in range(1, min(end, v.longest) + 1):
-                i = v.find(1, np.asarray([lattice.hash_of(word[end - k : end])], np.uint64))[0]
-                p = math.exp(w.later[i]) if i >= 0 else 0.0
-                if k == 1 and i < 0:
-                    p += lattice.BYTES_SHARE / 4 / 256.0 ** len(word[end - 1].encode())
-                a[end] += a[end - k] * p * math.exp(w.go)
-        return a[n] * math.exp(w.stop)
-
-    for word in ("the", "thereabouts", "é", "東京x", "q" * 30):
-        got = lattice.Lattice([word], v).log_probability(w)[0]
-        assert math.isclose(got, math.log(slow(word)), rel_tol=1e-9)
+    assert [len(x) for x in PIECE_TEXT] == [len(x) for x in v.keys] and v.longest == max(len(p) for x in PIECE_TEXT for p in x) > 10
+    w = lattice.Weights.untrained(v)
+    for x in (np.logaddexp.reduce([*w.first, w.bare]), np.logaddexp.reduce([*w.later, w.by_bytes])):
+        assert abs(x) < 1e-6
+    for word in ("the", "thereabouts", "é", "東京x", "q" * 30, "internationalization", "responsibilities"):
+        assert math.isclose(lattice.Lattice([word], v).log_probability(w)[0], math.log(slow_word(word, v, w)), rel_tol=1e-9)
+
+
+def test_lattice_expected_counts():
+    """Expected counts are the slopes of the log probability in the log weights."""
+    v = lattice.vocabulary(PIECES)
+    w, got = lattice.Weights.untrained(v), lattice.Counts.none(v)
+    lattice.Lattice(["there"], v).expect(w, np.asarray([3.0]), got)
+    assert math.isclose(got.first.sum() + got.bare, 3.0) and got.words == 3
+    for k in np.argsort(-got.later)[:5]:
+        w.later[k] += 1e-5
+        up = lattice.Lattice(["there"], v).log_probability(w)[0]
+        w.later[k] -= 2e-5
+        down = lattice.Lattice(["there"], v).log_probability(w)[0]
+        w.later[k] += 1e-5
+        assert math.isclose(3 * (up - down) / 2e-5, got.later[k], rel_tol=1e-4)
+
+
+def test_lattice_scores_whole_texts(spark):
+    """The registered operator's scores against words one by one, over texts of a table."""
+    docs = documents(spark).unionByName(odd(spark).where("doc_id is null or doc_id not in (6, 7)").select("doc_id", "text"), allowMissingColumns=True)
+    out = quality.held_out(F.col("doc_id"), 10)
+    rows = lattice.likelihood(docs, PIECES, ~out, hot_words=200).collect()
+    texts = [(r.doc_id, r.text or "") for r in docs.collect()]
+    split = lambda t: [w.decode() for w in t.encode().lower().split()]
+    count = Counter(w for i, t in texts if zlib.crc32(("" if i is None else str(i)).encode()) % 10 for w in [*split(t), ""])
+    v, counts = lattice.vocabulary(PIECES), lattice.Counts.none(lattice.vocabulary(PIECES))
+    for w, c in count.items():
+        if w:
+            lattice.Lattice([w], v).expect(lattice.Weights.untrained(v), np.asarray([float(c)]), counts)
+    ends = count[""] / sum(count.values())
+    few = sorted({(len(t), i or -1, t) for i, t in texts if len(t) < 400})[:60]
+    for name, w in zip(lattice.SCORES, lattice.fitted(v, counts)):
+        got = {(r.doc_id or -1, r.n_tokens, round(r[name], 5)) for r in rows}
+        for _, i, t in few:
+            words = split(t)
+            want = math.log10(ends) + sum(math.log10((1 - ends) * slow_word(x, v, w)) for x in words)
+            assert any(g[0] == i and g[1] == len(words) + 1 and math.isclose(g[2], want, rel_tol=1e-5, abs_tol=2e-5) for g in got), (name, t)
+
+
+def test_lattice_probabilities_sum_to_one_at_most():
+    v = lattice.vocabulary(PIECES)
+    w = lattice.Weights.untrained(v)
+    words = {p for x in PIECE_TEXT for p in x}
+    words |= {a + b for a in PIECE_TEXT[0][:300] for b in PIECE_TEXT[1][:300]}
+    total = 0.0
+    for _, x in lattice.lattices(sorted(words), v):
+        total += np.exp(x.log_probability(w)).sum()
+    assert 0.5 < total <= 1
 
 
 def test_lattice_counts_and_base(spark):
@@ -383,10 +461,11 @@ def test_lattice_counts_and_base(spark):
         want[(i, len(words), sum(c[w] > 0 for w in words), n, round(base, 6))] += 1
     assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows) == want
     assert all(r.score < 0 and math.isfinite(r.score) for r in rows)
+    assert lattice.likelihood(docs.limit(0), PIECES, F.lit(True)).count() == 0
 
 
 def test_lattice_without_training(spark):
-    rows = lattice.likelihood(odd(spark), PIECES, F.lit(False), group=None).collect()
+    rows = lattice.likelihood(odd(spark), PIECES, F.lit(False)).collect()
     assert all(math.isfinite(r.score) and r.train_tokens == 0 for r in rows)
 
 

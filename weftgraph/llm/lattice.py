@@ -1,26 +1,29 @@
 """Subword lattice likelihood.
 
-The words of a text are weighed over all their segmentations. An edge of a word's lattice is a piece of an existing
-vocabulary (its scores give the prior weights of pieces), one character by its bytes where no piece has it, or the whole
-word if the training texts hold it. A forward recursion in log space sums over all paths:
-
-    P(word) = (count - d) / N + d * V / N * P_pieces(word),
-
-for each group of documents (a language), and the text's probability is the marginal over the groups, which never enter
-the score of a text otherwise. d comes from the numbers of words seen once and twice, and P_pieces is the marginal over piece sequences: a first piece, then
-pieces with the chance of going on, then the word's end. Piece weights are trained on every distinct training word by
-expectation-maximisation: each chunk of words runs a few rounds from the prior, and the expected counts of all chunks
-are added. The end of a text is a token of its own, so the probabilities of all texts sum to one at most.
+A word is weighed over all its segmentations. An edge of its lattice is a piece of an existing vocabulary, of any length,
+or one character by its bytes where no piece is that character. A forward recursion in log space sums over all paths: a
+first piece (or the bare word mark), then pieces with the chance of going on, then the word's end. The probability of a
+text is the product over its words of (1 - e) * P(word), and e for the end of the text, so those of all texts sum to one
+at most.
+
+The weights are the vocabulary's own. Pieces fall into classes, by whether they begin a word and by their length, and
+within a class a piece weighs exp(slope * score) if the file's scores are log probabilities, or (shift + rank) ** -slope
+if they are the ranks of merges. Training texts set no weight of a single piece: they set the share, slope and shift of
+each class, the share of bytes, the chance of going on, and e, all from expected counts over the lattices of every
+distinct training word, each as often as it occurs (one step of expectation-maximisation from equal shares and slope 1).
+Beside it, ``adapted_score`` takes the expected counts of the pieces themselves as weights, the vocabulary's as prior.
 
 Words are counted over all documents. The most frequent ones (``hot_words``, a parameter) are broadcast with their
 scores; every other word of a text meets its score through a shuffle on the word. The route never changes a result.
 
 Defined results: null text counts as the empty text (one end token); a null id is not held out; repeated rows keep
-their rows; without training rows pieces keep their prior weights; an empty table gives an empty table.
+their rows, whatever their ids; without training rows the classes keep equal shares and e is one half; an empty table
+gives an empty table; of the columns, the key and those made here are returned.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from functools import lru_cache
 from itertools import repeat
@@ -29,41 +32,43 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weftgraph.llm.words import frequent, tidy
+from weftgraph.llm.words import frequent, placed, tidy
 from weftgraph.session import materialise
 
 SPACE = "▁"
 END = b""
 BASE = 0x9E3779B97F4A7C15
-#: Weight of one character by its bytes, as a share of all pieces.
-BYTES_SHARE = 1e-3
 NEVER = -1e30
+#: Pieces of so many characters and more are one class.
+LONG = 6
 
 
 class Vocabulary:
-    """Pieces of a vocabulary file as sorted hashes: of those that begin a word, and of those within one."""
+    """Pieces of a vocabulary file as sorted hashes: of those that begin a word (0), and of those within one (1)."""
 
-    def __init__(self, model_path: str, longest: int = 10):
+    def __init__(self, model_path: str):
         from sentencepiece import SentencePieceProcessor
 
         m = SentencePieceProcessor(model_file=model_path)
-        first, later = {}, {}
+        found: tuple[dict, dict] = {}, {}
         for i in range(m.get_piece_size()):
             if m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i):
                 continue
-            p, prior = m.id_to_piece(i), 1 / (10 - min(m.get_score(i), 0.0))
+            p = m.id_to_piece(i)
             body = p[1:] if p[0] == SPACE else p
-            if len(body) > longest or SPACE in body or any("A" <= c <= "Z" for c in body) or not body and p != SPACE:
-                continue
-            (first if p[0] == SPACE else later)[body] = prior
-        self.longest = longest
-        self.bare = first.pop("", 1e-3)  # the mark alone: a word begins with a piece from within words
-        self.keys, self.prior = [], []
-        for pieces in (first, later):
-            order = sorted((hash_of(p), w) for p, w in pieces.items())
-            self.keys.append(np.asarray([h for h, _ in order], dtype=np.uint64))
-            self.prior.append(np.asarray([w for _, w in order]))
+            if body and not re.search(f"[A-Z{SPACE}]", body):  # words are lower-cased and hold no mark
+                found[p[0] != SPACE][body] = m.get_score(i)
+        self.longest = max(map(len, [*found[0], *found[1]]))
+        scores = [x for f in found for x in f.values()]
+        self.ranked = all(x == int(x) <= 0 for x in scores)
+        self.keys, self.score, self.kind = [], [], []
+        for pieces in found:
+            rows = sorted((hash_of(p), x, min(len(p), LONG) - 1) for p, x in pieces.items())
+            self.keys.append(np.asarray([r[0] for r in rows], dtype=np.uint64))
+            self.score.append(np.asarray([r[1] for r in rows], dtype=np.float64))
+            self.kind.append(np.asarray([r[2] for r in rows]))
 
     def find(self, which: int, h: np.ndarray) -> np.ndarray:
         """Index of each hash among the pieces, or -1."""
@@ -71,6 +76,12 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         return np.where(keys[at] == h, at, -1)
 
+    def of_class(self, which: int, kind: int, slope: float, shift: float) -> np.ndarray:
+        """Log weights of a class's pieces, summing to one."""
+        x = self.score[which][self.kind[which] == kind]
+        x = -slope * np.log(shift - x) if self.ranked else slope * x
+        return x - np.logaddexp.reduce(x) if len(x) else x
+
 
 def hash_of(piece: str) -> int:
     h = sum((ord(c) + 1) * pow(BASE, k, 1 << 64) for k, c in enumerate(piece)) % (1 << 64)
@@ -83,28 +94,88 @@ def vocabulary(model_path: str) -> Vocabulary:
 
 
 class Weights:
-    """Log weights of pieces, of the bare mark, and of a word's going on or ending after a piece."""
+    """Log weights of pieces, of the bare mark, of bytes, and of a word's going on or ending after a piece.
+
+    ``first`` with the bare mark sum to one, and so do ``later`` with the bytes.
+    """
+
+    def __init__(self, first: np.ndarray, later: np.ndarray, bare: float, by_bytes: float, stop: float):
+        self.first, self.later = np.append(first, NEVER), np.append(later, NEVER)
+        self.bare, self.by_bytes, self.stop, self.go = float(bare), float(by_bytes), float(np.log(stop)), float(np.log1p(-stop))
 
-    def __init__(self, first: np.ndarray, later: np.ndarray, bare: float, stop: float):
-        total = first.sum() + bare
-        self.first, self.bare = np.append(np.log(first / total), NEVER), float(np.log(bare / total))
-        self.later = np.append(np.log(later / later.sum() * (1 - BYTES_SHARE)), NEVER)
-        self.stop, self.go = float(np.log(stop)), float(np.log1p(-stop))
+    @classmethod
+    def of_classes(cls, v: Vocabulary, shares: list[np.ndarray], slopes: list[list[tuple[float, float]]], stop: float) -> Weights:
+        """``shares``: of each class, and at the end of the bare mark and of the bytes."""
+        out = []
+        for which in (0, 1):
+            w = np.full(len(v.keys[which]), NEVER)
+            for kind in range(LONG):
+                w[v.kind[which] == kind] = np.log(shares[which][kind]) + v.of_class(which, kind, *slopes[which][kind])
+            out.append(w)
+        return cls(*out, np.log(shares[0][LONG]), np.log(shares[1][LONG]), stop)
 
     @classmethod
-    def of_prior(cls, v: Vocabulary) -> Weights:
-        return cls(v.prior[0], v.prior[1], v.bare, 0.5)
+    def untrained(cls, v: Vocabulary) -> Weights:
+        return cls.of_classes(v, *start(v), 0.5)
+
+
+def start(v: Vocabulary) -> tuple[list[np.ndarray], list[list[tuple[float, float]]]]:
+    """Equal shares of the classes that have pieces, a thousandth for the bare mark and the bytes, slope 1, shift 10."""
+    shares = []
+    for which in (0, 1):
+        there = np.asarray([(v.kind[which] == k).any() for k in range(LONG)], dtype=np.float64)
+        shares.append(np.append(there / max(there.sum(), 1) * 0.999, 0.001) + 1e-12)
+    return [x / x.sum() for x in shares], [[(1.0, 10.0)] * LONG] * 2
+
+
+def fitted(v: Vocabulary, counts: Counts) -> tuple[Weights, Weights]:
+    """The vocabulary's weights with shares and slopes that fit the expected counts best, and the adapted ones."""
+    if not counts.words:
+        return (Weights.untrained(v),) * 2
+    shares, slopes = start(v)
+    stop = min(0.99, (counts.words + 1) / (counts.pieces + 2))
+    for which, (n, other) in enumerate(((counts.first, counts.bare), (counts.later, counts.bytes))):
+        own = np.asarray([n[v.kind[which] == k].sum() for k in range(LONG)] + [other])
+        shares[which] = (own + 10 * shares[which]) / (own.sum() + 10)
+        options = [(s, q) for q in ((1.0, 10.0, 100.0, 1000.0, 10000.0) if v.ranked else (1.0,)) for s in np.arange(0, 3.01, 0.1)]
+        slopes[which] = [max(options, key=lambda o: float(n[v.kind[which] == k] @ v.of_class(which, k, *o))) if own[k] > 0 else (1.0, 10.0) for k in range(LONG)]  # noqa: B023
+    w = Weights.of_classes(v, shares, slopes, stop)
+    mass = lambda n, log_w, other, log_o: (np.append(n, other) + max(10.0, 0.01 * (n.sum() + other)) * np.exp(np.append(log_w, log_o)))
+    first, later = mass(counts.first, w.first[:-1], counts.bare, w.bare), mass(counts.later, w.later[:-1], counts.bytes, w.by_bytes)
+    first, later = np.log(first / first.sum()), np.log(later / later.sum())
+    return w, Weights(first[:-1], later[:-1], first[-1], later[-1], stop)
+
+
+class Counts:
+    """Expected counts: of pieces that begin words, of those within, of the bare mark, of bytes, of all pieces, of words."""
+
+    PARTS = ("first", "later", "bare", "bytes", "pieces", "words")
+
+    def __init__(self, first, later, bare=0.0, bytes=0.0, pieces=0.0, words=0.0):
+        self.first, self.later, self.bare, self.bytes, self.pieces, self.words = first, later, bare, bytes, pieces, words
+
+    @classmethod
+    def none(cls, v: Vocabulary) -> Counts:
+        return cls(np.zeros(len(v.keys[0])), np.zeros(len(v.keys[1])))
+
+    def row(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([np.asarray(getattr(self, c), np.float64).tobytes()], pa.binary()) for c in self.PARTS], list(self.PARTS))
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        for c in self.PARTS:
+            for x in batch.column(c):
+                got = np.frombuffer(x.as_buffer(), np.float64)
+                setattr(self, c, getattr(self, c) + (got if len(got) > 1 else float(got[0])))
 
 
 class Lattice:
     """Words of one length: their edges, found once."""
 
     def __init__(self, words: list[str], v: Vocabulary):
-        self.n, self.length, self.v = len(words), len(words[0]), v
+        self.n, self.length = len(words), len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(self.n, self.length)
         c = codes.astype(np.uint64) + np.uint64(1)
         size = (codes > 0x7F).astype(np.int8) + (codes > 0x7FF) + (codes > 0xFFFF) + 1
-        self.by_bytes = np.log(BYTES_SHARE / 4) - size * np.log(256.0)
         self.first, self.later = [], []
         h, power = np.zeros_like(c), 1
         for k in range(1, min(v.longest, self.length) + 1):
@@ -113,18 +184,19 @@ class Lattice:
             own = h ^ np.uint64(k)
             self.first.append(v.find(0, own[:, 0]))
             self.later.append(v.find(1, own))
+        # a length of one to four bytes, then the bytes, where no piece is the character
+        self.spelt = np.where(self.later[0] < 0, -np.log(4.0) - size * np.log(256.0), NEVER)
 
-    def later_weight(self, w: Weights, k: int, start: int) -> np.ndarray:
-        out = w.later[self.later[k - 1][:, start]] + w.go
-        return np.logaddexp(out, np.where(self.later[0][:, start] < 0, self.by_bytes[:, start] + w.go, NEVER)) if k == 1 else out
+    def later_weight(self, w: Weights, k: int, at: int) -> np.ndarray:
+        out = w.later[self.later[k - 1][:, at]]
+        return (np.maximum(out, self.spelt[:, at] + w.by_bytes) if k == 1 else out) + w.go
 
     def forward(self, w: Weights) -> np.ndarray:
         """Log weight of all paths to each place; the bare mark stands at place 0."""
         a = np.full((self.length + 1, self.n), NEVER)
         a[0] = w.bare - w.go
         for end in range(1, self.length + 1):
-            longest = min(end, len(self.later))
-            terms = [a[end - k] + self.later_weight(w, k, end - k) for k in range(1, longest + 1)]
+            terms = [a[end - k] + self.later_weight(w, k, end - k) for k in range(1, min(end, len(self.later)) + 1)]
             if end <= len(self.first):
                 terms.append(w.first[self.first[end - 1]])
             top = np.maximum.reduce(terms)
@@ -134,26 +206,29 @@ class Lattice:
     def log_probability(self, w: Weights) -> np.ndarray:
         return self.forward(w)[-1] + w.stop
 
-    def expect(self, w: Weights, first: np.ndarray, later: np.ndarray) -> tuple[float, float]:
-        """Add the expected counts of pieces, each word counting once; returns those of the bare mark and of all pieces."""
+    def expect(self, w: Weights, often: np.ndarray, into: Counts) -> None:
+        """Add the expected counts over all segmentations, each word as often as it occurs."""
         a = self.forward(w)
-        z = a[-1]
+        z = a[-1] - np.log(often)
         b = np.full_like(a, NEVER)
         b[-1] = 0.0
-        for start in range(self.length - 1, -1, -1):
-            terms = [b[start + k] + self.later_weight(w, k, start) for k in range(1, min(self.length - start, len(self.later)) + 1)]
+        for at in range(self.length - 1, -1, -1):
+            terms = [b[at + k] + self.later_weight(w, k, at) for k in range(1, min(self.length - at, len(self.later)) + 1)]
             top = np.maximum.reduce(terms)
-            b[start] = top + np.log(sum(np.exp(t - top) for t in terms))
-        pieces = 0.0
+            b[at] = top + np.log(sum(np.exp(t - top) for t in terms))
         for k, at in enumerate(self.later, 1):
             p = np.exp(a[: self.length - k + 1].T + (w.later[at] + w.go) + b[k:].T - z[:, None])
-            later += np.bincount(at.ravel() + 1, weights=p.ravel(), minlength=len(later) + 1)[1:]
-            pieces += p.sum()
+            into.later += np.bincount(at.ravel() + 1, weights=p.ravel(), minlength=len(into.later) + 1)[1:]
+            into.pieces += p.sum()
+        p = np.exp(a[:-1].T + (self.spelt + w.by_bytes + w.go) + b[1:].T - z[:, None]).sum()
+        into.bytes += float(p)
+        into.pieces += p
         for k, at in enumerate(self.first, 1):
             p = np.exp(w.first[at] + b[k] - z)
-            first += np.bincount(at + 1, weights=p, minlength=len(first) + 1)[1:]
-            pieces += p.sum()
-        return float(np.exp(a[0] + b[0] - z).sum()), pieces
+            into.first += np.bincount(at + 1, weights=p, minlength=len(into.first) + 1)[1:]
+            into.pieces += p.sum()
+        into.bare += float(np.exp(a[0] + b[0] - z).sum())
+        into.words += float(often.sum())
 
 
 def lattices(words: list[str], v: Vocabulary, cells: int = 2_000_000):
@@ -167,168 +242,107 @@ def lattices(words: list[str], v: Vocabulary, cells: int = 2_000_000):
             yield at[k : k + step], Lattice([words[j] for j in at[k : k + step]], v)
 
 
-def train_chunk(words: list[str], v: Vocabulary, rounds: int) -> tuple[np.ndarray, np.ndarray, float, float]:
-    """Expected counts over some words after a few rounds from the prior: first, later, bare mark, pieces."""
-    w = Weights.of_prior(v)
-    built = [x for _, x in lattices(words, v)]
-    for _ in range(rounds):
-        first, later, bare, pieces = np.zeros(len(v.keys[0])), np.zeros(len(v.keys[1])), 0.0, 0.0
-        for x in built:
-            p, q = x.expect(w, first, later)
-            bare, pieces = bare + p, pieces + q
-        w = weights_from(first, later, bare, pieces, len(words), v)
-    return first, later, bare, pieces
-
-
-def weights_from(first: np.ndarray, later: np.ndarray, bare: float, pieces: float, words: float, v: Vocabulary) -> Weights:
-    """Weights from expected counts, with the prior as a few pseudo-counts."""
-    mass = lambda x, prior: x + prior / prior.sum() * max(1.0, 0.001 * x.sum())
-    return Weights(mass(first, v.prior[0]), mass(later, v.prior[1]), bare + 1e-3, min(0.99, (words + 1) / (pieces + 2)))
-
-
 def text_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def word_table(docs: DataFrame, text: str, own: Column, groups: int, flush: int = 250_000) -> DataFrame:
-    """(word, c0, c1, ...): every distinct word of all documents and its number in each group's training texts.
+def word_table(base: DataFrame, flush: int = 250_000) -> DataFrame:
+    """(word, c): every distinct word of all documents and its number in training texts.
 
-    ``own`` is a document's group, or -1 for one that does not train; the empty word is the end of a text.
+    ``base`` has the text ``t`` and whether it trains, ``own``; the empty word is the end of a text.
     """
 
     def tally(batches):
-        seen, other = [Counter() for _ in range(groups)], set()
+        seen, other = Counter(), set()
 
         def rows():
-            g = np.repeat(np.arange(groups + 1), [*map(len, seen), len(other)]) % groups
-            words = [w for x in (*seen, other) for w in x]
-            n = [c for x in seen for c in x.values()] + [0] * len(other)
-            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(g, pa.int32()), pa.array(n, pa.int64())], ["word", "g", "c"])
-            for x in (*seen, other):
-                x.clear()
+            words = [*seen, *other]
+            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([*seen.values(), *[0] * len(other)], pa.int64())], ["word", "c"])
+            seen.clear()
+            other.clear()
             return out
 
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
-                for t, g in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if g >= 0:
-                        seen[g].update(text_words(t))
-                        seen[g][END] += 1
+                for t, own in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if own:
+                        seen.update(text_words(t))
+                        seen[END] += 1
                     else:
                         other.update(text_words(t))
-                if sum(map(len, seen)) + len(other) > flush:
+                if len(seen) + len(other) > flush:
                     yield rows()
         yield rows()
 
-    rows = docs.select(F.col(f"`{text}`").alias("t"), own.cast("int").alias("own")).mapInArrow(tidy(tally), "word binary, g int, c long")
-    return rows.groupBy("word").agg(*(F.sum(F.when(F.col("g") == k, F.col("c")).otherwise(0)).alias(f"c{k}") for k in range(groups)))
+    return base.select("t", "own").mapInArrow(tidy(tally), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-PARTS = ("first", "later", "bare", "pieces", "words")
-
-
-def learn_weights(counts: DataFrame, model_path: str, groups: int, rounds: int, chunk: int) -> list[Weights]:
-    """Weights of pieces for each group, from every distinct word that it trained on."""
-    fields = "g int, " + ", ".join(f"{c} binary" for c in PARTS)
-
-    def row(g, total):
-        return pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), *(pa.array([np.asarray(x, np.float64).tobytes()]) for x in total)], ["g", *PARTS])
+def expected(counts: DataFrame, model_path: str, chunk: int = 20_000, fan_in: int = 32) -> Counts:
+    """Expected counts over every distinct training word, added up in a tree of tasks: ``fan_in`` rows reach the driver."""
+    fields = ", ".join(f"{c} binary" for c in Counts.PARTS)
 
     def learn(batches):
         v = vocabulary(model_path)
-        totals: list = [None] * groups
-        words: list[list[str]] = [[] for _ in range(groups)]
-
-        def add(g):
-            got = (*train_chunk(words[g], v, rounds), float(len(words[g])))
-            totals[g] = got if totals[g] is None else tuple(x + y for x, y in zip(totals[g], got))
-            words[g].clear()
-
+        w, into = Weights.untrained(v), Counts.none(v)
         for b in batches:
-            for w, *c in zip(*(x.to_pylist() for x in b.columns)):
-                if w:
-                    for g in range(groups):
-                        if c[g]:
-                            words[g].append(w.decode("utf-8", "replace"))
-                            if len(words[g]) >= chunk:
-                                add(g)
-        for g in range(groups):
-            if words[g]:
-                add(g)
-            if totals[g] is not None:
-                yield row(g, totals[g])
+            for k in range(0, b.num_rows, chunk):
+                got = [(x.decode("utf-8", "replace"), c) for x, c in zip(*(y.to_pylist() for y in b.slice(k, chunk).columns)) if x and c]
+                often = np.asarray([c for _, c in got], dtype=np.float64)
+                for at, x in lattices([x for x, _ in got], v):
+                    x.expect(w, often[at], into)
+        yield into.row()
 
     def add_up(batches):
-        totals: dict = {}
+        into = Counts.none(vocabulary(model_path))
         for b in batches:
-            for g, *parts in zip(*(c.to_pylist() for c in b.columns)):
-                parts = [np.frombuffer(x, np.float64) for x in parts]
-                totals[g] = parts if g not in totals else [x + y for x, y in zip(totals[g], parts)]
-        for g, total in totals.items():
-            yield row(g, total)
-
-    # a row of the vocabulary's size for each task and group, added up in eight tasks and then here
-    v = vocabulary(model_path)
-    added: dict = {}
-    for g, *parts in counts.mapInArrow(tidy(learn), fields).repartition(8).mapInArrow(tidy(add_up), fields).collect():
-        parts = [np.frombuffer(x, np.float64) for x in parts]
-        added[g] = parts if g not in added else [x + y for x, y in zip(added[g], parts)]
-    return [weights_from(x[0], x[1], *(float(y[0]) for y in x[2:]), v) if (x := added.get(g)) else Weights.of_prior(v) for g in range(groups)]
-
-
-def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", group: str | None = "lang", values: tuple[str, ...] = ("en", "de", "fr", "es"), hot_words: int = 300_000, rounds: int = 3, chunk: int = 20_000) -> DataFrame:
-    """(key, h, n_tokens, n_known, train_tokens, base_score, score), a row for each row of ``docs``; scores in log10.
-
-    Training texts are grouped by the ``values`` of column ``group``, all others in one more group; without one, all
-    are one group.
-    """
+            into.add(b)
+        yield into.row()
+
+    rows, n = counts.mapInArrow(tidy(learn), fields), counts.rdd.getNumPartitions()
+    while n > fan_in:
+        n = -(-n // fan_in)
+        rows = rows.repartition(n).mapInArrow(tidy(add_up), fields)
+    out = Counts.none(vocabulary(model_path))
+    for b in rows.toArrow().to_batches():
+        out.add(b)
+    return out
+
+
+SCORES = ("score", "adapted_score")
+
+
+def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", hot_words: int = 300_000) -> DataFrame:
+    """(key, n_tokens, n_known, train_tokens, base_score, score, adapted_score), a row for each row of ``docs``, in log10."""
     spark = docs.sparkSession
-    groups = len(values) + 1 if group else 1
-    which = F.lit(groups - 1)
-    for k, x in enumerate(values if group else ()):
-        which = F.when(F.col(f"`{group}`") == x, k).otherwise(which)
-    counts = materialise(word_table(docs, text, F.when(train, which).otherwise(-1), groups), "words")
-    cs = [f"c{k}" for k in range(groups)]
-    every = sum((F.col(c) for c in cs[1:]), F.col(cs[0]))
-    tell = lambda c: [F.coalesce(F.sum(c), F.lit(0)), F.count_if(c > 0), F.count_if(c == 1), F.count_if(c == 2), F.max(F.when(F.col("word") == F.lit(END), c))]
-    facts = counts.agg(*(x for c in (every, *map(F.col, cs)) for x in tell(c))).first()
-    facts = [tuple(facts[k : k + 5]) for k in range(0, len(facts), 5)]
-    n, distinct, _, _, texts = facts[0]
-    n_g = np.asarray([f[0] for f in facts[1:]], dtype=np.float64)
-    discount = np.asarray([f[2] / (f[2] + 2 * f[3]) if f[2] else 0.5 for f in facts[1:]])
-    spare = np.asarray([d * f[1] / f[0] if f[0] else 1.0 for d, f in zip(discount, facts[1:])])
-    share = np.asarray([(f[4] or 0) / texts for f in facts[1:]]) if texts else np.full(groups, 1 / groups)
-    sent = spark.sparkContext.broadcast(learn_weights(counts, model_path, groups, rounds, chunk))
+    kind = docs.schema[key].dataType
+    base = placed(docs, key, text, own=F.coalesce(train, F.lit(False)))
+    counts = materialise(word_table(base), "words")
+    n, distinct, texts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.max(F.when(F.col("word") == F.lit(END), F.col("c")))).first()
+    ends = (texts or 0) / n if n else 0.5
+    sent = spark.sparkContext.broadcast(fitted(vocabulary(model_path), expected(counts, model_path)))
 
     def weigh(batches):
-        v, ws = vocabulary(model_path), sent.value
+        v = vocabulary(model_path)
         for b in batches:
-            words, c = b.column(0).to_pylist(), np.stack([x.to_numpy(zero_copy_only=False) for x in b.columns[1:]], 1).astype(np.float64)
-            lp = np.full(c.shape, NEVER)
-            used = [k for k in range(groups) if share[k] > 0]
+            words = b.column(0).to_pylist()
+            out = np.full((len(words), len(SCORES)), np.log(max(ends, 1e-12)))
             real = [k for k, x in enumerate(words) if x]
             for at, x in lattices([words[k].decode("utf-8", "replace") for k in real], v):
-                for k in used:
-                    lp[[real[j] for j in at], k] = x.log_probability(ws[k])
-            lp[[k for k, x in enumerate(words) if not x]] = np.where(n_g > 0, NEVER, np.log(0.5))  # a group without texts
-            p = np.maximum(c - discount, 0) / np.maximum(n_g, 1)
-            with np.errstate(divide="ignore"):
-                score = np.logaddexp(np.maximum(np.log(p), NEVER), np.log(spare) + lp) / np.log(10)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c.sum(1).astype(np.int64)), *(pa.array(score[:, k]) for k in range(groups))], ["word", "c", *lps])
-
-    lps = [f"lp{k}" for k in range(groups)]
-    columns = ", ".join(f"{x} double" for x in lps)
+                for k, w in enumerate(sent.value):
+                    out[[real[j] for j in at], k] = x.log_probability(w) + np.log1p(-min(ends, 1 - 1e-12))
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x) for x in (out / np.log(10)).T.copy())], ["word", "c", *SCORES])
+
+    columns = ", ".join(f"{x} double" for x in SCORES)
     scored = materialise(counts.mapInArrow(tidy(weigh), f"word binary, c long, {columns}"), "word-scores")
-    top = frequent(scored, "word", "c", hot_words).toPandas()  # about hot_words rows
+    top = frequent(scored, "word", "c", hot_words).toArrow()  # about hot_words rows
     base_of = lambda c: np.log10((c + 0.1) / (n + 0.1 * (distinct + 1)))
-    table = np.column_stack([base_of(top["c"].to_numpy(np.float64)), (top["c"].to_numpy() > 0).astype(np.float64), top[lps].to_numpy(np.float64)])
-    hot = spark.sparkContext.broadcast(([bytes(w) for w in top["word"]], table))
-    del top
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(f"`{key}`").alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"))
-    sums = ["base_score", "n_known", *lps]
-    end = np.concatenate([[float(base_of(0.0)), 0.0], np.full(groups, np.log10(0.5))])  # where no text trains
+    c = top["c"].to_numpy().astype(np.float64)
+    table = np.column_stack([base_of(c), c > 0, *(top[x].to_numpy() for x in SCORES)])
+    hot = spark.sparkContext.broadcast((pa.array(top["word"].to_pylist(), pa.binary()), table))
+    del top, c
+    sums = ("base_score", "n_known", *SCORES)
+    end = np.asarray([float(base_of(0.0)), 0.0, *[np.log10(max(ends, 1e-12))] * len(SCORES)])  # where no text trains
 
     def known(batches):
         index, table = hot_index(hot)
@@ -336,12 +350,12 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
                 n_t, out = [], np.zeros((part.num_rows, table.shape[1]))
-                for j, t in enumerate(part.column(2).to_pylist()):
+                for j, t in enumerate(part.column(3).to_pylist()):
                     words = text_words(t)
                     n_t.append(len(words) + 1)
                     at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
                     out[j] = table[at[at >= 0]].sum(0) + (table[index[END]] if END in index else end)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([1] * len(n_t), pa.int32()), pa.array(n_t, pa.int64()), *(pa.array(x) for x in out.T.copy())], ["k", "h", "m", "n_tokens", *sums])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(n_t, pa.int64()), *(pa.array(x) for x in out.T.copy())], ["f", "r", "k", "n_tokens", *sums])
 
     def others(batches):
         index, _ = hot_index(hot)
@@ -354,22 +368,19 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
                         at.append(j), words.append(w), tf.append(c)
                 if at:
                     at = pa.array(at, pa.int32())
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(words, pa.binary()), pa.array(tf, pa.int32())], ["k", "h", "word", "tf"])
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(words, pa.binary()), pa.array(tf, pa.int32())], ["f", "r", "word", "tf"])
 
-    rare = rows.mapInArrow(tidy(others), f"k {kind}, h long, word binary, tf int").join(scored, "word")
-    base = F.log10((F.col("c") + F.lit(0.1)) / (F.lit(float(n)) + F.lit(0.1) * F.lit(distinct + 1)))
-    rare = rare.select("k", "h", F.lit(0).alias("m"), F.lit(0).cast("long").alias("n_tokens"), (base * F.col("tf")).alias("base_score"), F.when(F.col("c") > 0, F.col("tf")).otherwise(0).cast("double").alias("n_known"), *((F.col(x) * F.col("tf")).alias(x) for x in lps))
-    whole = rows.mapInArrow(tidy(known), f"k {kind}, h long, m int, n_tokens long, base_score double, n_known double, {columns}")
-    out = whole.unionByName(rare).groupBy("k", "h").agg(*(F.sum(c).alias(c) for c in ("m", "n_tokens", *sums)))
-    out = out.withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), "m")))  # rows that are repeated were added up
-    # the marginal over the groups, in log space
-    terms = [F.col(x) / F.col("m") + F.lit(float(np.log10(s))) for x, s in zip(lps, share) if s > 0]
-    top_term = F.greatest(*terms) if len(terms) > 1 else terms[0]
-    score = top_term + F.log10(sum((F.pow(F.lit(10.0), t - top_term) for t in terms[1:]), F.pow(F.lit(10.0), terms[0] - top_term)))
-    return out.select(F.col("k").alias(key), "h", *(F.round(F.col(c) / F.col("m")).cast("long").alias(c) for c in ("n_tokens", "n_known")), F.lit(n).cast("long").alias("train_tokens"), (F.col("base_score") / F.col("m")).alias("base_score"), score.alias("score"))
+    rare = base.select("f", "r", "t").mapInArrow(tidy(others), "f long, r long, word binary, tf int").join(scored, "word")
+    of_base = F.log10((F.col("c") + F.lit(0.1)) / (F.lit(float(n)) + F.lit(0.1) * F.lit(distinct + 1)))
+    seen = F.when(F.col("c") > 0, F.col("tf")).otherwise(0).cast("double")
+    rare = rare.select("f", "r", F.lit(None).cast(kind).alias("k"), F.lit(None).cast("long").alias("n_tokens"), (of_base * F.col("tf")).alias("base_score"), seen.alias("n_known"), *((F.col(x) * F.col("tf")).alias(x) for x in SCORES))
+    fields = T.StructType([T.StructField("f", T.LongType()), T.StructField("r", T.LongType()), T.StructField("k", kind), T.StructField("n_tokens", T.LongType()), *(T.StructField(x, T.DoubleType()) for x in sums)])
+    whole = base.select("f", "r", "k", "t").mapInArrow(tidy(known), fields)
+    out = whole.unionByName(rare).groupBy("f", "r").agg(F.max("k").alias(key), F.max("n_tokens").alias("n_tokens"), *(F.sum(x).alias(x) for x in sums))
+    return out.select(key, "n_tokens", F.round("n_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), "base_score", *SCORES)
 
 
 def hot_index(sent) -> tuple[dict[bytes, int], np.ndarray]:
     """The table of frequent words and their places in it."""
     words, table = sent.value
-    return {w: k for k, w in enumerate(words)}, table
+    return {w: k for k, w in enumerate(words.to_pylist())}, table

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.session import materialise
@@ -52,15 +52,21 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return tidied
 
 
-def placed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, t, f, r): key, text and a place that no other row has, the same however often the rows are read.
+def placed(docs: DataFrame, key: str, text: str, **more: Column) -> DataFrame:
+    """(k, t, f, r, ...): key, text, a place that no other row has, the same however often the rows are read, and
+    the columns asked for.
 
     The place is the file and the row within it, so ``docs`` must be files; whatever else it is, is written first.
     """
-    columns = lambda d: d.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.xxhash64(d.metadataColumn("_metadata")["file_path"]).alias("f"), d.metadataColumn("_metadata")["row_index"].alias("r"))
+    own = {"k": F.col(f"`{key}`"), "t": F.col(f"`{text}`")} | more
+
+    def columns(d: DataFrame, **named: Column) -> DataFrame:
+        place = d.metadataColumn("_metadata")
+        return d.select(*(c.alias(n) for n, c in named.items()), F.xxhash64(place["file_path"]).alias("f"), place["row_index"].alias("r"))
+
     if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
         try:
-            return columns(docs)
+            return columns(docs, **own)
         except AnalysisException:  # files without row numbers
             pass
-    return columns(materialise(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), "texts"))
+    return columns(materialise(docs.select(*(c.alias(n) for n, c in own.items())), "texts"), **{n: F.col(n) for n in own})
