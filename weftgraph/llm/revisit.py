@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftgraph.llm.words import cuts_of, range_of
+
 #: Headers that a not-modified answer may update; query parameters that only track.
 UPDATES = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 TRACKING = "^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
@@ -50,9 +52,8 @@ def resolve(records: DataFrame, ranges: int | None = None) -> DataFrame:
     r = records.withColumn("url_key", canonical(F.col("url"))).where("url_key is not null and ts is not null")
     full = (F.col("type") == "response") & (F.col("status_code") == 200)
     narrow = r.where(full | (F.col("type") == "revisit")).select("url_key", "ts", "record_id", full.alias("full"))
-    cuts = sorted(set(narrow.agg(F.percentile_approx("ts", [k / ranges for k in range(1, ranges)], 10_000)).first()[0] or []))  # ``ranges`` numbers
-    lit = F.lit(cuts) if cuts else F.array().cast("array<long>")
-    narrow = narrow.withColumn("range", F.size(F.filter(lit, lambda c: c <= F.col("ts"))))
+    cuts = sorted(set(cuts_of(narrow, "ts", ranges)))  # ``ranges`` numbers at most
+    narrow = narrow.withColumn("range", range_of(cuts, F.col("ts")))
     last = narrow.where("full").groupBy("url_key", "range").agg(F.max(F.struct("ts", "record_id")).alias("last"))
     here = narrow.select("url_key", "range").distinct().join(last, ["url_key", "range"], "left")
     over = Window.partitionBy("url_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a URL has ``ranges`` rows at most

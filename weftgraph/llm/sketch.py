@@ -4,7 +4,8 @@ A text's shingles of five words (the whole sequence where there are fewer words)
 below a fixed fraction of the range is kept: the first 16 hexadecimal digits, sorted, joined. As the bound does not
 depend on the text, the sketch of a union is the union of sketches, and the share of a small document's sketch that a
 large one's holds estimates containment, however unequal they are. A text none of whose hashes lies below the bound
-keeps its smallest one, which a merge drops as soon as the other side has one below the bound.
+keeps its smallest one, which ``merged`` drops as soon as the other side has one below the bound. So the containment of
+texts of fewer than some 20 shingles is unreliable: a short text that lies whole within a long one may get 0.
 
 Defined results: null text counts as the empty text, whose fingerprint is empty; two empty fingerprints are alike (1),
 an empty and another one are not (0); texts are read whole; rows with equal or null keys follow each other in the order
@@ -14,9 +15,13 @@ and those made here are returned.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftgraph.llm.words import cuts_of, range_of
+
 BLANK = r"[\x20\x09-\x0D]+"
 DIGITS = 16
 WIDTH = 5
@@ -55,33 +60,47 @@ def containment(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when(least == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / least)
 
 
+def merged(a: Column, b: Column, bound: str = BOUND) -> Column:
+    """The sketch of two texts' shingles together: all hashes below the bound, or else the smallest one."""
+    both = F.sort_array(F.array_union(a, b))
+    below = F.filter(both, lambda h: h < bound)
+    return F.when(F.size(below) > 0, below).otherwise(F.slice(both, F.lit(1), F.lit(1)))
+
+
 def with_next(docs: DataFrame, key: str, text: str, sketched: bool, ranges: int | None = None) -> DataFrame:
     """(key, text, next_text[, own, next_own]): each row with the next one by descending key, the last with the first.
 
     Rows are dealt into ranges of the key by quantiles, ordered within each, and each range's last row gets the first
-    row of the next range: ``ranges`` rows (a parameter) carry over, so no task holds more than its ranges.
+    row of the next range: a row for each range carries over, so no task holds more than its ranges. The rows of a key
+    that several quantiles name (nulls, say) are dealt into as many ranges more, by a hash of their text.
     """
     spark = docs.sparkSession
     ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     low = -(1 << 63)
     base = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(low)).alias("ord"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
-    cuts = base.agg(F.percentile_approx("ord", [k / ranges for k in range(1, ranges)] or [0.5], 10_000)).first()[0]
-    cuts = sorted(set(cuts or []))
-    at = F.size(F.filter(F.lit(cuts) if cuts else F.array().cast("array<long>"), lambda c: c <= F.col("ord")))
-    base = base.withColumn("range", at)
-    # at most ``ranges`` rows reach the driver
-    tops = sorted(((r["range"], r["top"]) for r in base.groupBy("range").agg(F.max("ord").alias("top")).collect()), reverse=True)
-    follow = [(a, tops[(k + 1) % len(tops)][1]) for k, (a, _) in enumerate(tops)]
-    base = base.withColumn("h", F.xxhash64("t"))
-    firsts = base.where(F.col("ord").isin([top for _, top in follow])).groupBy("ord").agg(F.min_by("t", "h").alias("t"))
-    firsts = firsts.join(F.broadcast(spark.createDataFrame(follow, "`range` int, ord long")), "ord").select("range", F.col("t").alias("first_t"))
-    w = Window.partitionBy("range").orderBy(F.desc("ord"), "h")
+    often = Counter(cuts_of(base, "ord", ranges))
+    cuts = sorted(often)
+    base = base.withColumn("h", F.xxhash64("t")).withColumn("range", range_of(cuts, F.col("ord")))
+    sub = F.lit(0)
+    for value, n in often.items():
+        if n > 1:  # at most ranges / 2 such keys, of which each holds more than one range's rows
+            share = F.least(F.floor((F.col("h") / float(1 << 64) + 0.5) * n).cast("int"), F.lit(n - 1))
+            sub = F.when(F.col("ord") == value, share + 1).otherwise(sub)
+    base = base.withColumn("sub", sub)
+    # a row for each range reaches the driver: its first one
+    tops = base.groupBy("range", "sub").agg(F.max(F.struct("ord", (-F.col("h").cast("decimal(20,0)")).alias("h"))).alias("top")).collect()
+    tops = sorted(((-r["range"], r["sub"], r["top"]["ord"], -int(r["top"]["h"])) for r in tops))
+    follow = [(-a, b, *tops[(k + 1) % len(tops)][2:]) for k, (a, b, _, _) in enumerate(tops)]
+    follow = F.broadcast(spark.createDataFrame(follow, "`range` int, sub int, ord long, h long"))
+    firsts = base.join(follow.select("ord", "h").distinct(), ["ord", "h"], "left_semi").groupBy("ord", "h").agg(F.min("t").alias("t"))
+    firsts = firsts.join(follow, ["ord", "h"]).select("range", "sub", F.col("t").alias("first_t"))
+    w = Window.partitionBy("range", "sub").orderBy(F.desc("ord"), "h", "t")
     rows = base.withColumn("next_t", F.lead("t").over(w))
     if sketched:
         rows = rows.withColumn("own", sketch(F.col("t")))
         rows = rows.withColumn("next_own", F.lead("own").over(w))
         firsts = firsts.withColumn("first_own", sketch(F.col("first_t")))
-    rows = rows.join(firsts, "range", "left")
+    rows = rows.join(F.broadcast(firsts), ["range", "sub"], "left")  # one row for each range
     out = [F.col("key").alias(key), F.col("t").alias("text"), F.coalesce("next_t", "first_t").alias("next_text")]
     if sketched:
         out += ["own", F.when(F.col("next_t").isNull(), F.col("first_own")).otherwise(F.col("next_own")).alias("next_own")]

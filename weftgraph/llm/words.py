@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -70,3 +71,29 @@ def placed(docs: DataFrame, key: str, text: str, **more: Column) -> DataFrame:
         except AnalysisException:  # files without row numbers
             pass
     return columns(materialise(docs.select(*(c.alias(n) for n, c in own.items())), "texts"), **{n: F.col(n) for n in own})
+
+
+def free(docs: DataFrame, *made: str) -> DataFrame:
+    """``docs`` whose columns of the names ``made`` have got "_" behind their name, as often as it takes."""
+    names = list(docs.columns)
+    for k, name in enumerate(docs.columns):
+        while names[k] in made or names[k] != name and names.count(names[k]) > 1:
+            names[k] += "_"
+    return docs.toDF(*names)
+
+
+def cuts_of(df: DataFrame, column: str, ranges: int) -> list[int]:
+    """``ranges`` - 1 quantiles of a whole-number column, in order; those of a frequent value are equal."""
+    at = [k / ranges for k in range(1, ranges)]
+    return sorted(df.agg(F.percentile_approx(column, at, max(10_000, 10 * ranges))).first()[0] or []) if at else []
+
+
+def range_of(cuts: list[int], value: Column) -> Column:
+    """How many of the sorted ``cuts`` are not above ``value``: first among every m-th of them, then among m, m being
+    the root of their number."""
+    if not cuts:
+        return F.lit(0)
+    m = math.isqrt(len(cuts)) + 1
+    count = lambda some: F.size(F.filter(some, lambda c: c <= value))
+    block = F.greatest(count(F.lit(cuts[::m])) - 1, F.lit(0))
+    return (block * m + count(F.slice(F.lit(cuts), block * m + 1, F.lit(m)))).cast("int")
