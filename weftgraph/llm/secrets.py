@@ -7,7 +7,8 @@ the window. A candidate whose highest window entropy reaches the bound of its cl
 allow-list matches it or a base span holds it.
 
 Places are code points from 0, the end exclusive. Defined results: null text has no spans and stays null when masked;
-empty text has none; repeated rows keep their rows; an empty table gives an empty table; extra columns stay.
+empty text has none; repeated rows keep their rows; an empty table gives an empty table; extra columns stay, and those
+named base_spans or secret_spans get "_" behind their name. Many matches in one text cost little more than in many texts.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from math import log2
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftgraph.llm.words import free
+
 #: Kind, pattern, group whose length counts, least length.
 BASE = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -35,26 +38,56 @@ ALLOWED = ("^[0-9]+$", "^[A-Za-z]+$", "^[A-Za-z]+([/_=+-]+[A-Za-z]*)+$", "^[0-9a
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: a one-element array gives it a name."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, op, zero: Column) -> Column:
+    """What ``op`` makes of all elements before each one, in blocks of about the root of their number: no array grows,
+    and n elements cost n ** 1.5 small steps."""
+
+    def of(v: Column) -> Column:
+        step = F.ceil(F.sqrt(F.size(v))).cast("int")
+        blocks = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / step).cast("int"))
+        part = lambda b, n: F.aggregate(F.slice(v, b * step + 1, n), zero, op)
+
+        def heads(totals: Column) -> Column:
+            def block(b: Column) -> Column:
+                inside = F.sequence(F.lit(0), F.least(step, F.size(v) - b * step) - 1)
+                return bound(F.aggregate(F.slice(totals, F.lit(1), b), zero, op), lambda head: F.transform(inside, lambda j: op(head, part(b, j))))
+
+            return F.flatten(F.transform(blocks, block))
+
+        return bound(F.transform(blocks, lambda b: part(b, step)), heads)
+
+    return F.when(F.size(values) > 0, bound(values, of)).otherwise(F.array().cast("array<int>"))
+
+
 def found(text: Column, pattern: str, group: int, least: int, rank: int, kind: str, keep=None) -> Column:
-    """Spans of the matches of ``pattern``: what lies between matches and the matches themselves give the places."""
+    """Spans of the matches of ``pattern``: the lengths of what lies between matches and of the matches give the places."""
     zipped = F.arrays_zip(
-        F.split(text, pattern, -1).alias("between"),
+        F.transform(F.split(text, pattern, -1), F.char_length).alias("between"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"),
+        F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.char_length).alias("part"),
     )
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["between"])
-        end = start + F.char_length(x["match"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
-        ok = x["match"].isNotNull() & (F.char_length(x["part"]) >= least)
-        if keep is not None:
-            ok = ok & keep(x["match"])
-        return F.struct(F.coalesce(end, start).alias("at"), F.when(ok, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def spans(z: Column) -> Column:
+        lengths = F.transform(z, lambda x: x["between"] + F.coalesce(F.char_length(x["match"]), F.lit(0)))
+
+        def placed(before: Column) -> Column:
+            start = lambda x, i: before[i] + x["between"]
+            return F.transform(z, lambda x, i: F.struct(start(x, i).alias("start"), F.lit(rank).alias("rank"), (start(x, i) + F.char_length(x["match"])).alias("end"), F.lit(kind).alias("kind"), x["match"].alias("match"), x["part"].alias("part")))
+
+        return bound(running(lengths, lambda a, b: a + b, F.lit(0)), placed)
+
+    def ok(x: Column) -> Column:
+        fits = x["match"].isNotNull() & (x["part"] >= least)
+        return fits & keep(x["match"]) if keep is not None else fits
 
     none = F.array().cast(SPAN)
-    spans = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    kept = F.transform(F.filter(bound(zipped, spans), ok), lambda x: F.struct(*(x[c].alias(c) for c in ("start", "rank", "end", "kind"))))
+    return F.when(text.rlike(pattern), kept).otherwise(none)
 
 
 def window_entropy(chars: Column, alphabet: str, window: int) -> Column:
@@ -95,17 +128,25 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*(found(text, p, g, n, k, kind) for k, (kind, p, g, n) in enumerate(BASE))))
 
 
-def entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of secrets by entropy that no base span holds."""
-    spans = found(text, CANDIDATE, 1, WINDOW, len(BASE), "entropy", entropic)
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
+def furthest(spans: Column, counts=None) -> Column:
+    """The furthest end of all spans before each one, or of those that ``counts`` says."""
+    ends = F.transform(spans, lambda s: s["end"] if counts is None else F.when(counts(s), s["end"]).otherwise(0))
+    return running(ends, lambda a, b: F.greatest(a, b), F.lit(0))
+
+
+def with_entropy(text: Column, base: Column) -> Column:
+    """``base`` and the spans of secrets by entropy that no base span holds, by start. At one start base spans come first."""
+    every = F.array_sort(F.concat(base, found(text, CANDIDATE, 1, WINDOW, len(BASE), "entropy", entropic)))
+    is_base = lambda s: s["rank"] < len(BASE)
+    return bound(every, lambda e: bound(furthest(e, is_base), lambda far: F.filter(e, lambda s, i: is_base(s) | (far[i] < s["end"]))))
 
 
 def scan(docs, text: str = "text"):
     """``docs`` with ``base_spans`` and ``secret_spans`` (all of them), arrays of (start, rank, end, kind) by start."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    docs = free(docs, "base_spans", "secret_spans")
     docs = docs.withColumn("base_spans", base_spans(t))
-    return docs.withColumn("secret_spans", F.array_sort(F.concat("base_spans", entropy_spans(t, F.col("base_spans")))))
+    return docs.withColumn("secret_spans", with_entropy(t, F.col("base_spans")))
 
 
 def listed(spans: Column) -> Column:
@@ -113,16 +154,24 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """``text`` with every span, or overlapping spans together, replaced by ``mask``."""
+def masked(text: Column, spans: Column, mask: str = "[SECRET]", few: int = 64) -> Column:
+    """``text`` with every span, or overlapping spans together, replaced by ``mask``.
+
+    ``spans`` are sorted by start. Up to ``few`` spans cut the text where they lie; for more, it is taken apart once.
+    """
+
+    def pieces(cut, s: Column) -> Column:
+        def of(far: Column) -> Column:
+            each = F.transform(s, lambda x, i: F.when(x["start"] >= far[i], F.concat(cut(far[i], x["start"] - far[i]), F.lit(mask))).otherwise(""))
+            last = F.greatest(F.array_max(F.transform(s, lambda x: x["end"])), F.lit(0))
+            return F.concat(F.array_join(each, ""), bound(last, lambda end: cut(end, F.greatest(F.char_length(text) - end, F.lit(0)))))
 
-    def step(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["at"]
-        put = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(apart, put).otherwise(acc["out"]).alias("out"))
+        return bound(furthest(s), of)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))).otherwise(text)
+    by_place = lambda at, n: F.substr(text, at + 1, n)
+    of_chars = lambda chars: pieces(lambda at, n: F.array_join(F.slice(chars, at + 1, n), ""), spans)
+    many = bound(F.filter(F.split(text, "", -1), lambda c: c != ""), of_chars)
+    return F.when(text.isNull() | (F.size(spans) == 0), text).when(F.size(spans) <= few, pieces(by_place, spans)).otherwise(many)
 
 
 ORACLE_SQL = r"""
