@@ -5,7 +5,8 @@ sigmoid(w.(x1 - x0)); w maximises the penalised likelihood of such pairs (Newton
 then cut at a quantile of the training scores: by default the share of label 0 among the training rows.
 The reported score is sigmoid(w.x - cut + logit(keep_at)), so the cut lies at ``keep_at``.
 
-The fit uses at most ``max_train`` labelled rows (a bounded sample in hash order); the scores cover every row.
+The fit uses at most ``max_train`` labelled rows (a bounded sample in hash order; of several texts of one id the
+smallest) and ``pairs`` pairs of them, 60,000, drawn by a fixed seed; the scores cover every row.
 Labels, language, source and id are never inputs of a score.
 
 Defined results: null text counts as the empty text; texts of any length are read whole; without rows of both labels
@@ -94,11 +95,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def vector(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t).astype(np.float32) for t in texts])
 
-    # at most max_train keys: a proven bound for the broadcast
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(few), "_k").select("_k", "_y", vector("_t").alias("x")).toPandas()
+    # at most max_train keys: a proven bound for the broadcast, and for the rows that return, one text for each of them
+    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(few), "_k")
+    rows = rows.groupBy("_k", "_y").agg(F.min("_t").alias("_t")).select("_k", "_y", vector("_t").alias("x")).toPandas()
     if rows.empty:
         return Ranking(np.zeros(N_FEATURES), -1.0, options.get("keep_at", 0.3))
-    rows = rows.sort_values("_k", kind="stable")
+    rows = rows.sort_values(["_k", "_y"], kind="stable")
     return fit_pairs(np.stack(rows["x"]).astype(np.float64), rows["_y"].to_numpy(), **options)
 
 
