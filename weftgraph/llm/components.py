@@ -34,5 +34,7 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 10
         was, now = now, _print(e)
         if was == now:
             break
+    else:
+        raise RuntimeError(f"components are not complete after {max_rounds} rounds")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(roots)
