@@ -11,7 +11,8 @@ within a class a piece weighs exp(slope * score) if the file's scores are log pr
 if they are the ranks of merges. Training texts set no weight of a single piece: they set the share, slope and shift of
 each class, the share of bytes, the chance of going on, and e, all from expected counts over the lattices of every
 distinct training word, each as often as it occurs (one step of expectation-maximisation from equal shares and slope 1).
-Beside it, ``adapted_score`` takes the expected counts of the pieces themselves as weights, the vocabulary's as prior.
+Beside it, ``adapted_score`` takes the expected counts of the pieces themselves as weights, the vocabulary's as prior,
+and ``counted_score`` the discounted numbers of whole words, what is left over being dealt by the adapted lattice.
 
 Words are counted over all documents. The most frequent ones (``hot_words``, a parameter) are broadcast with their
 scores; every other word of a text meets its score through a shuffle on the word. The route never changes a result.
@@ -309,16 +310,18 @@ def expected(counts: DataFrame, model_path: str, chunk: int = 20_000, fan_in: in
     return out
 
 
-SCORES = ("score", "adapted_score")
+SCORES = ("score", "adapted_score", "counted_score")
 
 
 def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", hot_words: int = 300_000) -> DataFrame:
-    """(key, n_tokens, n_known, train_tokens, base_score, score, adapted_score), a row for each row of ``docs``, in log10."""
+    """(key, n_tokens, n_known, train_tokens, base_score, score, adapted_score, counted_score), a row for each row of ``docs``, in log10."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType
     base = placed(docs, key, text, own=F.coalesce(train, F.lit(False)))
     counts = materialise(word_table(base), "words")
-    n, distinct, texts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.max(F.when(F.col("word") == F.lit(END), F.col("c")))).first()
+    is_end = F.col("word") == F.lit(END)
+    n, distinct, texts, once, twice = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.max(F.when(is_end, F.col("c"))), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    less = once / (once + 2 * twice) if once else 0.5
     ends = (texts or 0) / n if n else 0.5
     sent = spark.sparkContext.broadcast(fitted(vocabulary(model_path), expected(counts, model_path)))
 
@@ -331,6 +334,13 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
             for at, x in lattices([words[k].decode("utf-8", "replace") for k in real], v):
                 for k, w in enumerate(sent.value):
                     out[[real[j] for j in at], k] = x.log_probability(w) + np.log1p(-min(ends, 1 - 1e-12))
+            c = b.column(1).to_numpy().astype(np.float64)
+            if n:
+                with np.errstate(divide="ignore"):
+                    spelt = np.where([bool(x) for x in words], out[:, 1] + np.log(less * distinct / n), -np.inf)
+                    out[:, 2] = np.logaddexp(np.log(np.maximum(c - less, 0) / n), spelt)
+            else:
+                out[:, 2] = out[:, 1]
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x) for x in (out / np.log(10)).T.copy())], ["word", "c", *SCORES])
 
     columns = ", ".join(f"{x} double" for x in SCORES)
