@@ -609,3 +609,27 @@ def test_pipeline_stages(spark):
     texts = {r.doc_id: r.text for r in d.collect()}
     assert {r.doc_id for r in final} == kept
     assert all(hashlib.sha256(texts[r.doc_id].encode()).hexdigest() == r.decoded_sha256 for r in final)
+
+
+def test_pipeline_odd_rows(spark):
+    """Nulls in every column, empty and long texts, ties, repeated rows and ids, clashing columns, empty tables."""
+    import corpus_pipeline
+
+    clean = documents(spark).where("n_chars > 300").limit(20).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in clean]
+    rows += [(5000, rows[0][1], None, None, None)] * 2 + [(None, rows[1][1], "en", "src1", 3), (None, None, None, None, None), (6000, None, "en", "src2", 1), (6001, "", "en", "src2", 0), (6002, rows[2][1] * 40, "de", None, 1)]
+    rows += [(7000, "one text of an id that stands twice, token = abcdefgh12", "en", "src3", 1), (7000, "a wholly different text of the same id", "en", "src3", 1)]
+    d = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, mix_cell int, secret_spans string")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, d, SF)
+        got = out.collect()
+        assert stage(spark, d.limit(0), SF).count() == 0, name
+        if name == "near duplicates":
+            n = Counter(r.doc_id for r in got)
+            assert n[7000] == 1 and n[5000] == 0 and n[None] == 2 and n[6000] == n[6001] == 1
+        elif name == "secrets":
+            assert len(got) == len(rows) and not any("abcdefgh12" in (r.text or "") for r in got)
+        elif name == "bpe":
+            assert Counter(r.decoded_sha256 for r in got) == Counter(hashlib.sha256((r[1] or "").encode()).hexdigest() for r in rows)
+        if name != "bpe":
+            assert out.columns == corpus_pipeline.COLUMNS
