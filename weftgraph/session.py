@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -45,6 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="weftgraph-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(named)
     return named
@@ -54,10 +57,34 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again: lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/weftgraph/{name}-{uuid.uuid4().hex}"
+    _written(spark).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _written(spark: SparkSession) -> list[str]:
+    """The folders that ``materialise`` has written in this application."""
+    if not hasattr(spark.sparkContext, "_weftgraph_written"):
+        spark.sparkContext._weftgraph_written = []
+    return spark.sparkContext._weftgraph_written
+
+
+def drop_written(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Delete what ``materialise`` has written, but for the files of ``keep``. Frames that read the rest can't be used
+    afterwards, so call it when a run's result is written."""
+    jvm = spark.sparkContext._jvm
+    held = jvm.org.apache.hadoop.fs.Path
+    files = [held(f).toUri().getPath() for f in keep.inputFiles()] if keep is not None else []
+    left = []
+    for path in _written(spark):
+        p = held(path)
+        if any(f.startswith(p.toUri().getPath() + "/") for f in files):
+            left.append(path)
+        else:
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    spark.sparkContext._weftgraph_written = left
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` in the shared folder."""
     shared_dir(df.sparkSession)
