@@ -55,7 +55,7 @@ SHORT, LONGEST = 64, 1024
 class Codec:
     """One vocabulary file: words, ids of a word, pieces of ids."""
 
-    def __init__(self, path: str, memo_size: int = 500_000, memo_chars: int = 64):
+    def __init__(self, path: str, memo_size: int = 250_000, memo_chars: int = 64):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -336,12 +336,12 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             yield batch()
 
     salt = F.when(F.length("w") > SHORT, F.pmod("r", F.lit(64))).otherwise(0)  # long words that many rows hold
-    open_words = base.select("f", "r", "t").mapInArrow(tidy(opened), "w string, f long, r long, at int, more binary")
+    open_words = base.select("f", "r", "t").mapInArrow(tidy(opened, hot_index), "w string, f long, r long, at int, more binary")
     rare = open_words.repartition(F.col("w"), salt).sortWithinPartitions("w").mapInArrow(tidy(merged), "f long, r long, at int, more binary, ids binary")
-    whole = base.select("f", "r", "t", "k").mapInArrow(tidy(packed), row)
+    whole = base.select("f", "r", "t", "k").mapInArrow(tidy(packed, hot_index), row)
     both = whole.unionByName(rare.withColumn("k", F.lit(None).cast(kind)))
     out = T.StructType([T.StructField(key, kind), T.StructField("ids", T.BinaryType())])
-    return both.repartition("f", "r").sortWithinPartitions("f", "r", "at").mapInArrow(tidy(filled), out)
+    return both.repartition("f", "r").sortWithinPartitions("f", "r", "at").mapInArrow(tidy(filled, hot_ids), out)
 
 
 def planes(codes: bytes) -> bytes:

@@ -38,11 +38,13 @@ def frequent(counts: DataFrame, word: str, number: str, most: int) -> DataFrame:
     return counts.where((level > least) | ((level == least) & (F.pmod(F.xxhash64(word), F.lit(1 << 20)) < int(share * (1 << 20)))))
 
 
-def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A function over batches whose worker returns its free memory to the system when the task ends."""
+def tidy(run: Callable[[Iterator], Iterator], *caches) -> Callable[[Iterator], Iterator]:
+    """A function over batches whose worker empties ``caches`` and returns its free memory to the system when the task ends."""
 
     def tidied(batches: Iterator) -> Iterator:
         yield from run(batches)
+        for cache in caches:
+            cache.cache_clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
         try:
