@@ -83,3 +83,10 @@ def test_mix_counts():
 def test_load_of_nothing(spark, tmp_path):
     n, e = tables.load_graph(spark, str(tmp_path / "none"))
     assert (n.count(), e.count()) == (0, 0)
+
+
+def test_link_forms(spark):
+    html = """<a class="x" href="/a">one</a> <A HREF='/b'>two</A> <a href=/c>three</a> <a href = "//o.org/d?q">four</a><a name="n">no</a>"""
+    rows = spark.createDataFrame([(1, "https://h.org/p/q", html)], "page_id bigint, url string, html string")
+    got = pages.links(rows).select("href", "link_text", pages.resolved(F.col("url"), F.col("href")).alias("to")).collect()
+    assert [tuple(r) for r in got] == [("/a", "one", "https://h.org/a"), ("/b", "two", "https://h.org/b"), ("/c", "three", "https://h.org/c"), ("//o.org/d?q", "four", "https://o.org/d")]

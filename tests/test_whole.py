@@ -1,4 +1,4 @@
-"""Queries over all that their tables hold, where the SQL of the query beside them is of a part."""
+"""Queries over all that their tables hold, against brute force and SQL."""
 
 from itertools import combinations
 
@@ -29,19 +29,19 @@ def test_all_types_are_resolved(spark):
     links = {(t, *p) for t, rows in nodes.groupby("type") for p in combinations(sorted(rows["name"]), 2) if text.jaro_winkler(*p) >= 0.9}
     assert {"Customer", "Supplier"} <= {t for t, _, _ in links}
     q = registry.queries()
-    assert q["er_blocking_all"](spark, SF).first().pairs == len(links)
-    assert {(r.type, r.a, r.b) for r in q["er_similarity_all"](spark, SF).collect()} == links
+    assert q["er_blocking"](spark, SF).first().pairs == len(links)
+    assert {(r.type, r.a, r.b) for r in q["er_similarity"](spark, SF).collect()} == links
     comp = reached(nodes["name"], [p for _, *p in links])
-    got = q["er_components_all"](spark, SF).collect()
+    got = q["er_components"](spark, SF).collect()
     assert len(got) == len(comp) and {r.name: r.component for r in got} == comp
     no = {r.component for r in resolve.vetoed(spark.createDataFrame(list(comp.items()), "name string, component string")).collect()}
     best = {}
     for n, c in comp.items():
         best[c] = min(best.get(c, n), n, key=lambda x: (-len(x), x))
     alias = {n: best[c] for n, c in comp.items() if c not in no}
-    assert {r.name: r.canonical for r in q["er_canonical_all"](spark, SF).collect()} == alias
+    assert {r.name: r.canonical for r in q["er_canonical"](spark, SF).collect()} == alias
     want = {(alias.get(e.src, e.src), alias.get(e.dst, e.dst), e.relation) for e in edges.itertuples()}
-    got = q["er_resolved_edges_all"](spark, SF).collect()
+    got = q["er_resolved_edges"](spark, SF).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
@@ -52,12 +52,12 @@ def test_components_without_the_pairs_within(spark):
     assert {r.name: r.component for r in resolve.resolved_components(n).collect()} == reached(names, links)
 
 
-@pytest.mark.parametrize("name", ["er_jaro_winkler_all", "extraction_prompts_all", "session_triples_all", "stage_snapshots_all"])
+@pytest.mark.parametrize("name", ["er_jaro_winkler", "extraction_prompts", "session_triples", "stage_snapshots", "question_batches", "link_extraction", "url_normalisation", "noise_removal"])
 def test_with_sql(spark, name):
     same(registry.queries()[name](spark, SF), registry.oracle_sql()[name], SF)
 
 
 def test_every_turn_reaches_a_prompt(spark):
     turns = spark.read.parquet(f"{SF}/conversations.parquet").groupBy("conv_id").count().collect()
-    got = {(r.conv_id, r.chunk) for r in registry.queries()["extraction_prompts_all"](spark, SF).collect()}
+    got = {(r.conv_id, r.chunk) for r in registry.queries()["extraction_prompts"](spark, SF).collect()}
     assert got == {(r.conv_id, k) for r in turns for k in range(-(-r["count"] // 3))}

@@ -19,7 +19,8 @@ from weftgraph.functions import vocab
 NOISE = {"top-tool", "after-content", "right-box", "lemma-album", "lemma-relation", "before-content", "references", "navbox", "ambox", "hatnote", "thumbcaption", "mw-editsection", "printfooter", "catlinks"}
 DROPPED = {"script", "style", "nav", "header", "footer", "aside", "noscript"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-ANCHOR = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+#: A link: its address in double quotes, in single ones, or bare; what it encloses.
+ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
 
 
 def seeds(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -150,9 +151,9 @@ def batches(blocks: DataFrame, size: int = 3) -> DataFrame:
 
 def links(pages: DataFrame) -> DataFrame:
     """(page_id, url, pos, href, link_text): every link of a page, in order."""
-    found = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("inner"))
+    found = F.arrays_zip(*(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(k)).alias(n) for k, n in enumerate(("a", "b", "c", "inner"), 1)))
     rows = pages.select("page_id", "url", F.posexplode(found).alias("pos", "l"))
-    return rows.select("page_id", "url", "pos", "l.href", plain(F.col("l.inner")).alias("link_text"))
+    return rows.select("page_id", "url", "pos", F.concat_ws("", "l.a", "l.b", "l.c").alias("href"), plain(F.col("l.inner")).alias("link_text"))
 
 
 def followable(text: Column) -> Column:
@@ -165,7 +166,7 @@ def resolved(url: Column, href: Column) -> Column:
     """The absolute URL of a link against scheme and host of its page, without query and fragment."""
     root = F.regexp_extract(url, "^([A-Za-z]+://[^/?#]*)", 1)
     bare = F.regexp_replace(href, "[?#].*$", "")
-    return F.when(bare.rlike("^[A-Za-z]+://"), bare).otherwise(F.concat(root, F.when(bare.startswith("/"), bare).otherwise(F.concat(F.lit("/"), bare))))
+    return F.when(bare.rlike("^[A-Za-z]+://"), bare).when(bare.startswith("//"), F.concat(F.regexp_extract(url, "^([A-Za-z]+:)//", 1), bare)).otherwise(F.concat(root, F.when(bare.startswith("/"), bare).otherwise(F.concat(F.lit("/"), bare))))
 
 
 def admissible(url: Column, href: Column, target: Column) -> Column:

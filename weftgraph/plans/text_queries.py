@@ -72,18 +72,8 @@ def response_flatten_all(spark, sf):
 _HEAD = (extraction.INSTRUCTION + ", ".join(vocab.RELATIONS) + "\n" + extraction.EXAMPLE + "\n").replace("'", "''")
 
 
-@query(f"SELECT conv_id, md5('{_HEAD}' || string_agg(r || '. ' || to_json(text)::VARCHAR, chr(10) ORDER BY r)) AS prompt_md5 FROM (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS r FROM conversations) WHERE r <= 3 GROUP BY conv_id")
-def extraction_prompts(spark, sf):
-    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("url"), F.col("conv_id"), "turn", "text")
-    from pyspark.sql import Window
-
-    b = c.withColumn("block_id", F.row_number().over(Window.partitionBy("url").orderBy("turn", "text")))
-    first = pages.batches(b).where("chunk = 0")
-    return first.select(F.col("url").cast("bigint").alias("conv_id"), F.md5(extraction.prompt(F.col("blocks"))).alias("prompt_md5"))
-
-
 @query(f"SELECT conv_id, ((r - 1) // 3)::INT AS chunk, md5('{_HEAD}' || string_agg(((r - 1) % 3 + 1) || '. ' || to_json(text)::VARCHAR, chr(10) ORDER BY r)) AS prompt_md5 FROM (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS r FROM conversations) GROUP BY conv_id, chunk")
-def extraction_prompts_all(spark, sf):
+def extraction_prompts(spark, sf):
     """A prompt for every chunk of a conversation."""
     c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("url"), "turn", "text")
     b = c.withColumn("block_id", F.row_number().over(Window.partitionBy("url").orderBy("turn", "text")))
@@ -283,7 +273,7 @@ def contextual_questions(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", F.md5(q).alias("question_md5"))
 
 
-@query("WITH b AS (SELECT conv_id || '-' || turn AS sample_id, substr(md5(conv_id || '-' || turn), 1, 2) AS bucket FROM conversations), r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY sample_id) - 1 AS i FROM b) SELECT sample_id, bucket || '-' || (i // 10) AS batch_id, (i % 10)::INT AS place FROM r")
+@query("SELECT sample_id, (i // 10)::BIGINT AS batch_id, (i % 10)::INT AS place FROM (SELECT sample_id, row_number() OVER (ORDER BY substr(md5(sample_id), 1, 3), sample_id) - 1 AS i FROM (SELECT conv_id || '-' || turn AS sample_id FROM conversations))")
 def question_batches(spark, sf):
     c = table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("sample_id"))
     return synthesis.batched(c).select("sample_id", "batch_id", "place")
@@ -423,19 +413,8 @@ def traditional_format(spark, sf):
     return tables.traditional(c).select("id", "question", "answer")
 
 
-@query("SELECT conv_id, turn, 'stage2' AS stage FROM conversations WHERE turn < 3")
-def stage_snapshots(spark, sf):
-    from weftgraph.plans.graph_queries import folder
-
-    path = folder(spark, "stages")
-    c = table(spark, sf, "conversations").select("conv_id", "turn", (F.col("conv_id") % 4).cast("string").alias("batch_id"))
-    tables.save_stage(c.where("turn < 3"), path, "stage2")
-    tables.save_stage(c.where("turn = 0"), path, "stage1")
-    return spark.read.parquet(path).where("stage = 'stage2'").select("conv_id", "turn", "stage")
-
-
 @query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'stage1' ELSE 'stage2' END AS stage FROM conversations")
-def stage_snapshots_all(spark, sf):
+def stage_snapshots(spark, sf):
     """All turns, dealt between two stages and read back stage by stage."""
     from weftgraph.plans.graph_queries import folder
 
