@@ -51,7 +51,9 @@ def candidates(nodes: DataFrame) -> DataFrame:
 
 def matches(nodes: DataFrame, threshold: float = vocab.SIMILARITY) -> DataFrame:
     """(type, a, b, similarity) of pairs at the threshold or above."""
-    return candidates(nodes).withColumn("similarity", jaro_winkler_udf("a", "b")).where(F.col("similarity") >= threshold)
+    # few bytes, much work: as many tasks as a shuffle may have, where sizes alone would make one
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return candidates(nodes).repartition(n, "a", "b").withColumn("similarity", jaro_winkler_udf("a", "b")).where(F.col("similarity") >= threshold)
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
