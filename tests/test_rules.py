@@ -1,5 +1,7 @@
 """Rules on hand-written cases."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +20,22 @@ def test_jaro_winkler_of_null():
     assert text.jaro_winkler(None, "a") is None
 
 
+def test_jaro_winkler_of_many_pairs():
+    draw = random.Random(3)
+    name = lambda: "".join(draw.choice("ab#0é深𝒳") for _ in range(draw.choice((0, 1, 2, 3, 9, 18, 70))))
+    a = [name() if draw.random() > 0.02 else None for _ in range(4000)]
+    b = [x[:-1] + name()[:2] if x and draw.random() < 0.5 else name() for x in a]
+    want = [text.jaro_winkler(x, y) for x, y in zip(a, b)]
+    for cells in (100, 1 << 22):  # pairs one by one, and all at once
+        assert [None if s != s else s for s in text.jaro_winklers(a, b, cells).tolist()] == want
+
+
+def test_split_blocks_give_the_same_pairs(spark):
+    rows = spark.createDataFrame([("T", g, f"name {i:02d}", i % 3) for g in ("x", "y") for i in range(30)], "type string, gram string, name string, part int")
+    got = resolve.pairs_within(rows, F.col("part_a") != F.col("part_b"), ("type",), side=7).collect()
+    assert sorted((r.a, r.b) for r in got) == [(f"name {i:02d}", f"name {j:02d}") for i in range(30) for j in range(i + 1, 30) if i % 3 != j % 3]
+
+
 def test_vetoes(spark):
     rows = spark.createDataFrame([(g, n) for g, names in GROUPS for n in names], "component string, name string")
     blocked = {r.component for r in resolve.vetoed(rows).collect()}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,9 +44,64 @@ def jaro_winkler(a: str | None, b: str | None) -> float | None:
     return s + prefix * 0.1 * (1 - s) if s > 0.7 else s
 
 
+def _codes(names: Sequence[str], width: int, pad: int) -> np.ndarray:
+    """Code points of names, one row each, filled up to ``width``."""
+    out = np.full((len(names), width), pad, np.int32)
+    n = np.fromiter(map(len, names), np.int64, len(names))
+    out[np.arange(width) < n[:, None]] = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.int32)
+    return out
+
+
+def _matrix(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """``jaro_winkler`` of pairs of names, none empty, all pairs at once."""
+    n, m = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    x, y = _codes(a, n.max(), -1), _codes(b, m.max(), -2)
+    reach = np.maximum(np.maximum(n, m) // 2 - 1, 0)[:, None]
+    rows, place = np.arange(len(a)), np.arange(y.shape[1])
+    free, hits = np.ones(y.shape, bool), np.zeros(x.shape, bool)
+    for i in range(x.shape[1]):
+        can = (y == x[:, i : i + 1]) & free & (np.abs(place - i) <= reach)
+        j = can.argmax(1)
+        hit = can[rows, j]
+        free[rows[hit], j[hit]] = False
+        hits[:, i] = hit
+    k = hits.sum(1)
+    w = min(x.shape[1], y.shape[1])
+    # what was matched, in the order of either name
+    u = np.take_along_axis(x, np.argsort(~hits, axis=1, kind="stable"), 1)[:, :w]
+    v = np.take_along_axis(y, np.argsort(free, axis=1, kind="stable"), 1)[:, :w]
+    swaps = ((u != v) & (np.arange(w) < k[:, None])).sum(1) // 2
+    some = np.maximum(k, 1)
+    s = np.where(k > 0, (k / n + k / m + (k - swaps) / some) / 3, 0.0)
+    prefix = np.cumprod(x[:, : min(4, w)] == y[:, : min(4, w)], axis=1).sum(1)
+    s = np.where(s > 0.7, s + prefix * 0.1 * (1 - s), s)
+    return np.where((k == n) & (k == m) & (swaps == 0), 1.0, s)
+
+
+def jaro_winklers(a: Sequence[str | None], b: Sequence[str | None], cells: int = 1 << 22) -> np.ndarray:
+    """``jaro_winkler`` of each pair; not a number where a name is null.
+
+    Pairs are taken in the order of their lengths, ``cells`` of a matrix at once, so one long name costs no others.
+    """
+    out = np.full(len(a), np.nan)
+    size = np.fromiter((-1 if x is None or y is None else max(len(x), len(y)) if x and y else 0 for x, y in zip(a, b)), np.int64, len(a))
+    for i in np.flatnonzero(size == 0):
+        out[i] = float(a[i] == b[i])
+    order = np.argsort(size, kind="stable")
+    order, at = order[size[order] > 0], 0
+    while at < len(order):
+        rest = size[order[at : at + cells]]
+        # the longest pair of a batch sets the width of all
+        end = at + max(1, int(np.searchsorted(rest * np.arange(1, len(rest) + 1), cells, "right")))
+        part = order[at:end]
+        out[part] = _matrix([a[i] for i in part], [b[i] for i in part])
+        at = end
+    return out
+
+
 @F.pandas_udf(DoubleType())
 def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series(jaro_winklers(a.tolist(), b.tolist()), dtype="float64")
 
 
 def first_rule(name: Column, rules, otherwise: str) -> Column:

@@ -9,13 +9,16 @@ longer one's length at least, and the names share a large part of their characte
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from weftgraph.functions import vocab
-from weftgraph.functions.text import jaro_winkler_udf
+from weftgraph.functions.text import jaro_winklers
 from weftgraph.session import checkpointed
 
 
@@ -40,20 +43,52 @@ def blocks(nodes: DataFrame) -> DataFrame:
     return n.join(often, ["type", "gram"]).withColumn("k", F.row_number().over(w)).where(F.col("k") <= length - F.ceil(length / 2).cast("int") + 1).select("type", "gram", "name")
 
 
+def pairs_within(members: DataFrame, keep: Column, columns: tuple[str, ...], side: int = 4096) -> DataFrame:
+    """(columns, a, b): pairs a < b of names of one (type, gram) block for which ``keep`` of the columns of both sides,
+    suffixed _a and _b, holds, each once.
+
+    A block of more than ``side`` names is split: one side of its pairs is dealt over the parts and the other repeated
+    for each. Names are few bytes and their pairs much work, so the parts go to as many tasks as a shuffle may have.
+    """
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = F.ceil(F.count("*") / side).cast("int").alias("parts")
+    rows = members.join(members.groupBy("type", "gram").agg(parts), ["type", "gram"])
+    others = [c for c in members.columns if c not in ("type", "gram", "name")]
+    as_ = lambda x: [F.col("name").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in others)]
+    a = rows.select("type", "gram", F.pmod(F.xxhash64("name"), F.col("parts")).cast("int").alias("part_no"), *as_("a"))
+    b = rows.select("type", "gram", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part_no"), *as_("b"))
+    keys = ["type", "gram", "part_no"]
+    la, lb = F.char_length("a"), F.char_length("b")
+    both = a.repartition(n, *keys).join(b.repartition(n, *keys), keys).where((F.col("a") < F.col("b")) & (2 * F.least(la, lb) >= F.greatest(la, lb)) & keep)
+    return both.select(*columns, "a", "b").distinct()
+
+
+def similar(pairs: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` whose names a and b reach the threshold, with the similarity.
+
+    The function is opaque to the planner: as a condition it would move below the distinct and the join that thin the
+    pairs, and run once for each block that two names share.
+    """
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = StructType([*pairs.schema.fields, StructField("similarity", DoubleType())])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            s = jaro_winklers(x.column("a").to_pylist(), x.column("b").to_pylist())
+            yield pa.RecordBatch.from_arrays([*x.columns, pa.array(s)], names=[*x.schema.names, "similarity"]).filter(pa.array(s >= threshold))
+
+    return pairs.repartition(n, "a", "b").mapInArrow(scored, schema)
+
+
 def candidates(nodes: DataFrame) -> DataFrame:
     """Pairs a < b of one type that can reach the threshold: prefix filtering over numbered characters."""
-    first = blocks(nodes)
-    a = first.select("type", "gram", F.col("name").alias("a"))
-    b = first.select("type", "gram", F.col("name").alias("b"))
-    la, lb = F.char_length("a"), F.char_length("b")
-    return a.join(b, ["type", "gram"]).where((F.col("a") < F.col("b")) & (2 * F.least(la, lb) >= F.greatest(la, lb))).select("type", "a", "b").distinct()
+    names = checkpointed(nodes.select("type", "name").distinct())  # read for the blocks, their sizes and both sides
+    return pairs_within(checkpointed(blocks(names)), F.lit(True), ("type",))
 
 
 def matches(nodes: DataFrame, threshold: float = vocab.SIMILARITY) -> DataFrame:
     """(type, a, b, similarity) of pairs at the threshold or above."""
-    # few bytes, much work: as many tasks as a shuffle may have, where sizes alone would make one
-    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return candidates(nodes).repartition(n, "a", "b").withColumn("similarity", jaro_winkler_udf("a", "b")).where(F.col("similarity") >= threshold)
+    return similar(candidates(nodes), threshold)
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -83,15 +118,13 @@ def resolved_components(nodes: DataFrame, threshold: float = vocab.SIMILARITY) -
     above = heads.select("type", F.col("head").alias("up"), F.col("least").alias("a"))
     below = heads.select("type", F.substr("head", F.lit(1), F.char_length("head") - 1).alias("up"), F.col("least").alias("b"))
     near = above.join(below, ["type", "up"]).where("a != b").select("a", "b").distinct()
-    near = checkpointed(near.where(jaro_winkler_udf("a", "b") >= threshold))
+    near = checkpointed(similar(near, threshold).select("a", "b"))
     found = components(near).withColumnRenamed("component", "part")
     first = blocks(names).join(found, "name", "left").withColumn("part", F.coalesce("part", "name"))
     mixed = first.groupBy("type", "gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high").select("type", "gram")
     first = first.join(mixed, ["type", "gram"], "left_semi")
-    a, b = (first.select("type", "gram", F.col("name").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
-    la, lb = F.char_length("a"), F.char_length("b")
-    rest = a.join(b, ["type", "gram"]).where((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & (2 * F.least(la, lb) >= F.greatest(la, lb))).select("a", "b").distinct()
-    return components(near.unionByName(rest.where(jaro_winkler_udf("a", "b") >= threshold)))
+    rest = pairs_within(first.select("type", "gram", "name", "part"), F.col("part_a") != F.col("part_b"), ())
+    return components(near.unionByName(similar(rest, threshold).select("a", "b")))
 
 
 def either_way(a: Column, b: Column, pairs) -> Column:
