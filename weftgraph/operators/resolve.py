@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -91,6 +92,16 @@ def matches(nodes: DataFrame, threshold: float = vocab.SIMILARITY) -> DataFrame:
     return similar(candidates(nodes), threshold)
 
 
+def matches_of(nodes: DataFrame, fresh: DataFrame, threshold: float = vocab.SIMILARITY) -> DataFrame:
+    """(type, a, b, similarity) of the matches that hold a name of ``fresh``: blocks without one are never paired."""
+    names = checkpointed(nodes.select("type", "name").distinct())
+    new = fresh.select("name", F.lit(True).alias("fresh")).distinct()
+    first = blocks(names).join(new, "name", "left").select("type", "gram", "name", F.coalesce("fresh", F.lit(False)).alias("fresh"))
+    first = checkpointed(first)
+    first = first.join(first.where("fresh").select("type", "gram").distinct(), ["type", "gram"], "left_semi")
+    return similar(pairs_within(first, F.col("fresh_a") | F.col("fresh_b"), ("type",)), threshold)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(name, component): the smallest name that links reach, by rounds of least labels with shortcuts."""
     e = checkpointed(links.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(links.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct())
@@ -133,8 +144,10 @@ def either_way(a: Column, b: Column, pairs) -> Column:
     return reduce(lambda x, y: x | y, ((c(a, p) & c(b, q)) | (c(a, q) & c(b, p)) for p, q in pairs))
 
 
-def types_of(name: Column) -> Column:
-    return F.filter(F.array(*(F.when(name.rlike("|".join(words)), kind) for kind, words in vocab.TYPE_WORDS.items())), lambda x: x.isNotNull())
+def types_of(name: Column, earlier: bool = False) -> Column:
+    """The kinds whose words a name holds; ``earlier`` knows only the words listed before the first of one character."""
+    words = {kind: list(takewhile(lambda w: len(w) > 1, ws) if earlier else ws) for kind, ws in vocab.TYPE_WORDS.items()}
+    return F.filter(F.array(*(F.when(name.rlike("|".join(ws)), kind) for kind, ws in words.items())), lambda x: x.isNotNull())
 
 
 def levels(name: Column) -> Column:
@@ -142,29 +155,16 @@ def levels(name: Column) -> Column:
     return name.rlike("年").cast("int") + name.rlike("月").cast("int") + name.rlike("日|号").cast("int")
 
 
-def vetoes(a: Column, b: Column) -> dict[str, Column]:
-    """The rules against merging two different names."""
-    la, lb = F.char_length(a), F.char_length(b)
-    short, long = F.when(la < lb, a).otherwise(b), F.when(la < lb, b).otherwise(a)
-    at = F.instr(long, short)
-    extra = F.concat(F.substr(long, F.lit(1), at - 1), F.substr(long, at + F.char_length(short)))
-    ends = lambda n, words: n.rlike("(" + "|".join(words) + ")$")
-    person_a, person_b, org_a, org_b = (ends(n, w) for w in (vocab.PERSON_ENDS, vocab.ORGANIZATION_ENDS) for n in (a, b))
-    ta, tb = types_of(a), types_of(b)
-    return {
-        "containment": F.contains(long, short) & F.abs(la - lb).between(1, 3) & extra.rlike(f"[{vocab.DISTINCT_PARTS}]"),
-        "keywords": either_way(a, b, vocab.KEYWORD_CONFLICTS),
-        "semantics": either_way(a, b, vocab.SEMANTIC_CONFLICTS),
-        "types": (F.size(ta) > 0) & (F.size(tb) > 0) & ~F.arrays_overlap(ta, tb),
-        "person_organization": (person_a & org_b) | (org_a & person_b),
-        "date_precision": (levels(a) > 0) & (levels(b) > 0) & (levels(a) != levels(b)),
-        "length": F.least(la, lb) / F.greatest(la, lb) < 0.5,
-    }
+#: The rules of the earlier set.
+EARLIER = ("keywords", "semantics", "types", "date_precision", "length")
 
 
-def vetoed(components: DataFrame) -> DataFrame:
+def vetoed(components: DataFrame, earlier: bool = False) -> DataFrame:
     """(component, reasons): components of which some two names, or all being numbers, forbid the merge.
 
+    ``earlier`` applies the earlier set of rules: none on numbers, containment or person and organization endings, and
+    fewer words that tell a kind of name.
+
     The rules hold for any two names of a component, linked or not. None needs all pairs: words, suffixes, levels and
     lengths are aggregated, sets of types are compared once for each distinct set, and a shorter name within a longer
     one is found by the up to nine substrings that are one to three characters shorter.
@@ -184,7 +184,7 @@ def vetoed(components: DataFrame) -> DataFrame:
     wide = c.groupBy("component").agg(*(v.alias(k) for k, v in facts.items()))
     found = wide.select("component", F.explode(F.filter(F.array(*(F.when(F.col(k), k) for k in facts)), lambda x: x.isNotNull())).alias("reason"))
 
-    kinds = c.select("component", types_of(F.col("name")).alias("t")).where(F.size("t") > 0).distinct()  # at most as many as subsets of the kinds
+    kinds = c.select("component", types_of(F.col("name"), earlier).alias("t")).where(F.size("t") > 0).distinct()  # at most as many as subsets of the kinds
     clash = kinds.alias("x").join(kinds.alias("y"), "component").where(~F.arrays_overlap("x.t", "y.t")).select("component", F.lit("types").alias("reason"))
     cut = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.transform(F.sequence(F.lit(0), 3 - i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
     parts = c.withColumn("cut", F.explode(F.filter(cut, lambda x: (x["i"] + x["j"] > 0) & (x["i"] + x["j"] < n))))
@@ -195,7 +195,10 @@ def vetoed(components: DataFrame) -> DataFrame:
     parts = parts.withColumn("short", short).withColumn("extra", F.concat(F.substr("name", F.lit(1), at - 1), F.substr("name", at + F.char_length("short"))))
     parts = parts.where(F.col("extra").rlike(f"[{vocab.DISTINCT_PARTS}]")).select("component", "short")
     held = c.join(parts.withColumnRenamed("short", "name"), ["component", "name"], "left_semi").select("component", F.lit("containment").alias("reason"))
-    return found.unionByName(clash).unionByName(held).groupBy("component").agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
+    found = found.unionByName(clash).unionByName(held)
+    if earlier:
+        found = found.where(F.col("reason").isin(*EARLIER))
+    return found.groupBy("component").agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
 
 
 def alias_map(components: DataFrame, forbidden: DataFrame) -> DataFrame:

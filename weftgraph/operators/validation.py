@@ -119,3 +119,11 @@ def contextual_metrics(rows: DataFrame) -> DataFrame:
 def run_grade(rate: Column) -> Column:
     """Bucket of a run by its validation rate."""
     return F.when(rate < 60, "low").when(rate > 80, "high").otherwise("medium")
+
+
+def conversion_summary(samples: DataFrame, contextual: DataFrame, plain: DataFrame) -> DataFrame:
+    """One row: samples, contextual and plain questions made of them, their bytes as JSON lines, and the rate in percent
+    (null without samples)."""
+    of = lambda rows, n: rows.select(F.to_json(F.struct("*")).alias("line")).agg(F.count("*").alias(f"{n}_count"), F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0)).alias(f"{n}_bytes"))
+    rows = samples.agg(F.count("*").alias("original_samples")).crossJoin(of(contextual, "contextual")).crossJoin(of(plain, "simple"))  # three rows of one
+    return rows.withColumn("conversion_rate", F.round(F.when(F.col("original_samples") > 0, F.col("contextual_count") * 100 / F.col("original_samples")), 1))

@@ -7,10 +7,10 @@ after a failure overwrites its own output and nothing else. Old versions are pru
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weftgraph.operators import graph
+from weftgraph.operators import graph, resolve
+from weftgraph.session import checkpointed
 from weftgraph.sources import tables
 
 
@@ -35,20 +35,25 @@ def prune(spark: SparkSession, path: str, keep: int) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def upsert_batch(entries: DataFrame, number: int, path: str, keep: int = 10) -> None:
-    """Put a batch of log entries into the graph as version ``number``."""
+def upsert_batch(entries: DataFrame, number: int, path: str, keep: int = 10, merge: bool = False) -> None:
+    """Put a batch of log entries into the graph as version ``number``; ``merge`` resolves the names new to the graph
+    against all of it."""
     spark = entries.sparkSession
     older = [n for n in versions(spark, path) if n < number]
     nodes, edges = tables.load_graph(spark, version(path, older[-1]) if older else version(path, -1))
-    new_nodes, new_edges, _ = graph.upsert(nodes, edges, tables.replay(entries))
+    new_nodes, new_edges, fresh = graph.upsert(nodes, edges, tables.replay(entries))
+    if merge:
+        comp = resolve.components(resolve.matches_of(new_nodes, fresh))
+        alias = checkpointed(resolve.alias_map(comp, resolve.vetoed(comp)))
+        new_nodes, new_edges = graph.merged(new_nodes, new_edges, alias)
     tables.save_graph(new_nodes, new_edges, version(path, number))
     prune(spark, path, keep)
 
 
-def ingest(spark: SparkSession, log_path: str, graph_path: str, checkpoint: str, files_per_batch: int = 10, keep: int = 10) -> StreamingQuery:
+def ingest(spark: SparkSession, log_path: str, graph_path: str, checkpoint: str, files_per_batch: int = 10, keep: int = 10, merge: bool = False) -> StreamingQuery:
     """A query that takes all log files there are, ``files_per_batch`` at a time, and stops."""
     entries = spark.readStream.schema(tables.LOG).option("maxFilesPerTrigger", files_per_batch).json(log_path)
-    run = lambda batch, number: upsert_batch(batch, number, graph_path, keep)
+    run = lambda batch, number: upsert_batch(batch, number, graph_path, keep, merge)
     return entries.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -56,11 +61,3 @@ def latest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     found = versions(spark, path)
     return tables.load_graph(spark, version(path, found[-1]) if found else version(path, -1))
 
-
-def resolve_new(nodes: DataFrame, fresh: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """Matches of new names with all names of their type, as the streaming path needs: (type, a, b, similarity)."""
-    from weftgraph.operators import resolve
-
-    found = resolve.matches(nodes, threshold)
-    new = fresh.select(F.col("name").alias("a"))
-    return found.join(new, "a", "left_semi").unionByName(found.join(new.withColumnRenamed("a", "b"), "b", "left_semi")).distinct()
