@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftgraph.functions import text
-from weftgraph.operators import extraction, graph, pages, resolve, sampling
+from weftgraph.operators import extraction, graph, pages, resolve, sampling, synthesis
 from weftgraph.plans.resolve_queries import GROUPS
 from weftgraph.sources import tables
 
@@ -108,3 +108,101 @@ def test_link_forms(spark):
     rows = spark.createDataFrame([(1, "https://h.org/p/q", html)], "page_id bigint, url string, html string")
     got = pages.links(rows).select("href", "link_text", pages.resolved(F.col("url"), F.col("href")).alias("to")).collect()
     assert [tuple(r) for r in got] == [("/a", "one", "https://h.org/a"), ("/b", "two", "https://h.org/b"), ("/c", "three", "https://h.org/c"), ("//o.org/d?q", "four", "https://o.org/d")]
+
+
+WIKI = """<body><nav>n</nav><div id="mw-content-text"><p>text <b>bold</p><div class="navbox x">box<div>in</div></div><ol class="references"><li>r</ol><ul class="references"><li>kept</ul>
+<h2>early</h2><p>one</p><h2><span class="mw-headline" id="外部链接">l</span></h2><ul><li>gone</li></ul><p>gone</p><h3>next</h3><p>two</p><h2><span id="参见">s</span></h2><p>gone</p></div><footer>f</footer></body>"""
+
+
+def test_clean_wiki():
+    got = pages.clean_html(WIKI, "https://w.org/x")
+    assert got.startswith('<div id="mw-content-text">') and got.endswith("</div>")
+    assert all(x in got for x in ("text <b>bold", "kept", "early", "one", "next", "two"))
+    assert not any(x in got for x in ("box", "<li>r", "gone", "外部链接", "参见", "<nav>", "<footer>"))
+
+
+@pytest.mark.parametrize(
+    ("html", "url", "want"),
+    [
+        ('<body><div class="a main-content">x<div class="top-tool">t<div>u</div></div>y</div>z</body>', "https://baike.baidu.com/item/a", '<div class="a main-content">xy</div>'),
+        ("<body>a<nav>b</nav></body>", "https://baike.baidu.com/item/a", "<body>a<nav>b</nav></body>"),
+        ("<main>m</main><ARTICLE id=q>a &amp; <article>b</article></ARTICLE>c", "u", "<ARTICLE id=q>a &amp; <article>b</article></ARTICLE>"),
+        ("<body>x<main>m<p>open</main>", "u", "<main>m<p>open</main>"),
+        ("<html><body>a<nav>b<nav>c</nav></nav>d<script>if (a<b) '</p>'</script>e</body></html>", "u", "<body>ade</body>"),
+        ("<p>only\n<br/>text", None, "<p>only\n<br/>text"),
+        ("</div><body>never closed", "u", "<body>never closed"),
+        (None, "u", ""),
+        ("", None, ""),
+    ],
+)
+def test_clean_regions(html, url, want):
+    assert pages.clean_html(html, url) == want
+
+
+def test_clean_of_many_elements():
+    assert len(pages.clean_html("<body>" + "<div>" * 50_000 + "x" + "</p>" * 50_000, "u")) == 6 + 250_000 + 1 + 200_000
+
+
+def test_crawl_of_a_site(spark):
+    link = lambda *to: "".join(f'<a href="{t}">to {t}</a>' for t in to)
+    rows = [(1, "https://h.org/a", link("/b", "/c", "/none")), (2, "https://h.org/b", link("/d", "/a")), (3, "https://h.org/c", link("/d", "https://o.org/x")), (4, "https://h.org/d", link("/e")), (5, "https://h.org/e", None), (6, "https://o.org/x", link("/y"))]
+    p = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = pages.crawl(spark, p.where("page_id = 1").select("url"), p, max_depth=3).collect()
+    assert [(r.url[-1], r.depth, [u[-1] for u in r.history]) for r in got] == [("a", 0, ["a"]), ("b", 1, ["a", "b"]), ("c", 1, ["a", "c"]), ("d", 2, ["a", "b", "d"]), ("e", 3, ["a", "b", "d", "e"])]
+    assert [r.url[-1] for r in pages.crawl(spark, p.where("page_id = 1").select("url"), p, max_depth=3, max_pages=2).collect()] == ["a", "b"]
+
+
+def test_shortest_paths(spark):
+    e = spark.createDataFrame([(a, b) for a, b in ("ab", "ac", "bd", "cd", "de", "ef", "ba")], "src string, dst string")
+    pairs = spark.createDataFrame([(a, b) for a, b in ("ad", "ae", "af", "aa", "da", "zz", "ad")], "source string, target string")
+    got = {(r.source, r.target): "".join(r.path) for r in sampling.shortest(e, pairs).collect()}
+    assert got == {("a", "d"): "abd", ("a", "e"): "abde", ("a", "a"): "a", ("z", "z"): "z"}
+
+
+def test_adaptive_mixture(spark):
+    names = [f"n{i:02d}" for i in range(60)]
+    n = spark.createDataFrame([(x, "T", [x]) for x in names], "name string, type string, names array<string>")
+    e = spark.createDataFrame([(names[i], names[(i * 7 + j) % 60], "r", "u", i * 10 + j) for i in range(60) for j in range(1, 6)], "src string, dst string, relation string, source_url string, seq bigint")
+    got = sampling.adaptive_mixture(n, e, 12, "low").collect()
+    low = {"Chain Reasoning": (2, 4), "Cross Referencing": (2, 3), "Anchor Pivot": (3, 4)}
+    assert got and all(low[r.architecture][0] <= r["size"] <= low[r.architecture][1] for r in got)
+    assert all(len(r.path) == r["size"] + 1 for r in got if r.architecture == "Chain Reasoning")
+    assert sum(r.architecture == "Chain Reasoning" for r in got) == sampling.mix_counts(12, sampling.adaptive_weights("low", 5.0))["chain"]
+    assert sampling.lengths(100, 2, 4, "s") == sampling.lengths(100, 2, 4, "s") and sum(sampling.lengths(100, 2, 4, "s").values()) == 100
+
+
+def test_lines_with_a_separator(spark):
+    rows = spark.createDataFrame([("first | some content\nnone\nsecond | more content",), ("plain line here",)], "r string")
+    got = rows.select(synthesis.pattern_lines(F.col("r"), "描述", F.lit(5), r"\|").alias("x")).collect()
+    assert [r.x for r in got] == [["some content", "more content"], ["plain line here"]]
+
+
+def test_model_rows_are_asked_again(spark):
+    seen = []
+
+    def model(prompts):
+        seen.append(len(prompts))
+        if len(seen) == 1:
+            return ["one", "", None]
+        if len(seen) == 2:
+            raise extraction.RateLimited("429")
+        return ["two"] * len(prompts)
+
+    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "prompt string").coalesce(1)
+    assert [(r.reply.ok, r.reply.text) for r in extraction.call_model(rows, model, at_once=1, waits=(0, 0)).collect()] == [(True, "one"), (True, "two"), (True, "two")]
+
+    def refusing(prompts):
+        raise extraction.Refused("401") if not seen else RuntimeError("called again")
+
+    seen.clear()
+    assert extraction.call_model(rows, refusing, at_once=1, waits=(0, 0)).first().reply.error == "401"
+
+
+def test_scan_of_html_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "a.html").write_text("<p>深</p>", encoding="utf-8")
+    (tmp_path / "in" / "b.html").write_bytes(b"\xff\xfe<p>")
+    (tmp_path / "c.txt").write_text("no")
+    got = tables.read_pages(spark, str(tmp_path))
+    assert tables.scan_counts(got).first().asDict() == {"files": 2, "readable": 1, "skipped": 1}
+    assert got.where("readable").first().html == "<p>深</p>"

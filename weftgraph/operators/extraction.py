@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -29,22 +30,47 @@ def stub_model(prompts: pd.Series) -> pd.Series:
     return prompts.map(lambda _: "[]")
 
 
-def call_model(rows: DataFrame, model: Callable[[pd.Series], pd.Series] = stub_model, column: str = "prompt", at_once: int = 8, attempts: int = 3) -> DataFrame:
-    """``rows`` with a struct ``reply`` (ok, text, error); ``at_once`` tasks call the model, each batch up to ``attempts`` times."""
+class RateLimited(Exception):
+    """The service asks for fewer calls: the next one waits longer."""
+
+
+class Refused(Exception):
+    """The service rejects the call for good: it is not made again."""
+
+
+def call_model(rows: DataFrame, model: Callable[[pd.Series], pd.Series] = stub_model, column: str = "prompt", at_once: int = 8, attempts: int = 3, waits: tuple[float, float] = (10.0, 60.0)) -> DataFrame:
+    """``rows`` with a struct ``reply`` (ok, text, error); ``at_once`` tasks call the model.
+
+    Rows without a text (null or empty) are asked again, up to ``attempts`` times in all: after the first of ``waits``
+    in seconds, or after a multiple of the second that grows with the attempts where the service limits its rate.
+    What other rows of a batch got is kept.
+    """
     schema = rows.withColumn("reply", F.lit(None).cast("struct<ok:boolean,text:string,error:string>")).schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            error = ""
-            for _ in range(attempts):
+            got: list[str | None] = [None] * len(b)
+            error, wait = "", 0.0
+            for k in range(attempts):
+                todo = [i for i, t in enumerate(got) if not t]
+                if not todo:
+                    break
+                time.sleep(wait)
                 try:
-                    texts = model(b[column])
-                    yield b.assign(reply=[{"ok": True, "text": t, "error": None} for t in texts])
+                    texts = list(model(b[column].iloc[todo]))
+                    if len(texts) != len(todo):
+                        raise ValueError(f"{len(texts)} replies to {len(todo)} prompts")
+                    for i, t in zip(todo, texts):
+                        got[i] = t
+                    error, wait = "empty reply", waits[0]
+                except Refused as e:
+                    error = str(e)
                     break
+                except RateLimited as e:
+                    error, wait = str(e), waits[1] * (k + 1)
                 except Exception as e:  # the service's failures become rows
-                    error = str(e)
-            else:
-                yield b.assign(reply=[{"ok": False, "text": None, "error": error}] * len(b))
+                    error, wait = str(e), waits[0]
+            yield b.assign(reply=[{"ok": bool(t), "text": t or None, "error": None if t else error} for t in got])
 
     return rows.repartition(at_once).mapInPandas(run, schema)
 
@@ -76,6 +102,7 @@ def without_trailing_commas(text: Column) -> Column:
 
 def complete_triples(text: Column) -> Column:
     """What a cut reply still holds: its complete triples, under its first block id."""
+    # fixed value: the form of a complete triple
     lit = r'\{"subject":\s*"[^"]*",\s*"relation":\s*"[^"]*",\s*"object":\s*"[^"]*"\}'
     got = F.regexp_extract_all(text, F.lit(lit), F.lit(0))
     block = F.regexp_extract(text, r'"block_id":\s*(\d+)', 1)

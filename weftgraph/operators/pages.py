@@ -6,6 +6,8 @@ structure matters. Null html counts as an empty page.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -18,6 +20,13 @@ from weftgraph.functions import vocab
 #: Element classes that are noise on encyclopedia pages, and tags that hold no content.
 NOISE = {"top-tool", "after-content", "right-box", "lemma-album", "lemma-relation", "before-content", "references", "navbox", "ambox", "hatnote", "thumbcaption", "mw-editsection", "printfooter", "catlinks"}
 DROPPED = {"script", "style", "nav", "header", "footer", "aside", "noscript"}
+#: What is taken out of an encyclopedia host's main content, and out of a wiki's content.
+HOST_NOISE = {"top-tool", "after-content", "right-box", "lemma-album", "lemma-relation", "before-content"}
+WIKI_NOISE = {("ol", "references"), ("div", "navbox"), ("table", "ambox"), ("div", "hatnote"), ("div", "thumbcaption"), ("span", "mw-editsection"), ("div", "printfooter"), ("div", "catlinks")}
+TRAILING = ("参见", "外部链接", "参考文献", "注释", "脚注")
+HEADINGS = {"h2", "h3", "h4"}
+BODY_NOISE = {"nav", "header", "footer", "aside", "script", "style"}
+HOST = "baike.baidu.com"
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: A link: its address in double quotes, in single ones, or bare; what it encloses.
 ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
@@ -111,6 +120,93 @@ class _Blocks(HTMLParser):
             self.found[-1][1].append(data.strip())
 
 
+class _Elements(HTMLParser):
+    """Elements in order of their start: (tag, id, classes, start, inner end, end, parent), places counted in the source."""
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.html, self.all, self.open, self.count = html, [], [], Counter()
+        self.line = [0, *(m.end() for m in re.finditer("\n", html))]
+        self.feed(html)
+        self.close()
+        for k in self.open:
+            self.all[k][4] = self.all[k][5] = len(html)
+
+    def place(self) -> int:
+        line, column = self.getpos()
+        return self.line[line - 1] + column
+
+    def handle_starttag(self, tag, attrs):
+        a, start = dict(attrs), self.place()
+        end = start + len(self.get_starttag_text())
+        self.all.append([tag, a.get("id") or "", set((a.get("class") or "").split()), start, end, end, self.open[-1] if self.open else None])
+        if tag not in VOID:
+            self.open.append(len(self.all) - 1)
+            self.count[tag] += 1
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.count[tag] -= 1
+            self.open.pop()
+
+    def handle_endtag(self, tag):
+        if not self.count[tag]:
+            return
+        at = self.place()
+        while True:  # elements left open end where the one around them does
+            e = self.all[self.open.pop()]
+            self.count[e[0]] -= 1
+            e[4] = e[5] = at
+            if e[0] == tag:
+                e[5] = (self.html.find(">", at) + 1) or len(self.html)
+                return
+
+
+def clean_html(html: str | None, url: str | None = None) -> str:
+    """The content of a page, as its source has it: an encyclopedia host's main content, a wiki's content without its
+    noise and trailing sections, the first article, the first main element, the body without navigation, or the whole
+    page. Elements left open end with the one around them. Null html is an empty page."""
+    html = html or ""
+    found = _Elements(html).all
+    first = lambda ok: next((e for e in found if ok(e)), None)
+    tag = lambda name: first(lambda e: e[0] == name)
+    gone: list[tuple[int, int]] = []
+    if HOST in (url or ""):
+        part = first(lambda e: e[0] == "div" and "main-content" in e[2])
+        if part:
+            gone = [(e[3], e[5]) for e in found if e[2] & HOST_NOISE and e is not part]
+        part = part or tag("body")
+    elif part := first(lambda e: e[0] == "div" and e[1] == "mw-content-text"):
+        gone = [(e[3], e[5]) for e in found if any((e[0], c) in WIKI_NOISE for c in e[2])]
+        for name in TRAILING:
+            e = first(lambda e: e[0] == "span" and e[1] == name and part[3] <= e[3] < part[5])  # noqa: B023
+            while e and e[0] not in HEADINGS:
+                e = None if e[6] is None else found[e[6]]
+            if e and e[3] > part[3]:  # from the heading to the next one beside it, or to the end of what holds both
+                stop = next((x[3] for x in found if x[6] == e[6] and x[0] in HEADINGS and x[3] > e[3]), found[e[6]][4])
+                gone.append((e[3], stop))
+    elif not (part := tag("article") or tag("main")) and (part := tag("body")):
+        gone = [(e[3], e[5]) for e in found if e[0] in BODY_NOISE]
+    at, end = (part[3], part[5]) if part else (0, len(html))
+    out = []
+    for a, b in sorted(gone):
+        if at <= a < end:
+            out.append(html[at:a])
+        at = max(at, b) if a < end else at
+    return "".join([*out, html[at:end]])
+
+
+@F.pandas_udf(StringType())
+def clean_udf(html: pd.Series, url: pd.Series) -> pd.Series:
+    return pd.Series([clean_html(h, u) for h, u in zip(html, url)])
+
+
+def cleaned(pages: DataFrame) -> DataFrame:
+    """``pages`` (url, html) with the content of each page in place of its html."""
+    return pages.withColumn("html", clean_udf("html", "url"))
+
+
 def parse_blocks(html: str | None) -> list[tuple[str, str]]:
     """(source, text) of a page: its main text, infoboxes, summaries; empty ones and repeated texts left out."""
     p = _Blocks()
@@ -190,14 +286,16 @@ def next_level(frontier: DataFrame, pages: DataFrame, visited: DataFrame, max_de
 
 
 def crawl(spark, start: DataFrame, pages: DataFrame, max_depth: int = 5, max_pages: int = 50_000) -> DataFrame:
-    """Breadth-first levels over a table of pages until nothing is new or ``max_pages`` are visited."""
+    """(url, depth, history) of the pages that breadth-first levels reach, until nothing is new or ``max_pages`` of them
+    are found. URLs that no page answers are visited once and do not count."""
     from weftgraph.session import materialise
 
+    have = pages.select("url").distinct()
     frontier = materialise(start.select("url").distinct().select("url", F.lit(0).alias("depth"), F.array("url").alias("history")), "frontier")
     seen = frontier
     for _ in range(max_depth):
-        if frontier.isEmpty() or seen.count() >= max_pages:
+        if frontier.isEmpty() or seen.join(have, "url", "left_semi").count() >= max_pages:
             break
         frontier = materialise(next_level(frontier, pages, seen, max_depth), "frontier")
         seen = seen.unionByName(frontier)
-    return seen.orderBy("depth", "url").limit(max_pages)
+    return seen.join(have, "url", "left_semi").orderBy("depth", "url").limit(max_pages)

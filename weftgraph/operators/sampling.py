@@ -7,6 +7,10 @@ some walks end early; the first samples in the order of a hash are kept.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -182,6 +186,28 @@ def mixture(nodes: DataFrame, edges: DataFrame, total: int, weights: dict[str, f
     return a.unionByName(b).unionByName(c).orderBy(order_of(seed, "architecture", "target_entity"))
 
 
+def lengths(n: int, low: int, high: int, seed: str) -> dict[int, int]:
+    """How many of ``n`` samples have each length of a range, each sample's length taken by a hash."""
+    return dict(sorted(Counter(low + zlib.crc32(f"{seed}.{i}".encode()) % (high - low + 1) for i in range(n)).items()))
+
+
+def adaptive_mixture(nodes: DataFrame, edges: DataFrame, total: int = 50, level: str = "medium", seed: str = "adapt") -> DataFrame:
+    """(architecture, size, target_entity, path): a mixture whose weights follow the density of the graph and whose
+    lengths, numbers of clues and longest pivots (``size``) come from the ranges of a level of complexity."""
+    n = mix_counts(total, adaptive_weights(level, graph.size(nodes, edges).first()["average_degree"]))
+    _, chain, cross, anchor = vocab.MIX_LEVELS.get(level, vocab.MIX_LEVELS["high"])
+    out = []
+    for k, m in lengths(n["chain"], *chain, seed + ".chain").items():
+        out.append(chains(nodes, edges, k, m, f"{seed}.chain{k}").select(F.lit("Chain Reasoning").alias("architecture"), F.lit(k).alias("size"), "target_entity", "path"))
+    for k, m in lengths(n["cross"], *cross, seed + ".cross").items():
+        out.append(crossings(edges, k, m, f"{seed}.cross{k}").select(F.lit("Cross Referencing").alias("architecture"), F.lit(k).alias("size"), F.col("convergence_node").alias("target_entity"), F.array("main_source", "convergence_node").alias("path")))
+    for k, m in lengths(n["anchor"], *anchor, seed + ".anchor").items():
+        out.append(pivots(edges, k, m, f"{seed}.anchor{k}").select(F.lit("Anchor Pivot").alias("architecture"), F.lit(k).alias("size"), F.element_at("path", -1).alias("target_entity"), "path"))
+    empty = nodes.sparkSession.createDataFrame([], "architecture string, size int, target_entity string, path array<string>")
+    rows = reduce(DataFrame.unionByName, out, empty)
+    return rows.orderBy(order_of(seed, "architecture", "target_entity"), "size")
+
+
 def novel(paths: DataFrame, group: str, most: float = 0.7) -> DataFrame:
     """Paths whose node set is like that of no accepted earlier path of the group, by Jaccard similarity.
 
@@ -224,15 +250,19 @@ def clue_packages(clues: DataFrame, num: int, seed: str = "package") -> DataFram
 
 
 def shortest(edges: DataFrame, pairs: DataFrame, longest: int = 3) -> DataFrame:
-    """(source, target, n): hops of the shortest path of each pair, up to ``longest``; one state per pair and node."""
+    """(source, target, n, path): the shortest path of each pair of up to ``longest`` hops, of several the first by names.
+
+    One state per pair and node. A walk of as many hops finds no answer that this does not, so none is tried after it.
+    """
     one = edges.select("src", "dst").distinct()
-    here = pairs.select("source", "target", F.col("source").alias("node"))
-    found = None
+    here = pairs.select("source", "target").distinct().select("source", "target", F.col("source").alias("node"), F.array("source").alias("path"))
+    found = here.where("node = target").select("source", "target", F.lit(0).alias("n"), "path")
     for k in range(1, longest + 1):
-        here = here.join(one, F.col("node") == F.col("src")).select("source", "target", F.col("dst").alias("node")).distinct()
-        hit = here.where("node = target").select("source", "target", F.lit(k).alias("n"))
-        found = hit if found is None else found.unionByName(hit)
-    return found.groupBy("source", "target").agg(F.min("n").alias("n"))
+        here = here.where("node != target").join(one, F.col("node") == F.col("src")).select("source", "target", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"))
+        here = here.groupBy("source", "target", "node").agg(F.min("path").alias("path"))
+        found = found.unionByName(here.where("node = target").select("source", "target", F.lit(k).alias("n"), "path"))
+    best = found.groupBy("source", "target").agg(F.min(F.struct("n", "path")).alias("b"))
+    return best.select("source", "target", "b.n", "b.path")
 
 
 def expanded(paths: DataFrame, per_path: int = 2, seed: str = "expand") -> DataFrame:

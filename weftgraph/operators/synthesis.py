@@ -29,12 +29,14 @@ def numbered_lines(reply: Column, prefix: str, expected: Column) -> Column:
     return F.slice(F.concat(got, F.array_repeat(F.lit("Error: 解析失败"), expected)), F.lit(1), expected)
 
 
-def pattern_lines(reply: Column, prefix: str, expected: Column) -> Column:
-    """Contents of more than five characters by the first pattern that gives any: labelled, numbered, or whole lines."""
+def pattern_lines(reply: Column, prefix: str, expected: Column, separator: str | None = None) -> Column:
+    """Contents of more than five characters by the first pattern that gives any: labelled, numbered, what follows the
+    ``separator`` (a pattern without groups) if one is given, or whole lines."""
     lines = F.filter(F.transform(F.split(F.trim(reply), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     by = lambda p, g: F.filter(F.transform(lines, lambda x: F.trim(F.regexp_extract(x, p, g))), lambda x: F.char_length(x) > 5)
     a, b, c = by(rf"{prefix}\s*([0-9]+)\s*[:：]\s*(.+)", 2), by(r"([0-9]+)[.)]\s*(.+)", 2), by("(.+)", 1)
-    return F.slice(F.when(F.size(a) > 0, a).when(F.size(b) > 0, b).otherwise(c), F.lit(1), expected)
+    d = by(f".+?(?:{separator})(.+)", 1) if separator else F.array().cast("array<string>")
+    return F.slice(F.when(F.size(a) > 0, a).when(F.size(b) > 0, b).when(F.size(d) > 0, d).otherwise(c), F.lit(1), expected)
 
 
 def batched(samples: DataFrame, size: int = 10, key: str = "sample_id") -> DataFrame:

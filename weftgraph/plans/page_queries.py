@@ -70,6 +70,15 @@ def content_region(spark, sf):
     return _pages(spark, sf).select("page_id", F.md5(pages.region(F.col("html"))).alias("region_md5"))
 
 
+_BODY_NOISE = "|".join(rf"<{t}(\s[^>]*)?>.*?</{t}>" for t in sorted(pages.BODY_NOISE))
+
+
+@query(rf"""SELECT page_id, md5(coalesce(nullif(regexp_extract(html, '(?is)<article(?:\s[^>]*)?>.*?</article>'), ''), nullif(regexp_extract(html, '(?is)<main(?:\s[^>]*)?>.*?</main>'), ''),
+  nullif(regexp_replace(regexp_extract(html, '(?is)<body(?:\s[^>]*)?>.*?</body>'), '(?is){_BODY_NOISE}', '', 'g'), ''), html, '')) AS content_md5 FROM pages""")
+def cleaned_pages(spark, sf):
+    return pages.cleaned(_pages(spark, sf).select("page_id", "url", "html")).select("page_id", F.md5("html").alias("content_md5"))
+
+
 @query(f"SELECT page_id, md5({_PLAIN.format('html')}) AS text_md5 FROM pages")
 def page_plain_text(spark, sf):
     return _pages(spark, sf).select("page_id", F.md5(pages.plain(F.col("html"))).alias("text_md5"))
@@ -115,7 +124,12 @@ def crawl_level(spark, sf):
     return pages.next_level(f, p, f).select("url", "depth", F.array_join("history", " > ").alias("history"))
 
 
-@query()
+@query(f"""WITH {LINKS_SQL}, {_TARGET}, f AS (SELECT DISTINCT url FROM pages WHERE page_id % 5 = 0),
+ok AS (SELECT * FROM u WHERE {_OK_TEXT} AND {_OK} AND target IN (SELECT url FROM pages)),
+l1 AS (SELECT DISTINCT target AS url FROM ok WHERE url IN (FROM f) AND target NOT IN (FROM f)),
+l2 AS (SELECT DISTINCT target AS url FROM ok WHERE url IN (FROM l1) AND target NOT IN (FROM f) AND target NOT IN (FROM l1)),
+l3 AS (SELECT DISTINCT target AS url FROM ok WHERE url IN (FROM l2) AND target NOT IN (FROM f) AND target NOT IN (FROM l1) AND target NOT IN (FROM l2))
+SELECT url, 0 AS depth FROM f UNION ALL SELECT url, 1 FROM l1 UNION ALL SELECT url, 2 FROM l2 UNION ALL SELECT url, 3 FROM l3""")
 def crawl_loop(spark, sf):
     p = _pages(spark, sf)
     return pages.crawl(spark, p.where("page_id % 5 = 0").select("url"), p, max_depth=3).select("url", "depth")

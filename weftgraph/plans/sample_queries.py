@@ -171,13 +171,20 @@ def clue_aggregation(spark, sf):
 
 
 @query(with_graph(""", one AS (SELECT DISTINCT src, dst FROM edges), pairs AS (SELECT c.name AS source, r.name AS target FROM nodes c, nodes r WHERE c.type = 'Supplier' AND r.type = 'Region'),
-h1 AS (SELECT DISTINCT source, target, dst AS node FROM pairs JOIN one ON src = source), h2 AS (SELECT DISTINCT source, target, dst AS node FROM h1 JOIN one ON src = node), h3 AS (SELECT DISTINCT source, target, dst AS node FROM h2 JOIN one ON src = node)
-SELECT source, target, min(n)::INT AS n FROM (SELECT *, 1 AS n FROM h1 UNION ALL SELECT *, 2 FROM h2 UNION ALL SELECT *, 3 FROM h3) WHERE node = target GROUP BY ALL"""))
+h1 AS (SELECT source, target, dst AS node, [source, dst] AS path FROM pairs JOIN one ON src = source),
+h2 AS (SELECT source, target, dst AS node, min(list_append(path, dst)) AS path FROM h1 JOIN one ON src = node GROUP BY ALL), h3 AS (SELECT source, target, dst AS node, min(list_append(path, dst)) AS path FROM h2 JOIN one ON src = node GROUP BY ALL),
+f AS (SELECT *, 1 AS n FROM h1 UNION ALL SELECT *, 2 FROM h2 UNION ALL SELECT *, 3 FROM h3)
+SELECT source, target, min(n)::INT AS n, array_to_string(arg_min(path, n), '|') AS path FROM f WHERE node = target GROUP BY ALL"""))
 def node_to_node(spark, sf):
     n, e = graph_of(spark, sf)
     regions = n.where("type = 'Region'").select(F.col("name").alias("target"))  # five names
     pairs = n.where("type = 'Supplier'").select(F.col("name").alias("source")).join(F.broadcast(regions), F.lit(True))
-    return sampling.shortest(e, pairs)
+    return sampling.shortest(e, pairs).withColumn("path", _BAR("path"))
+
+
+@query()
+def adaptive_mixture(spark, sf):
+    return sampling.adaptive_mixture(*graph_of(spark, sf), 50, "medium").withColumn("path", _BAR("path"))
 
 
 def samples(spark, sf):

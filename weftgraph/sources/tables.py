@@ -29,6 +29,19 @@ def load_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return tuple(out)
 
 
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(path, html, readable) of the html files below a folder; files that are no UTF-8 have no html."""
+    text = F.col("content").cast("string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").option("recursiveFileLookup", True).load(path)
+    readable = F.is_valid_utf8(text)
+    return files.select("path", F.when(readable, text).alias("html"), readable.alias("readable"))
+
+
+def scan_counts(scanned: DataFrame) -> DataFrame:
+    """One row: files, readable ones, and files left out."""
+    return scanned.agg(F.count("*").alias("files"), F.count_if("readable").alias("readable"), F.count_if(~F.col("readable")).alias("skipped"))
+
+
 def log_entries(triples: DataFrame, timestamp: Column) -> DataFrame:
     """One entry for each source document: (timestamp, source_url, triples_count, triples)."""
     t = F.struct("seq", "subject", "relation", "object", "subject_type", "object_type")
