@@ -84,6 +84,54 @@ def test_bpe_words_are_the_library_s():
         assert c.words((t or "").replace("<|endoftext|>", "")) == [t.replace("<|endoftext|>", "")[a:b] for _, (a, b) in c.tok.pre_tokenizer.pre_tokenize_str(t.replace("<|endoftext|>", ""))] if t else True
 
 
+def encoded(texts, words):
+    """The ids of each text by a packer with ``words`` as its table, and how often a word was left open."""
+    import pyarrow as pa
+
+    c, table = bpe.codec(BPE), pa.table({"word": pa.array(words, pa.string()), "ids": pa.array([bpe.codec(BPE).encode_word(w) for w in words], pa.binary())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    hot = bpe.Hot(sink.getvalue().to_pybytes())
+    order, ends, codes, left = bpe.Packer(c, hot.words).pack(pa.array(texts, pa.string()))
+    gaps = [c.encode_word(left[k - bpe.OPEN].as_py()) for k in codes[codes >= bpe.OPEN].tolist()]
+    ids, ends = bpe.looked_up(np.minimum(codes, bpe.GAP).astype("<u4"), gaps, hot, ends, step=97)
+    return dict(zip(order.tolist(), (x.tolist() for x in np.split(ids, ends)))), len(gaps)
+
+
+def test_bpe_packs_as_the_library():
+    """Texts cut as arrays, with no, some or all of their words in the table, and with hashes that all clash."""
+    rng = np.random.default_rng(4)
+    letters = list("ab 's,. \n\t!?;:1\u00e9\u6771\u01c6\u0301 \u00a0\u3000\u180e'-|<>\u02b0\u00aa\u00b2\u03a9")
+    texts = [t for _, t in ODD] + [" ", "\n", "x<|endoftext|><|endoftext|> y"] + ["".join(rng.choice(letters, k)) for k in rng.integers(0, 60, 2000)]
+    c = bpe.codec(BPE)
+    want = {k: c.tok.encode(t or "", add_special_tokens=False).ids for k, t in enumerate(texts)}
+    all_words = sorted({w for t in texts for w in c.words(t)})
+    for words in ([], [" a", ".", " ", "\n\n"], all_words[::2], all_words):
+        assert encoded(texts, words)[0] == want
+    assert encoded(texts, all_words)[1] == 0
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(bpe.Words, "hashes", lambda self, words: np.zeros(len(words), np.uint64))
+        assert encoded(texts, all_words)[0] == want
+
+
+def test_bpe_workers_hold_no_dictionary_of_words():
+    """Workers that cut texts keep few bytes for a broadcast word, and no tokenizer."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = pa.array([f" w{k}" for k in range(200_000)])
+    c = bpe.Codec(BPE)
+    tracemalloc.start()
+    p = bpe.Packer(c, words)
+    p.pack(pa.array(["some w17 words and w99999 more, \u6771\u4eac"]))
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 30 * len(words)
+    assert "tok" not in vars(c)
+
+
 def shingles(text, k=5):
     w = (text or "").encode().lower().split()
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)]) if w else frozenset()

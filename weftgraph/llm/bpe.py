@@ -13,6 +13,9 @@ A text travels as one code for each word, a number that the broadcast part resol
 fill. Rows are told apart by file and row number, never by id or text. Decoding joins ids by position to the id-to-piece
 table, whose size is the vocabulary's.
 
+Texts are cut and looked up some megabytes at a time, as Arrow arrays: each distinct chunk of them is cut once, and the
+broadcast words stay an array, so no worker holds a dictionary of them.
+
 Defined results: null text is the empty text (no ids); repeated rows, repeated ids and null ids each keep their row; an
 empty table gives an empty table; of the columns, the key and those made here are returned, whatever else the table
 holds.
@@ -20,10 +23,11 @@ holds.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import json
-from collections import Counter
-from functools import lru_cache
+from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +48,14 @@ WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WS}\p
 #: A run of white space with what follows it: no word crosses such a border.
 CHUNK = regex.compile(rf"[{WS}]*[^{WS}]+|[{WS}]+")
 #: White space before a space: only there can a cut before a space part what belongs together.
-ODD = tuple(chr(c) + " " for c in (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
-ODD_ASCII = ODD[:6]
+ODD = r"[\t-\r \x85\xa0\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+#: A chunk of Latin letters with up to eight marks behind it: the letters, with the space, are a word, the marks another.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+PLAIN = rf"\A ?[A-Za-z\x{{c0}}-\x{{d6}}\x{{d8}}-\x{{f6}}\x{{f8}}-\x{{24f}}]+[{regex.escape(MARKS)}]{{0,8}}\z"
 #: Codes of words in a packed text: places in the broadcast table, then added tokens, then the mark of an open word.
 ADDED, GAP = 0xFE0000, 0xFFFFFF
+#: Before they are packed, codes from here on are open words by number.
+OPEN = 0x1000000
 #: Characters of words that go among the many frequent ones, and among the few.
 SHORT, LONGEST = 64, 1024
 
@@ -55,36 +63,37 @@ SHORT, LONGEST = 64, 1024
 class Codec:
     """One vocabulary file: words, ids of a word, pieces of ids."""
 
-    def __init__(self, path: str, memo_size: int = 250_000, memo_chars: int = 64):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str):
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec["pre_tokenizer"]
         if spec["normalizer"] or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"]:
             raise ValueError("a byte-level vocabulary without normaliser or prefix space is needed")
+        self.cutter = ByteLevel(add_prefix_space=False, use_regex=True)
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.added_at = regex.compile("(" + "|".join(regex.escape(a) for a in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.size = max([*spec["model"]["vocab"].values(), *self.added.values()]) + 1
         if self.size > 0xFFFF:
             raise ValueError("vocabularies of up to 65,535 ids are packed in two bytes")
-        self.memo_size, self.memo_chars = memo_size, memo_chars
+
+    @cached_property
+    def tok(self):
+        """The library's tokenizer, for the workers that encode words: those that only cut texts do without."""
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(self.path)
+        tok.no_truncation()
+        tok.no_padding()
+        return tok
 
     def encode_word(self, word: str) -> bytes:
         return np.asarray(self.tok.encode(word, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
-    @staticmethod
-    def odd(text: str) -> bool:
-        return any(x in text for x in (ODD_ASCII if text.isascii() else ODD))
-
     def chunks(self, text: str) -> list[str]:
-        if self.odd(text):
-            return CHUNK.findall(text)
-        first, *rest = text.split(" ")
-        return [x for x in (first, *(" " + x for x in rest)) if x]
+        return CHUNK.findall(text)
 
     def parts(self, text: str) -> list[tuple[str, int]]:
         """(text, -1) or ("", id of an added token), as the library cuts a text before anything else."""
@@ -96,71 +105,158 @@ class Codec:
         """The words of a chunk. Beyond Latin, classes of characters differ by Unicode version: there the library cuts."""
         if chunk.isascii() or max(chunk) < "\u0370":
             return WORD.findall(chunk)
-        return [chunk[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(chunk)]
+        return [chunk[a:b] for _, (a, b) in self.cutter.pre_tokenize_str(chunk)]
 
     def words(self, text: str | None) -> list[str]:
         return [w for t, i in self.parts(text or "") if i < 0 for c in self.chunks(t) for w in self.cut(c)]
 
 
-class Splitter:
-    """Packs a text's words as codes and lists the words left open. Chunks that follow a space stay in a bounded memo."""
-
-    def __init__(self, codec: Codec, index: dict[str, bytes]):
-        self.codec, self.index = codec, index
-        self.memo: dict[str, bytes] = {}
-        self.open: dict[str, list[str]] = {}
-
-    def raw(self, chunk: str) -> tuple[bytes, list[str]]:
-        words = self.codec.cut(chunk)
-        packed = [self.index.get(w, OPEN) for w in words]
-        return b"".join(packed), [w for w, p in zip(words, packed) if p is OPEN]
-
-    def learn(self, chunk: str) -> bytes:
-        """The chunk with a space before it."""
-        self.memo[chunk], left = self.raw(" " + chunk)
-        if left:
-            self.open[chunk] = left
-        return self.memo[chunk]
-
-    def pack(self, text: str | None) -> tuple[bytes, list[str]]:
-        """Codes of the words, four bytes each, and the open words in their order."""
-        if len(self.memo) > self.codec.memo_size:
-            self.memo.clear()
-            self.open.clear()
-        out, left = [], []
-        for t, i in self.codec.parts(text or ""):
-            if i >= 0:
-                out.append(code(ADDED + i))
-            elif self.codec.odd(t):
-                for c in CHUNK.findall(t):
-                    p, w = self.raw(c)
-                    out.append(p)
-                    left += w
-            else:
-                first, *rest = t.split(" ")
-                p, w = self.raw(first)
-                left += w
-                got = list(map(self.memo.get, rest))
-                long = []
-                if None in got:
-                    for k, x in enumerate(got):
-                        if x is None:
-                            got[k] = self.learn(rest[k])
-                            if len(rest[k]) > self.codec.memo_chars:
-                                long.append(rest[k])
-                out += [p, *got]
-                left += [w for c in rest if c in self.open for w in self.open[c]]
-                for c in long:
-                    self.memo.pop(c, None)
-                    self.open.pop(c, None)
-        return b"".join(out), left
-
-
-def code(n: int) -> bytes:
-    return n.to_bytes(4, "little")
-
-
-OPEN = code(GAP)
+class Chunks:
+    """Texts as numbers of their distinct chunks.
+
+    ``distinct`` are the chunks, ``codes`` the codes of added tokens, which are numbered behind them; text ``k`` of
+    ``order`` (its place among the texts) has the numbers ``at[ends[k - 1] : ends[k]]``.
+    """
+
+    def __init__(self, codec: Codec, texts: pa.Array):
+        texts = pc.fill_null(texts, "")
+        slow = np.asarray(pc.match_substring_regex(texts, ODD))
+        for a in codec.added:
+            slow = slow | np.asarray(pc.match_substring(texts, a))
+        quick = texts if not slow.any() else texts.filter(pa.array(~slow))
+        self.order = np.concatenate([np.flatnonzero(~slow), np.flatnonzero(slow)])
+        # cut before each space: a text's first chunk stands as it is, the others have the space before them
+        cut = pc.split_pattern(quick, " ")
+        size, found = np.asarray(pc.list_value_length(cut)).astype(np.int64), cut.flatten().dictionary_encode()
+        at, first = np.asarray(found.indices), np.cumsum(size) - size
+        heads, head_of = np.unique(at[first], return_inverse=True)
+        some = [pc.binary_join_element_wise(pa.scalar(""), found.dictionary, " "), found.dictionary.take(pa.array(heads))]
+        at = at.astype(np.int32)
+        at[first] = len(found.dictionary) + head_of
+        # the rest are cut one by one
+        n, own, added, more, sizes = len(found.dictionary) + len(heads), {}, {}, [], []
+        for text in texts.filter(pa.array(slow)).to_pylist() if slow.any() else ():
+            before = len(more)
+            for t, i in codec.parts(text):
+                if i >= 0:
+                    more.append(-1 - added.setdefault(i, len(added)))
+                else:
+                    more += [own.setdefault(c, len(own)) for c in codec.chunks(t)]
+            sizes.append(len(more) - before)
+        tail = np.asarray(more, np.int32)
+        tail = np.where(tail < 0, n + len(own) - 1 - tail, n + tail).astype(np.int32)
+        self.distinct = pa.concat_arrays([*some, pa.array(own, pa.string())])
+        self.codes = np.asarray([ADDED + i for i in added], np.int32)
+        self.at = np.concatenate([at, tail])
+        self.ends = np.cumsum(np.concatenate([size, np.asarray(sizes, np.int64)]))
+
+
+class Cut:
+    """The words of ``chunks``, some chunks after the others: chunk ``of[k]`` has the ``size[k]`` words from ``start[k]`` on."""
+
+    def __init__(self, codec: Codec, chunks: pa.Array):
+        plain = np.asarray(pc.match_substring_regex(chunks, PLAIN))
+        easy, hard = chunks.filter(pa.array(plain)), chunks.filter(pa.array(~plain)).to_pylist()
+        stem = pc.utf8_rtrim(easy, MARKS)
+        marks = np.asarray(pc.subtract(pc.binary_length(easy), pc.binary_length(stem)))
+        by_size = [(k, np.flatnonzero(marks == k)) for k in np.unique(marks[marks > 0]).tolist()]
+        found = [codec.cut(c) for c in hard]
+        n, sizes = len(easy), np.fromiter(map(len, found), np.int64, len(found))
+        self.words = pa.concat_arrays([stem, pa.array([w for ws in found for w in ws], pa.string()), *(pc.utf8_slice_codeunits(easy.take(pa.array(at)), -k) for k, at in by_size)])
+        self.of = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        self.size = np.concatenate([1 + (marks > 0), sizes]).astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        #: for each word of the chunks its number among ``words``
+        self.at = np.zeros(int(self.size.sum()), np.int64)
+        self.at[self.start[:n]] = np.arange(n)
+        self.at[len(self.at) - int(sizes.sum()) :] = n + np.arange(int(sizes.sum()))
+        marked = np.concatenate([np.zeros(0, np.int64), *(at for _, at in by_size)])
+        self.at[self.start[marked] + 1] = n + int(sizes.sum()) + np.arange(len(marked))
+
+
+class Words:
+    """A table of distinct words that are looked up by a hash of their first bytes; a hit is compared whole, so a clash
+    of hashes only leaves a word open."""
+
+    WEIGHTS = np.random.default_rng(9).integers(1 << 62, 1 << 63, SHORT, np.uint64) | np.uint64(1)
+
+    def __init__(self, words: pa.Array):
+        self.words, own = words, self.hashes(words)
+        self.order = np.argsort(own).astype(np.int32)
+        self.sorted = own[self.order]
+
+    def hashes(self, words: pa.Array) -> np.ndarray:
+        _, offsets, data = words.buffers()
+        if data is None or not len(words):
+            return np.zeros(len(words), np.uint64)
+        at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        data, out = np.frombuffer(data, np.uint8), np.empty(len(words), np.uint64)
+        for k in range(0, len(words), 50_000):
+            start, size = at[:-1][k : k + 50_000], np.diff(at[k : k + 50_001])
+            own = np.minimum(size, SHORT)
+            ends = np.cumsum(own)
+            nth = np.arange(int(ends[-1])) - np.repeat(ends - own, own)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.WEIGHTS[nth] * (data[np.repeat(start, own) + nth].astype(np.uint64) + np.uint64(1)))])
+            out[k : k + 50_000] = (sums[ends] - sums[ends - own]) * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64)
+        return out
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """The place of each of the words in the table, or -1."""
+        if not len(self.words):
+            return np.full(len(words), -1, np.int64)
+        own = self.hashes(words)
+        line = np.argsort(own)
+        at = np.empty(len(own), np.int64)
+        at[line] = np.minimum(np.searchsorted(self.sorted, own[line]), len(self.sorted) - 1)
+        hit = np.flatnonzero(self.sorted[at] == own)
+        place = self.order[at[hit]]
+        same = np.asarray(pc.equal(self.words.take(pa.array(place)), words.take(pa.array(hit))))
+        out = np.full(len(words), -1, np.int64)
+        out[hit[same]] = place[same]
+        return out
+
+
+class Packer:
+    """Gives texts as codes of their words, many texts at a time. ``table`` holds the broadcast words."""
+
+    def __init__(self, codec: Codec, table: pa.Array):
+        self.codec, self.table = codec, Words(table)
+
+    def pack(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+        """(order, ends, codes, open words): text ``order[k]`` has the codes from ``ends[k - 1]`` to ``ends[k]``; those
+        from ``OPEN`` on are the numbers of open words."""
+        c = Chunks(self.codec, texts)
+        n = len(c.distinct)
+        whole = self.table.find(c.distinct)  # a chunk that is a word of the table is that word alone
+        rest = np.flatnonzero(whole < 0)
+        cut = Cut(self.codec, c.distinct.take(pa.array(rest)))
+        words = cut.words.dictionary_encode()
+        known = self.table.find(words.dictionary)
+        left = np.flatnonzero(known < 0)
+        known[left] = OPEN + np.arange(len(left))
+        size = np.ones(n + len(c.codes), np.int64)
+        start = np.arange(n + len(c.codes))
+        size[rest[cut.of]], start[rest[cut.of]] = cut.size, len(start) + cut.start
+        flat = np.concatenate([whole, c.codes, known[np.asarray(words.indices)[cut.at]]]).astype(np.int32)
+        codes, ends = runs(flat, start, size, c.at)
+        return c.order, ends[c.ends - 1] if len(ends) else np.zeros(len(c.ends), np.int64), codes, words.dictionary.take(pa.array(left))
+
+
+def runs(flat: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` that the numbers ``at`` name, one after the other, and where each ends."""
+    own = size[at]
+    ends = np.cumsum(own)
+    return flat[np.repeat(start[at] - (ends - own), own) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
+
+
+def some_of(batch: pa.RecordBatch, column: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of about ``most`` bytes of a text column, of one row at least."""
+    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64))
+    k = 0
+    while k < len(size):
+        end = max(k + 1, int(np.searchsorted(size, (size[k - 1] if k else 0) + most, "right")))
+        yield batch.slice(k, end - k)
+        k = end
 
 
 @lru_cache(maxsize=2)
@@ -169,30 +265,22 @@ def codec(path: str) -> Codec:
 
 
 class Hot:
-    """The broadcast part of the table of distinct words: a word's code, and the ids of a code, laid out flat."""
+    """The broadcast part of the table of distinct words: the words, and the ids of a code, laid out flat."""
 
     def __init__(self, blob: bytes):
         table = pa.ipc.open_stream(pa.py_buffer(blob)).read_all().combine_chunks()
-        ids = table["ids"].chunk(0) if len(table) else pa.array([], pa.binary())
-        self.words = table["word"]
+        word, ids = (table[n].chunk(0) if len(table) else pa.array([], t) for n, t in (("word", pa.string()), ("ids", pa.binary())))
+        self.words = word.cast(pa.string())
         size = np.asarray(pc.binary_length(ids).cast(pa.int64())) // 2
         self.start = np.concatenate([[0], np.cumsum(size)])
-        self.ids = np.frombuffer(b"".join(ids.to_pylist()), dtype="<u2")
-
-    def index(self) -> dict[str, bytes]:
-        return {w: code(k) for k, w in enumerate(self.words.to_pylist())}
+        self.ids = np.frombuffer(pc.binary_join(pa.array([ids.cast(pa.binary())], pa.list_(pa.binary())), b"")[0].as_py() if len(ids) else b"", dtype="<u2")
 
 
 @lru_cache(maxsize=1)
-def hot_ids(blob: bytes) -> Hot:
+def hot(blob: bytes) -> Hot:
     return Hot(blob)
 
 
-@lru_cache(maxsize=1)
-def hot_index(blob: bytes) -> dict[str, bytes]:
-    return Hot(blob).index()
-
-
 def encoded_words(words: DataFrame, path: str) -> DataFrame:
     """``words`` (word, ...) with ``ids``: each row's word is encoded once."""
 
@@ -215,33 +303,16 @@ def hot_table(base: DataFrame, path: str, hot_words: int, sample_rows: int) -> b
     few = base.where(F.pmod(F.xxhash64("f", "r"), F.lit(1 << 20)) < share).select("t")
 
     def tally(batches):
-        c, seen, chunks, size = codec(path), Counter(), Counter(), 0
-
-        def rows():
-            out = pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-            seen.clear()
-            return out
-
+        c = codec(path)
         for b in batches:
-            for t in b.column(0).to_pylist():
-                for x, i in c.parts(t or ""):
-                    if i < 0:
-                        chunks.update(c.chunks(x))
-                        size += len(x)
-                if size > 8_000_000:
-                    size = 0
-                    for ch, k in chunks.items():
-                        for w in c.cut(ch):
-                            if len(w) <= LONGEST:
-                                seen[w] += k
-                    chunks.clear()
-                    if len(seen) > 500_000:
-                        yield rows()
-        for ch, k in chunks.items():
-            for w in c.cut(ch):
-                if len(w) <= LONGEST:
-                    seen[w] += k
-        yield rows()
+            for part in some_of(b, 0):
+                chunks = Chunks(c, part.column(0))
+                n = np.bincount(chunks.at, minlength=len(chunks.distinct))[: len(chunks.distinct)]
+                cut = Cut(c, chunks.distinct)
+                words = cut.words.dictionary_encode()
+                times = np.bincount(np.asarray(words.indices)[cut.at], np.repeat(n[cut.of], cut.size), len(words.dictionary)).astype(np.int64)
+                out = pa.RecordBatch.from_arrays([words.dictionary, pa.array(times)], ["word", "n"])
+                yield out.filter(pc.and_(pc.less_equal(pc.utf8_length(out.column(0)), LONGEST), pc.greater(out.column(1), 0)))
 
     seen = materialise(few.mapInArrow(tidy(tally), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "sample-words")
     length = F.char_length("word")
@@ -257,6 +328,21 @@ def hot_table(base: DataFrame, path: str, hot_words: int, sample_rows: int) -> b
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot_words: int = 400_000, sample_rows: int = 40_000) -> DataFrame:
     """A row for each row of ``docs``: ``key`` and ``ids`` (binary, two bytes an id, little end first)."""
+
+    def made(ids, ends):
+        data = ids.astype("<u2").tobytes()
+        return [pa.array([data[2 * a : 2 * b] for a, b in zip([0, *ends], ends)], pa.binary())]
+
+    return _encoded(docs, path, key, text, hot_words, sample_rows, {"ids": "binary"}, made)
+
+
+def encoded_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot_words: int = 400_000, sample_rows: int = 40_000) -> DataFrame:
+    """``digests(encode(...))`` where the ids are made, so they go through no second worker."""
+    return _encoded(docs, path, key, text, hot_words, sample_rows, DIGESTS, lambda ids, ends: digested(ids, ends, path))
+
+
+def _encoded(docs: DataFrame, path: str, key: str, text: str, hot_words: int, sample_rows: int, fields: dict[str, str], made) -> DataFrame:
+    """``key`` and the columns ``fields`` that ``made`` gives of the ids of some texts and of where each text's end."""
     base = placed(docs, key, text)
     kind = docs.schema[key].dataType
     sent = docs.sparkSession.sparkContext.broadcast(hot_table(base, path, hot_words, sample_rows))
@@ -264,18 +350,25 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     def opened(batches):
         """(w, f, r, at, more): the open words of each row once, with the places where they stand among the open ones."""
-        s = Splitter(codec(path), hot_index(sent.value))
+        p = Packer(codec(path), hot(sent.value).words)
         for b in batches:
-            for k in range(0, b.num_rows, 256):
-                w, f, r, at, more = [], [], [], [], []
-                for x, y, t in zip(*(c.to_pylist() for c in b.slice(k, 256).columns)):
-                    places: dict[str, list[int]] = {}
-                    for i, word in enumerate(s.pack(t)[1]):
-                        places.setdefault(word, []).append(i)
-                    for word, (first, *rest) in places.items():
-                        w.append(word), f.append(x), r.append(y), at.append(first), more.append(np.asarray(rest, "<i4").tobytes() if rest else None)
-                if w:
-                    yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(f, pa.int64()), pa.array(r, pa.int64()), pa.array(at, pa.int32()), pa.array(more, pa.binary())], ["w", "f", "r", "at", "more"])
+            for part in some_of(b, 2):
+                order, ends, codes, words = p.pack(part.column(2))
+                place = np.flatnonzero(codes >= OPEN)
+                if not len(place):
+                    continue
+                of = np.searchsorted(ends, place, "right")
+                nth = np.arange(len(place)) - np.searchsorted(of, of)  # among the open words of the text
+                pair = of * len(words) + (codes[place] - OPEN)
+                line = np.argsort(pair, kind="stable")
+                pair, nth = pair[line], nth[line].astype("<i4")
+                head = np.flatnonzero(np.diff(pair, prepend=-1))
+                end = np.append(head[1:], len(pair))
+                more = [None] * len(head)
+                for k in np.flatnonzero(end - head > 1).tolist():
+                    more[k] = nth[head[k] + 1 : end[k]].tobytes()
+                rows = pa.array(order[pair[head] // len(words)])
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(pair[head] % len(words))), part.column(0).take(rows), part.column(1).take(rows), pa.array(nth[head], pa.int32()), pa.array(more, pa.binary())], ["w", "f", "r", "at", "more"])
 
     def merged(batches):
         c, last, ids = codec(path), None, b""
@@ -288,20 +381,21 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(got, pa.binary())], ["f", "r", "at", "more", "ids"])
 
     def packed(batches):
-        s, z = Splitter(codec(path), hot_index(sent.value)), zstandard.ZstdCompressor(level=1)
+        p, z = Packer(codec(path), hot(sent.value).words), zstandard.ZstdCompressor(level=1)
         for b in batches:
-            for k in range(0, b.num_rows, 256):
-                part = b.slice(k, 256)
-                n = part.num_rows
-                got = [z.compress(planes(s.pack(t)[0])) for t in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([-1] * n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(got, pa.binary()), part.column(3)], row.names)
+            for part in some_of(b, 2):
+                order, ends, codes, _ = p.pack(part.column(2))
+                lanes = planes(np.minimum(codes, GAP))
+                got = [z.compress(b"".join(x[i:j].tobytes() for x in lanes)) for i, j in zip([0, *ends], ends)]
+                n, rows = len(got), pa.array(order)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array([-1] * n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(got, pa.binary()), part.column(3).take(rows)], row.names)
 
     def filled(batches):
-        hot, z = hot_ids(sent.value), zstandard.ZstdDecompressor()
-        now, head, fills, done, size = None, None, [], [], 0
+        table, z = hot(sent.value), zstandard.ZstdDecompressor()
+        now, head, fills, done, size, key_type = None, None, [], [], 0, None
 
         def close():
-            codes = np.frombuffer(unplaned(z.decompress(head[0])), dtype="<u4")
+            codes = unplaned(z.decompress(head[0]))
             gaps = [b""] * int((codes == GAP).sum())
             for at, more, ids in fills:
                 gaps[at] = ids
@@ -312,10 +406,10 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             return head[1], codes, gaps
 
         def batch():
-            ids = [looked_up(codes, gaps, hot) for _, codes, gaps in done]
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in done], key_type), pa.array(ids, pa.binary())], [key, "ids"])
+            """Of the texts that are done, the ids and what is made of them."""
+            ids, ends = looked_up(np.concatenate([c for _, c, _ in done]), [g for _, _, gaps in done for g in gaps], table, np.cumsum([len(c) for _, c, _ in done]))
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in done], key_type), *made(ids, ends.tolist())], [key, *fields])
 
-        key_type = None
         for b in batches:
             key_type = b.schema.field("k").type
             for f, r, at, more, ids, k in zip(*(c.to_pylist() for c in b.columns)):
@@ -323,7 +417,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                     if now is not None:
                         done.append(close())
                         size += len(done[-1][1])
-                        if size > 2_000_000 or len(done) >= 5_000:
+                        if size > 300_000 or len(done) >= 5_000:
                             yield batch()
                             done, size = [], 0
                     now, fills = (f, r), []
@@ -336,50 +430,52 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             yield batch()
 
     salt = F.when(F.length("w") > SHORT, F.pmod("r", F.lit(64))).otherwise(0)  # long words that many rows hold
-    open_words = base.select("f", "r", "t").mapInArrow(tidy(opened, hot_index), "w string, f long, r long, at int, more binary")
+    open_words = base.select("f", "r", "t").mapInArrow(tidy(opened, hot), "w string, f long, r long, at int, more binary")
     rare = open_words.repartition(F.col("w"), salt).sortWithinPartitions("w").mapInArrow(tidy(merged), "f long, r long, at int, more binary, ids binary")
-    whole = base.select("f", "r", "t", "k").mapInArrow(tidy(packed, hot_index), row)
+    whole = base.select("f", "r", "t", "k").mapInArrow(tidy(packed, hot), row)
     both = whole.unionByName(rare.withColumn("k", F.lit(None).cast(kind)))
-    out = T.StructType([T.StructField(key, kind), T.StructField("ids", T.BinaryType())])
-    return both.repartition("f", "r").sortWithinPartitions("f", "r", "at").mapInArrow(tidy(filled, hot_ids), out)
+    out = T.StructType([T.StructField(key, kind), *T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in fields.items()))])
+    return both.repartition("f", "r").sortWithinPartitions("f", "r", "at").mapInArrow(tidy(filled, hot), out)
 
 
-def planes(codes: bytes) -> bytes:
-    """All lowest bytes of the codes, then all next ones, ...: alike bytes side by side."""
-    return np.ascontiguousarray(np.frombuffer(codes, np.uint8).reshape(-1, 4)[:, :3].T).tobytes()
+def planes(codes: np.ndarray) -> np.ndarray:
+    """The lowest bytes of the codes, the next ones, the highest: of a text, alike bytes go side by side."""
+    return np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T)
 
 
-def unplaned(data: bytes) -> bytes:
+def unplaned(data: bytes) -> np.ndarray:
     out = np.zeros((len(data) // 3, 4), np.uint8)
     out[:, :3] = np.frombuffer(data, np.uint8).reshape(3, -1).T
-    return out.tobytes()
+    return out.reshape(-1).view("<u4")
 
 
-def looked_up(codes: np.ndarray, gaps: list[bytes], hot: Hot, step: int = 500_000) -> bytes:
-    """The ids of a text's codes: joined to the broadcast words by code, to added tokens, and to the words that came back."""
-    out, used = [], 0
+def looked_up(codes: np.ndarray, gaps: list[bytes], table: Hot, text_ends: np.ndarray, step: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of codes, and where each text's end: joined to the broadcast words by code, to added tokens, and to the
+    words that came back."""
+    out, sizes, used = [], [np.zeros(1, np.int64)], 0
     for k in range(0, len(codes), step):
         c = codes[k : k + step].astype(np.int64)
         is_open, is_added = c == GAP, (c >= ADDED) & (c != GAP)
         known = np.where(is_open | is_added, 0, c)
-        start = hot.start[known] if len(hot.start) > 1 else np.zeros(len(c), np.int64)
-        size = hot.start[known + 1] - start if len(hot.start) > 1 else np.zeros(len(c), np.int64)
+        start = table.start[known] if len(table.start) > 1 else np.zeros(len(c), np.int64)
+        size = table.start[known + 1] - start if len(table.start) > 1 else np.zeros(len(c), np.int64)
         mine = gaps[used : used + int(is_open.sum())]
         used += len(mine)
-        extra = [hot.ids]
+        extra, n = [table.ids], len(table.ids)
         if mine:
-            own = np.asarray([len(g) // 2 for g in mine])
+            own = np.fromiter(map(len, mine), np.int64, len(mine)) // 2
             size[is_open] = own
-            start[is_open] = len(hot.ids) + np.cumsum(own) - own
+            start[is_open] = n + np.cumsum(own) - own
             extra.append(np.frombuffer(b"".join(mine), "<u2"))
+            n += len(extra[-1])
         if is_added.any():
             size[is_added] = 1
-            start[is_added] = sum(map(len, extra)) + np.arange(int(is_added.sum()))
+            start[is_added] = n + np.arange(int(is_added.sum()))
             extra.append((c[is_added] - ADDED).astype("<u2"))
         flat = np.concatenate(extra) if len(extra) > 1 else extra[0]
-        end = np.cumsum(size)
-        out.append(flat[np.repeat(start - (end - size), size) + np.arange(int(size.sum()))].tobytes())
-    return b"".join(out)
+        out.append(runs(flat, start, size, np.arange(len(c)))[0])
+        sizes.append(size)
+    return np.concatenate([np.zeros(0, "<u2"), *out]), np.cumsum(np.concatenate(sizes))[text_ends]
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -410,28 +506,60 @@ def pieces(path: str) -> pa.Array:
     return pa.array(out, pa.large_binary())
 
 
-def joined(packed: bytes, table: pa.Array) -> bytes:
-    """The pieces of the ids, in their order: ids joined to the table by its row numbers."""
-    got = table.take(pa.array(np.frombuffer(packed, dtype="<u2")))
+@lru_cache(maxsize=2)
+def numerals(path: str) -> pa.Array:
+    """Each id as decimal figures and a comma, at the row of its number."""
+    return pa.array([b"%d," % i for i in range(len(pieces(path)))], pa.large_binary())
+
+
+def laid_out(ids: np.ndarray, table: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """The rows of the table that ids name, in their order: ids joined by row number. Their bytes, and where each begins."""
+    got = table.take(pa.array(ids))
     _, offsets, data = got.buffers()
-    ends = np.frombuffer(offsets, np.int64)[got.offset : got.offset + len(got) + 1]
-    return data.to_pybytes()[ends[0] : ends[-1]] if len(got) and data is not None else b""
+    at = np.frombuffer(offsets, np.int64)[got.offset : got.offset + len(got) + 1] if len(got) else np.zeros(1, np.int64)
+    return memoryview(data if data is not None else b""), at
+
+
+def joined(packed: bytes, table: pa.Array) -> bytes:
+    """The pieces of the ids, in their order."""
+    data, at = laid_out(np.frombuffer(packed, dtype="<u2"), table)
+    return bytes(data[at[0] : at[-1]])
+
+
+#: What ``digested`` makes of the ids of a text.
+DIGESTS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def digested(ids: np.ndarray, ends: list[int], path: str, step: int = 500_000) -> list[pa.Array]:
+    """Number of ids, and digests of the ids and of the text that they decode to, of each text."""
+    decoded, figures, starts = pieces(path), numerals(path), [0, *ends][:-1]
+    if len(ids) <= step:
+        (text, t), (number, d) = laid_out(ids, decoded), laid_out(ids, figures)
+        a = [hashlib.sha256(number[d[i] : max(d[j] - 1, d[i])]).hexdigest() for i, j in zip(starts, ends)]
+        b = [hashlib.sha256(str(text[t[i] : t[j]], "utf-8", "replace").encode()).hexdigest() for i, j in zip(starts, ends)]
+    else:
+        a, b = [], []
+        for i, j in zip(starts, ends):
+            of_ids, of_text, reader = hashlib.sha256(), hashlib.sha256(), codecs.getincrementaldecoder("utf-8")("replace")
+            for k in range(i, j, step):
+                e = min(k + step, j)
+                (text, t), (number, d) = laid_out(ids[k:e], decoded), laid_out(ids[k:e], figures)
+                of_ids.update(number[: d[-1] - (e == j)])
+                of_text.update(reader.decode(text[: t[-1]], e == j).encode())
+            a.append(of_ids.hexdigest()), b.append(of_text.hexdigest())
+    return [pa.array([j - i for i, j in zip(starts, ends)], pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
 
 
 def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """Number of ids, and digests of the ids and of the text that they decode to."""
 
     def rows(batches):
-        table = pieces(path)
-        names = list(map(str, range(len(table))))
         for b in batches:
-            n, a, d = [], [], []
-            for p in b.column(1).to_pylist():
-                ids = np.frombuffer(p, dtype="<u2").tolist()
-                n.append(len(ids))
-                a.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                d.append(hashlib.sha256(joined(p, table).decode("utf-8", "replace").encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(d)], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                packed = part.column(1).to_pylist()
+                made = digested(np.frombuffer(b"".join(packed), "<u2"), np.cumsum([len(p) // 2 for p in packed]).tolist(), path)
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], [key, *DIGESTS])
 
     kind = encoded.schema[key].dataType.simpleString()
-    return encoded.select(f"`{key}`", "ids").mapInArrow(tidy(rows), f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encoded.select(f"`{key}`", "ids").mapInArrow(tidy(rows), f"`{key}` {kind}, " + ", ".join(f"{n} {t}" for n, t in DIGESTS.items()))
