@@ -132,6 +132,19 @@ def test_bpe_workers_hold_no_dictionary_of_words():
     assert "tok" not in vars(c)
 
 
+def test_op9_cuts_plain_chunks_as_arrays(spark):
+    """Rare chunks of Latin letters and marks are not cut one by one; ids do not go to a second worker for their digests."""
+    import pyarrow as pa
+
+    cut, c = [], bpe.Codec(BPE)
+    c.cut = lambda chunk: cut.append(chunk) or bpe.Codec.cut(c, chunk)
+    texts = [f"Qz{'abcdefghij'[i % 10] * (i + 1)}, \u00e9t\u00e9{'x' * i}! it's" for i in range(50)]
+    assert len(bpe.Packer(c, pa.array([",", "!"])).pack(pa.array(texts))[2]) == 6 * len(texts)
+    assert set(cut) <= {" it's"}
+    plan = queries.queries()["op9_bpe"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 4
+
+
 def shingles(text, k=5):
     w = (text or "").encode().lower().split()
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)]) if w else frozenset()

@@ -70,7 +70,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return bpe.encoded_digests(table(spark, sf_dir, "documents"), path)
 
 
 def queries() -> dict:
