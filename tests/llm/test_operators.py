@@ -694,3 +694,13 @@ def test_pipeline_odd_rows(spark):
             assert Counter(r.decoded_sha256 for r in got) == Counter(hashlib.sha256((r[1] or "").encode()).hexdigest() for r in rows)
         if name != "bpe":
             assert out.columns == corpus_pipeline.COLUMNS
+
+
+def test_lattice_scores_held_out_rows_near_the_base(spark, tmp_path):
+    """On rows that did not train the score stays near the base's, which gives every unseen word a tenth of a count; all are finite."""
+    rows = [r for r in queries.op6_lattice(spark, SF).collect() if r.held_out]
+    n = sum(r.n_tokens for r in rows)
+    assert rows and all(math.isfinite(r[c]) for r in rows for c in ("base_score", "score", "vocabulary_score", "adapted_score"))
+    assert sum(r.score for r in rows) / n > sum(r.base_score for r in rows) / n - 1
+    one = spark.createDataFrame([(1, "all once here", "en"), (2, "", None)], "doc_id bigint, text string, lang string")  # no word twice
+    assert all(math.isfinite(r.score) and r.score < 0 for r in lattice.likelihood(one, PIECES, F.col("doc_id") == 1).collect())

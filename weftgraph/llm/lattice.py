@@ -11,22 +11,28 @@ within a class a piece weighs exp(slope * score) if the file's scores are log pr
 if they are the ranks of merges. Training texts set no weight of a single piece: they set the share, slope and shift of
 each class, the share of bytes, the chance of going on, and e, all from expected counts over the lattices of every
 distinct training word, each as often as it occurs (one step of expectation-maximisation from equal shares and slope 1).
-Beside it, ``adapted_score`` takes the expected counts of the pieces themselves as weights, the vocabulary's as prior,
-and ``counted_score`` the discounted numbers of whole words, what is left over being dealt by the adapted lattice.
+That model alone is ``vocabulary_score``; ``adapted_score`` takes the expected counts of the pieces themselves as
+weights, the vocabulary's as prior.
+
+``score`` is that of the lattice to which training adds every one of its words as one more edge, from the word's begin
+to its end: the edge weighs the word's discounted number, and what the discounts leave is dealt over the paths of the
+adapted lattice, so unseen words are spelt by pieces. Training texts fall into groups by ``group`` (eight at most, and
+the rest), each with edges of its own over those of all texts; a text's probability is the sum over the groups, each
+weighing its share of the training texts, so the group of a scored text is never read. ``counted_score`` is its older name.
 
 Words are counted over all documents. The most frequent ones (``hot_words``, a parameter) are broadcast with their
 scores; every other word of a text meets its score through a shuffle on the word. The route never changes a result.
 
 Defined results: null text counts as the empty text (one end token); a null id is not held out; repeated rows keep
 their rows, whatever their ids; without training rows the classes keep equal shares and e is one half; an empty table
-gives an empty table; of the columns, the key and those made here are returned.
+gives an empty table; null groups are one group; of the columns, the key and those made here are returned.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import repeat
 
 import numpy as np
@@ -247,36 +253,40 @@ def text_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def word_table(base: DataFrame, flush: int = 250_000) -> DataFrame:
-    """(word, c): every distinct word of all documents and its number in training texts.
+def word_table(base: DataFrame, groups: int = 1, flush: int = 250_000) -> DataFrame:
+    """(word, c, g0, g1, ...): every distinct word of all documents and its number in training texts, and in those of
+    each of ``groups`` groups.
 
-    ``base`` has the text ``t`` and whether it trains, ``own``; the empty word is the end of a text.
+    ``base`` has the text ``t``, whether it trains, ``own``, and its group ``g``; the empty word is the end of a text.
     """
 
     def tally(batches):
-        seen, other = Counter(), set()
+        seen, other = [Counter() for _ in range(groups)], set()
 
         def rows():
-            words = [*seen, *other]
-            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([*seen.values(), *[0] * len(other)], pa.int64())], ["word", "c"])
-            seen.clear()
-            other.clear()
+            words = [*(w for x in seen for w in x), *other]
+            c = [*(c for x in seen for c in x.values()), *[0] * len(other)]
+            g = [*(k for k, x in enumerate(seen) for _ in range(len(x))), *[0] * len(other)]
+            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(g, pa.int32()), pa.array(c, pa.int64())], ["word", "g", "c"])
+            for x in (*seen, other):
+                x.clear()
             return out
 
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
-                for t, own in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for t, own, g in zip(*(x.to_pylist() for x in part.columns)):
                     if own:
-                        seen.update(text_words(t))
-                        seen[END] += 1
+                        seen[g].update(text_words(t))
+                        seen[g][END] += 1
                     else:
                         other.update(text_words(t))
-                if len(seen) + len(other) > flush:
+                if sum(map(len, seen)) + len(other) > flush:
                     yield rows()
         yield rows()
 
-    return base.select("t", "own").mapInArrow(tidy(tally), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    rows = base.select("t", "own", "g").mapInArrow(tidy(tally), "word binary, g int, c long")
+    return rows.groupBy("word").agg(F.sum("c").alias("c"), *(F.sum(F.when(F.col("g") == k, F.col("c")).otherwise(0)).alias(f"g{k}") for k in range(groups)))
 
 
 def expected(counts: DataFrame, model_path: str, chunk: int = 20_000, fan_in: int = 32) -> Counts:
@@ -288,7 +298,7 @@ def expected(counts: DataFrame, model_path: str, chunk: int = 20_000, fan_in: in
         w, into = Weights.untrained(v), Counts.none(v)
         for b in batches:
             for k in range(0, b.num_rows, chunk):
-                got = [(x.decode("utf-8", "replace"), c) for x, c in zip(*(y.to_pylist() for y in b.slice(k, chunk).columns)) if x and c]
+                got = [(x.decode("utf-8", "replace"), c) for x, c in zip(*(y.to_pylist() for y in b.slice(k, chunk).columns[:2])) if x and c]
                 often = np.asarray([c for _, c in got], dtype=np.float64)
                 for at, x in lattices([x for x, _ in got], v):
                     x.expect(w, often[at], into)
@@ -310,26 +320,44 @@ def expected(counts: DataFrame, model_path: str, chunk: int = 20_000, fan_in: in
     return out
 
 
-SCORES = ("score", "adapted_score", "counted_score")
+SCORES = ("vocabulary_score", "adapted_score", "counted_score")
+#: Groups of training texts beside the rest; a bound of the model, as each is a column of every word.
+GROUPS = 8
+
+
+def discount(once: int, twice: int) -> float:
+    """What is taken off the number of every word for the unseen ones; below one, so that no seen word loses its edge."""
+    return min(0.9, once / (once + 2 * twice)) if once else 0.5
 
 
-def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", hot_words: int = 300_000) -> DataFrame:
-    """(key, n_tokens, n_known, train_tokens, base_score, score, adapted_score, counted_score), a row for each row of ``docs``, in log10."""
+def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_id", text: str = "text", group: str = "lang", hot_words: int = 300_000) -> DataFrame:
+    """(key, n_tokens, n_known, train_tokens, base_score, score, vocabulary_score, adapted_score, counted_score), a row for
+    each row of ``docs``, in log10. Without a column ``group`` all training texts are one group."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType
-    base = placed(docs, key, text, own=F.coalesce(train, F.lit(False)))
-    counts = materialise(word_table(base), "words")
+    own = F.coalesce(train, F.lit(False))
+    of = F.coalesce(F.col(group).cast("string"), F.lit("")) if group in docs.columns else F.lit("")
+    named = [r.g for r in docs.where(own).groupBy(of.alias("g")).count().orderBy(F.desc("count"), "g").limit(GROUPS).collect()]
+    base = placed(docs, key, text, own=own, g=F.coalesce(*(F.when(of == x, k) for k, x in enumerate(named)), F.lit(len(named))))
+    parts = len(named) + 1
+    counts = materialise(word_table(base, parts), "words")
     is_end = F.col("word") == F.lit(END)
-    n, distinct, texts, once, twice = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.max(F.when(is_end, F.col("c"))), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    less = once / (once + 2 * twice) if once else 0.5
-    ends = (texts or 0) / n if n else 0.5
+    facts = lambda c: (F.coalesce(F.sum(c), F.lit(0)), F.count_if(F.col(c) > 0), F.coalesce(F.max(F.when(is_end, F.col(c))), F.lit(0)), F.count_if(F.col(c) == 1), F.count_if(F.col(c) == 2))
+    of_all = ("c", *(f"g{k}" for k in range(parts)))
+    found = counts.agg(*(x.alias(f"{c}_{i}") for c in of_all for i, x in enumerate(facts(c)))).first()
+    facts_of = {c: tuple(found[5 * i : 5 * i + 5]) for i, c in enumerate(of_all)}
+    n, distinct, texts, once, twice = facts_of["c"]
+    used = [c for c in of_all[1:] if facts_of[c][2]]
+    less = discount(once, twice)
+    ends = texts / n if n else 0.5
     sent = spark.sparkContext.broadcast(fitted(vocabulary(model_path), expected(counts, model_path)))
+    sums_of = (*SCORES[:2], *(used or ["g0"]))
 
     def weigh(batches):
         v = vocabulary(model_path)
         for b in batches:
             words = b.column(0).to_pylist()
-            out = np.full((len(words), len(SCORES)), np.log(max(ends, 1e-12)))
+            out = np.full((len(words), len(sums_of)), np.log(max(ends, 1e-12)))
             real = [k for k, x in enumerate(words) if x]
             for at, x in lattices([words[k].decode("utf-8", "replace") for k in real], v):
                 for k, w in enumerate(sent.value):
@@ -338,21 +366,25 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
             if n:
                 with np.errstate(divide="ignore"):
                     spelt = np.where([bool(x) for x in words], out[:, 1] + np.log(less * distinct / n), -np.inf)
-                    out[:, 2] = np.logaddexp(np.log(np.maximum(c - less, 0) / n), spelt)
+                    whole = np.logaddexp(np.log(np.maximum(c - less, 0) / n), spelt)
+                    for k, name in enumerate(used, 2):
+                        m, kinds, _, one, two = facts_of[name]
+                        off = discount(one, two)
+                        out[:, k] = np.logaddexp(np.log(np.maximum(b.column(name).to_numpy() - off, 0) / m), whole + np.log(off * kinds / m))
             else:
                 out[:, 2] = out[:, 1]
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x) for x in (out / np.log(10)).T.copy())], ["word", "c", *SCORES])
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *(pa.array(x) for x in (out / np.log(10)).T.copy())], ["word", "c", *sums_of])
 
-    columns = ", ".join(f"{x} double" for x in SCORES)
+    columns = ", ".join(f"{x} double" for x in sums_of)
     scored = materialise(counts.mapInArrow(tidy(weigh), f"word binary, c long, {columns}"), "word-scores")
     top = frequent(scored, "word", "c", hot_words).toArrow()  # about hot_words rows
     base_of = lambda c: np.log10((c + 0.1) / (n + 0.1 * (distinct + 1)))
     c = top["c"].to_numpy().astype(np.float64)
-    table = np.column_stack([base_of(c), c > 0, *(top[x].to_numpy() for x in SCORES)])
+    table = np.column_stack([base_of(c), c > 0, *(top[x].to_numpy() for x in sums_of)])
     hot = spark.sparkContext.broadcast((pa.array(top["word"].to_pylist(), pa.binary()), table))
     del top, c
-    sums = ("base_score", "n_known", *SCORES)
-    end = np.asarray([float(base_of(0.0)), 0.0, *[np.log10(max(ends, 1e-12))] * len(SCORES)])  # where no text trains
+    sums = ("base_score", "n_known", *sums_of)
+    end = np.asarray([float(base_of(0.0)), 0.0, *[np.log10(max(ends, 1e-12))] * len(sums_of)])  # where no text trains
 
     def known(batches):
         index, table = hot_index(hot)
@@ -383,11 +415,15 @@ def likelihood(docs: DataFrame, model_path: str, train: Column, key: str = "doc_
     rare = base.select("f", "r", "t").mapInArrow(tidy(others), "f long, r long, word binary, tf int").join(scored, "word")
     of_base = F.log10((F.col("c") + F.lit(0.1)) / (F.lit(float(n)) + F.lit(0.1) * F.lit(distinct + 1)))
     seen = F.when(F.col("c") > 0, F.col("tf")).otherwise(0).cast("double")
-    rare = rare.select("f", "r", F.lit(None).cast(kind).alias("k"), F.lit(None).cast("long").alias("n_tokens"), (of_base * F.col("tf")).alias("base_score"), seen.alias("n_known"), *((F.col(x) * F.col("tf")).alias(x) for x in SCORES))
+    rare = rare.select("f", "r", F.lit(None).cast(kind).alias("k"), F.lit(None).cast("long").alias("n_tokens"), (of_base * F.col("tf")).alias("base_score"), seen.alias("n_known"), *((F.col(x) * F.col("tf")).alias(x) for x in sums_of))
     fields = T.StructType([T.StructField("f", T.LongType()), T.StructField("r", T.LongType()), T.StructField("k", kind), T.StructField("n_tokens", T.LongType()), *(T.StructField(x, T.DoubleType()) for x in sums)])
     whole = base.select("f", "r", "k", "t").mapInArrow(tidy(known), fields)
     out = whole.unionByName(rare).groupBy("f", "r").agg(F.max("k").alias(key), F.max("n_tokens").alias("n_tokens"), *(F.sum(x).alias(x) for x in sums))
-    return out.select(key, "n_tokens", F.round("n_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), "base_score", *SCORES)
+    # the groups' probabilities, each by its share of the training texts
+    each = [F.col(c) + F.lit(float(np.log10(facts_of[c][2] / texts))) for c in used] or [F.col("g0")]
+    top_of = F.array_max(F.array(*each))
+    score = top_of + F.log10(reduce(lambda x, y: x + y, (F.pow(F.lit(10.0), x - top_of) for x in each)))
+    return out.select(key, "n_tokens", F.round("n_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), "base_score", score.alias("score"), *SCORES[:2], score.alias(SCORES[2]))
 
 
 def hot_index(sent) -> tuple[dict[bytes, int], np.ndarray]:

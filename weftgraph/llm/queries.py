@@ -48,7 +48,7 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.held_out(F.col("doc_id"), 10)
     rows = lattice.likelihood(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ~out)
-    return rows.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "adapted_score", "counted_score")
+    return rows.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "vocabulary_score", "adapted_score", "counted_score")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
