@@ -252,17 +252,22 @@ def clue_packages(clues: DataFrame, num: int, seed: str = "package") -> DataFram
 def shortest(edges: DataFrame, pairs: DataFrame, longest: int = 3) -> DataFrame:
     """(source, target, n, path): the shortest path of each pair of up to ``longest`` hops, of several the first by names.
 
-    One state per pair and node. A walk of as many hops finds no answer that this does not, so none is tried after it.
+    Paths grow backwards from the targets. A state is a target and a node that reaches it, with the node's best path:
+    whatever leads to the node goes on along that path, so states grow neither with the sources nor with the hubs
+    between. The last hop is taken by sources only. A walk of as many hops finds no answer that this does not, so none
+    is tried after it.
     """
-    one = edges.select("src", "dst").distinct()
-    here = pairs.select("source", "target").distinct().select("source", "target", F.col("source").alias("node"), F.array("source").alias("path"))
-    found = here.where("node = target").select("source", "target", F.lit(0).alias("n"), "path")
+    one = materialise(edges.select(F.col("src").alias("from"), F.col("dst").alias("node")).distinct(), "edges")  # read for every hop
+    pairs = materialise(pairs.select("source", "target").distinct(), "pairs")
+    found = front = pairs.select(F.col("target").alias("node"), "target", F.lit(0).alias("n"), F.array("target").alias("path")).distinct()
     for k in range(1, longest + 1):
-        here = here.where("node != target").join(one, F.col("node") == F.col("src")).select("source", "target", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"))
-        here = here.groupBy("source", "target", "node").agg(F.min("path").alias("path"))
-        found = found.unionByName(here.where("node = target").select("source", "target", F.lit(k).alias("n"), "path"))
-    best = found.groupBy("source", "target").agg(F.min(F.struct("n", "path")).alias("b"))
-    return best.select("source", "target", "b.n", "b.path")
+        step = front.join(one, "node").select(F.col("from").alias("node"), "target", "path")
+        if k == longest:
+            step = step.join(pairs.select(F.col("source").alias("node"), "target"), ["node", "target"], "left_semi")
+        step = step.join(found.select("node", "target"), ["node", "target"], "left_anti").groupBy("node", "target").agg(F.min("path").alias("path"))
+        front = materialise(step.select("node", "target", F.lit(k).alias("n"), F.concat(F.array("node"), "path").alias("path")), "reach")
+        found = found.unionByName(front)
+    return pairs.join(found.withColumnRenamed("node", "source"), ["source", "target"]).select("source", "target", "n", "path")
 
 
 def expanded(paths: DataFrame, per_path: int = 2, seed: str = "expand") -> DataFrame:
