@@ -21,11 +21,15 @@ def rejected(triples: DataFrame) -> DataFrame:
 
 
 def nodes(triples: DataFrame) -> DataFrame:
-    """(name, type, names): the first type seen counts."""
-    t = accepted(triples)
-    side = lambda c, k: t.select(F.col(c).alias("name"), F.coalesce(f"{c}_type", F.lit(UNKNOWN)).alias("type"), F.struct(F.col("seq"), F.lit(k)).alias("at"))
-    both = side("subject", 0).unionByName(side("object", 1))
-    return both.groupBy("name").agg(F.min_by("type", "at").alias("type")).withColumn("names", F.array("name"))
+    """(name, type, names): the first type seen counts.
+
+    The first place of each (name, type, side) is a number, which a hash table holds; only those few rows are sorted for
+    the text that ``min_by`` returns, so a task's memory follows its distinct names and not its triples.
+    """
+    side = lambda c, k: F.struct(F.col(c).alias("name"), F.coalesce(f"{c}_type", F.lit(UNKNOWN)).alias("type"), F.lit(k).alias("k"))
+    both = accepted(triples).select("seq", F.explode(F.array(side("subject", 0), side("object", 1))).alias("n")).select("seq", "n.name", "n.type", "n.k")
+    first = both.groupBy("name", "type", "k").agg(F.min("seq").alias("seq"))
+    return first.groupBy("name").agg(F.min_by("type", F.struct("seq", "k", "type")).alias("type")).withColumn("names", F.array("name"))
 
 
 def edges(triples: DataFrame) -> DataFrame:
