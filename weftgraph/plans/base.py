@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weftgraph.operators import graph
+from weftgraph.session import tasks_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,9 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """SQL over the tables of a folder: {name} stands for a table."""
-    return spark.sql(text.format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}))
+def run(spark: SparkSession, sf_dir: str, text: str, **instead: str) -> DataFrame:
+    """SQL over the tables of a folder: {name} stands for a table, or for what is to be read ``instead``."""
+    return spark.sql(text.format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES} | instead))
 
 
 #: subject, relation, object, source_url, seq, subject_type, object_type. ``seq`` is unique.
@@ -73,7 +74,11 @@ def with_graph(body: str, recursive: bool = False) -> str:
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, TRIPLES)
+    """All triples. The pairs of lineitem, by far the most rows, are dealt to tasks whose number follows the table: two
+    numbers each, they become wide rows in the same tasks, which sort them."""
+    n = tasks_for(table(spark, sf_dir, "lineitem"))
+    pairs = f"(SELECT /*+ REPARTITION({n}, l_suppkey, l_partkey) */ l_suppkey, l_partkey FROM parquet.`{sf_dir}/lineitem.parquet`)"
+    return run(spark, sf_dir, TRIPLES, lineitem=pairs)
 
 
 def graph_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

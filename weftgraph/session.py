@@ -53,6 +53,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def tasks_for(df: DataFrame, mb: int = 8) -> int:
+    """A task for each ``mb`` of the files that ``df`` reads, but as many as run at once at least.
+
+    The planner merges the parts of a shuffle by their compressed bytes, so that few tasks get rows of many times that
+    size in memory, and sort them; a number that follows the input holds a task's share down however large it is.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    known = sum(x for x in sizes if x < 1 << 50)  # what is no file may have a size that stands for unknown
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-known // (mb << 20)))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again: lineage ends there and survives lost executors."""
     spark = df.sparkSession
