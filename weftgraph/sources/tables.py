@@ -51,7 +51,8 @@ def log_entries(triples: DataFrame, timestamp: Column) -> DataFrame:
 
 
 def append_log(entries: DataFrame, path: str) -> None:
-    entries.write.mode("append").json(path)
+    """JSON lines, compressed: entries repeat their names, so plain lines are many times the size of what they hold."""
+    entries.write.mode("append").option("compression", "gzip").json(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
