@@ -8,21 +8,23 @@ from weftgraph.plans import generation
 from weftgraph.plans.base import graph_of, query, triples, with_graph
 from weftgraph.plans.graph_queries import folder
 from weftgraph.plans.sample_queries import SAMPLES, samples
-from weftgraph.session import materialise
+from weftgraph.session import materialise, tasks_for
 from weftgraph.sources import tables
 from weftgraph.streaming import ingest
 
 
 @query(with_graph("SELECT src, dst, relation FROM edges"))
 def streaming_ingest(spark, sf):
-    """The graph after all log files have streamed in, two at a time: as the graph of all triples at once.
+    """The graph after all log files have streamed in, in two batches: as the graph of all triples at once.
 
     The source of an edge is that of its last batch, which the order of arrival decides, so it is not compared.
     """
     log, out, state = folder(spark, "log"), folder(spark, "graph"), folder(spark, "state")
     days = F.concat(F.lit("day-"), F.lpad((F.col("seq") / 1000000000000).cast("int").cast("string"), 4, "0"))
-    tables.log_entries(triples(spark, sf), days).repartition(4, "timestamp").sortWithinPartitions("timestamp").write.json(log)
-    ingest.ingest(spark, log, out, state, files_per_batch=2).awaitTermination()
+    t = triples(spark, sf)
+    half = -(-tasks_for(t) // 2)
+    tables.append_log(tables.log_entries(t, days).repartition(2 * half, "timestamp", "source_url"), log)
+    ingest.ingest(spark, log, out, state, files_per_batch=half).awaitTermination()
     return ingest.latest(spark, out)[1].select("src", "dst", "relation")
 
 
