@@ -116,4 +116,4 @@ def test_streamed_files_are_alike(spark, monkeypatch):
     monkeypatch.setattr(ingest, "ingest", lambda spark, log, *a, **b: seen.append(log) or run(spark, log, *a, **b))
     run_queries.streaming_ingest(spark, "/root/testdata/sf0.001")
     n = [r["count"] for r in spark.read.text(seen[0]).groupBy(F.input_file_name()).count().collect()]
-    assert max(n) < 0.5 * sum(n)
+    assert max(n) < 0.5 * sum(n), n

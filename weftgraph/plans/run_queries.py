@@ -23,7 +23,8 @@ def streaming_ingest(spark, sf):
     days = F.concat(F.lit("day-"), F.lpad((F.col("seq") / 1000000000000).cast("int").cast("string"), 4, "0"))
     t = triples(spark, sf)
     half = -(-tasks_for(t) // 2)
-    tables.append_log(tables.log_entries(t, days).repartition(2 * half, "timestamp", "source_url"), log)
+    # in this order, as a shuffle by the entries' own keys would be taken for the one that made them, and its parts merged
+    tables.append_log(tables.log_entries(t, days).repartition(2 * half, "source_url", "timestamp"), log)
     ingest.ingest(spark, log, out, state, files_per_batch=half).awaitTermination()
     return ingest.latest(spark, out)[1].select("src", "dst", "relation")
 
